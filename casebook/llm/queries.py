@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import matroska, packing, secrets, tokenfile, urls
+from casebook.llm import fertility, jaccard, langid, matroska, ordinal, packing, secrets, tokenfile, urls, viterbi
 from casebook.llm.common import table
 
 
@@ -15,14 +15,35 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matroska.describe(matroska.store_samples(table(spark, sf_dir, "documents")))
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(table(spark, sf_dir, "documents"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op6_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.measure(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op7_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return viterbi.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op8_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ordinal.score(docs, ordinal.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
@@ -31,5 +52,12 @@ def op10_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_tokens(tokenfile.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op3_media, op5_secrets, op9_urls, op10_tokenfile)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_jaccard, op3_media, op4_langid, op5_secrets, op6_fertility, op7_viterbi, op8_ordinal, op9_urls, op10_tokenfile)}
+QUERIES["pipeline"] = pipeline
 ORACLE_SQL: dict[str, str] = {"op9_urls": urls.SQL}
