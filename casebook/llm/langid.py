@@ -160,8 +160,8 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
     return Model(langs, table.astype(np.float32), admitted)
 
 
-def label(docs: DataFrame, model: Model, keep: list[str] | None = None, spans: bool = False) -> DataFrame:
-    """`keep` columns (doc_id unless named), lang_pred, score; with spans also an array of (start, end, lang)."""
+def label(docs: DataFrame, model: Model, keep: list[str] | None = None, spans: bool = False, prefix: str = "") -> DataFrame:
+    """`keep` columns (doc_id unless named), lang_pred, score (prefixed); with spans also an array of (start, end, lang)."""
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast((model.langs, model.table, model.admitted))  # BUCKETS x MOST_LANGS at most
@@ -176,10 +176,10 @@ def label(docs: DataFrame, model: Model, keep: list[str] | None = None, spans: b
             new = [pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())]
             if spans:
                 new.append(pa.array([[{"start": a, "end": b, "lang": k} for a, b, k in x[2]] for x in out], span))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *new], names=[*batch.schema.names[:n], "lang_pred", "score", "spans"][: n + len(new)])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *new], names=[*batch.schema.names[:n], *(prefix + x for x in ("lang_pred", "score", "spans")[: len(new)])])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:n])
-    return rows.mapInArrow(run, f"{kept}, lang_pred string, score double" + ", spans array<struct<start:int,end:int,lang:string>>" * spans)
+    return rows.mapInArrow(run, f"{kept}, {prefix}lang_pred string, {prefix}score double" + f", {prefix}spans array<struct<start:int,end:int,lang:string>>" * spans)
 
 
 def predict(docs: DataFrame) -> DataFrame:
@@ -190,4 +190,4 @@ def predict(docs: DataFrame) -> DataFrame:
 
 def select(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The documents in one known language, with their columns; `und` and unclear ones go."""
-    return label(docs, train(docs), docs.columns).where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*docs.columns)
+    return label(docs, train(docs), docs.columns, prefix="__").where((F.col("__lang_pred") != "und") & (F.col("__score") >= least)).select(*docs.columns)

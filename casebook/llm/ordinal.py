@@ -145,8 +145,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return fit(found)
 
 
-def score(docs: DataFrame, model: Model, keep: list[str] | None = None, cut: float = CUT) -> DataFrame:
-    """`keep` columns (doc_id unless named), expected_grade, tail_prob (of the best grade), grade, kept."""
+def score(docs: DataFrame, model: Model, keep: list[str] | None = None, cut: float = CUT, prefix: str = "") -> DataFrame:
+    """`keep` columns (doc_id unless named), expected_grade, tail_prob (of the best grade), grade, kept; these prefixed."""
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast((model.keys, model.weights, model.thresholds))  # bounded by SAMPLE documents' features
@@ -158,12 +158,12 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None, cut: flo
         for batch in batches:
             p = np.array([own.probabilities(features.of(x)) for x in batch.column(n).to_pylist()]).reshape(batch.num_rows, -1)
             new = [pa.array(p @ np.arange(p.shape[1]) if len(p) else np.zeros(0)), pa.array(p[:, -1] if len(p) else np.zeros(0)), pa.array(p.argmax(1).astype(np.int32) if len(p) else np.zeros(0, np.int32)), pa.array(p[:, -1] >= cut if len(p) else np.zeros(0, bool))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *new], names=[*batch.schema.names[:n], "expected_grade", "tail_prob", "grade", "kept"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *new], names=[*batch.schema.names[:n], *(prefix + x for x in ("expected_grade", "tail_prob", "grade", "kept"))])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:n])
-    return rows.mapInArrow(run, f"{kept}, expected_grade double, tail_prob double, grade int, kept boolean")
+    return rows.mapInArrow(run, f"{kept}, {prefix}expected_grade double, {prefix}tail_prob double, {prefix}grade int, {prefix}kept boolean")
 
 
 def select(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier keeps, with their columns."""
-    return score(docs, train(docs, labels), docs.columns).where("kept").select(*docs.columns)
+    return score(docs, train(docs, labels), docs.columns, prefix="__").where("__kept").select(*docs.columns)

@@ -179,8 +179,8 @@ def _spans(rule: Rule, place: int, wanted: Column) -> Column:
     return F.when(wanted & F.col("text").rlike(rule.pattern), got).otherwise(F.expr(f"cast(array() as {kind})"))
 
 
-def scan(docs: DataFrame, rules: list[Rule] = RULES, keep: list[str] | None = None) -> DataFrame:
-    """`keep` columns (doc_id unless named) and spans: array of (start, place, end, kind), by start, then rule order.
+def scan(docs: DataFrame, rules: list[Rule] = RULES, keep: list[str] | None = None, name: str = "spans") -> DataFrame:
+    """`keep` columns (doc_id unless named) and, as `name`, the spans: array of (start, place, end, kind), by start, then rule order.
 
     Candidates are counted; if they are few they are broadcast and no text is shuffled, beyond that both sides are.
     """
@@ -188,12 +188,12 @@ def scan(docs: DataFrame, rules: list[Rule] = RULES, keep: list[str] | None = No
     indexed = [i for i, r in enumerate(rules) if trigram_query(r.pattern)]
     found = materialise(candidates(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), rules))
     rows = docs.select(*keep, F.col("doc_id").cast("long").alias("__id"), F.coalesce("text", F.lit("")).alias("__text"))
-    rows = join_by_size(rows, found.withColumnRenamed("doc_id", "__id"), ["__id"], "left", found.count())
-    rows = rows.select(F.struct(*keep).alias("__row"), F.col("__text").alias("text"), F.when(F.col("__id").isNull(), -1).otherwise(F.coalesce("kinds", F.lit(0))).alias("kinds"))
-    wanted = lambda i: F.col("kinds").bitwiseAND(1 << i) != 0 if i in indexed else F.lit(True)
+    rows = join_by_size(rows, found.select(F.col("doc_id").alias("__id"), F.col("kinds").alias("__kinds")), ["__id"], "left", found.count())
+    rows = rows.select(F.struct(*keep).alias("__row"), F.col("__text").alias("text"), F.when(F.col("__id").isNull(), -1).otherwise(F.coalesce("__kinds", F.lit(0))).alias("__kinds"))
+    wanted = lambda i: F.col("__kinds").bitwiseAND(1 << i) != 0 if i in indexed else F.lit(True)
     # One column a rule first: they are read several times below.
     rows = rows.select("__row", *(_spans(r, i, wanted(i)).alias(f"s{i}") for i, r in enumerate(rules)))
-    return rows.select("__row.*", F.array_sort(F.concat(*(f"s{i}" for i in range(len(rules))))).alias("spans"))
+    return rows.select("__row.*", F.array_sort(F.concat(*(f"s{i}" for i in range(len(rules))))).alias(name))
 
 
 def as_text(spans: Column) -> Column:
@@ -213,7 +213,7 @@ def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
 
     Null texts stay null.
     """
-    rows = scan(docs, keep=docs.columns)
+    rows = scan(docs, keep=docs.columns, name="__spans")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
@@ -221,8 +221,8 @@ def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
         out = F.when(fresh, F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, x["start"] - acc["at"]), F.lit(mask))).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), out.alias("out"))
 
-    clean = F.aggregate("spans", start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    rows = rows.withColumn("text", F.when((F.size("spans") > 0) & F.col("text").isNotNull(), clean).otherwise(F.col("text"))).drop("spans")
+    clean = F.aggregate("__spans", start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
+    rows = rows.withColumn("text", F.when((F.size("__spans") > 0) & F.col("text").isNotNull(), clean).otherwise(F.col("text"))).drop("__spans")
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return rows.select(*docs.columns)

@@ -191,13 +191,16 @@ def test_gradient_by_differences():
 
 
 def test_held_out_accuracy(spark):
-    docs, labels = table(spark, DATA, "documents"), table(spark, DATA, "labels")
+    large = "/root/testdata/sf0.1"  # the smaller ones have a few hundred labels
+    docs, labels = table(spark, large, "documents"), table(spark, large, "labels")
     model = ordinal.train(docs, labels.where("doc_id % 3 <> 0"))
     true = {r.doc_id: r.grade for r in ordinal.grade_of(labels.where("doc_id % 3 = 0")).collect()}
     got = {r.doc_id: r for r in ordinal.score(docs, model).collect()}
     assert len(got) == docs.count()
     good = [got[k].kept == (g == 2) for k, g in true.items()]
-    assert np.mean(good) > 0.9
+    clean = [got[k].kept for k, g in true.items() if g == 2]
+    print(np.mean(good), np.mean(clean), len(good))
+    assert np.mean(good) > 0.95 and np.mean(clean) > 0.98
     assert all(0 <= r.expected_grade <= 2 and r.kept == (r.tail_prob >= ordinal.CUT) for r in got.values())
 
 

@@ -31,6 +31,13 @@ def test_stages(spark):
     assert {r.doc_id: r.n for r in seen[5].groupBy("doc_id").sum("length").withColumnRenamed("sum(length)", "n").collect()} == want
 
 
+def test_clashing_columns(spark):
+    docs = table(spark, DATA, "documents").selectExpr("*", "1 AS kept", "2 AS score", "3 AS spans", "4 AS kinds", "5 AS n", "6 AS comp", "7 AS node", "8 AS key").limit(50)
+    labels = table(spark, DATA, "labels").selectExpr("*", "1 AS grade")
+    for out in (ordinal.select(docs, labels), langid.select(docs), jaccard.select(docs), secrets.redact(docs)):
+        assert out.columns == docs.columns and 0 < out.count() <= 50
+
+
 def test_empty_and_null_documents(spark):
     docs = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", "s", 0), (1, "", "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
     for rows in (docs, docs.limit(0)):
