@@ -128,7 +128,7 @@ def test_search_equals_sqlite(spark, stem):
         want = dict(con.execute("SELECT rowid, bm25(f) FROM f WHERE f MATCH ?", (q,)).fetchall())
         got = {r.id: r.score for r in search.bm25(index, q).collect()}
         assert got.keys() == want.keys(), q
-        if not {"NOT", "OR"} & set(q.split()):
+        if "NEAR" not in q and not {"NOT", "OR"} & set(q.split()):  # NEAR scores count occurrences out of the span too
             assert got == pytest.approx(want), q
 
 
