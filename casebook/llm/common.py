@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch. With texts of some kB that is a few MB; one very long text is a batch of its own size.
-ARROW_ROWS = 500
+ARROW_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

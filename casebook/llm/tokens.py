@@ -1,8 +1,8 @@
 """Exact, memoised encoding with the `tokenizers` library.
 
 The two vocabularies never merge across white space, so a text's ids are its words' ids joined. Each distinct word
-is encoded once per worker and memo; all new words of a batch go to the library as one text. Texts with unusual
-white space go to the library whole.
+is encoded once per worker and memo, by the library's model where its characters leave no doubt about the cuts, else by
+the whole library. Texts with unusual white space go to the library whole.
 """
 
 from __future__ import annotations
@@ -11,11 +11,42 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Words that a worker remembers; beyond that it forgets them all and starts again. Bounds memory, not results.
-MEMO_WORDS = 500_000
+#: Chunks, and words within them, that a worker remembers; beyond that it forgets all of them and starts again.
+#: This bounds memory, not results.
+CHUNKS, WORDS = 1_500_000, 700_000
+#: Characters whose cuts are plain: ASCII but for the apostrophe, and precomposed Latin letters.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+MARKS = "!-&(-/:-@\\[-`{-~"
+#: White space other than single blanks and single line ends between words.
+UNUSUAL = r"[ \n][ \n]|^[ \n]|[ \n]\z|[\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+PLAIN = re.compile(f" ?[0-9{LETTERS}{MARKS}]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = iter(range(256, 512))
+    return {b: chr(b) if b in shown else chr(next(hidden)) for b in range(256)}
+
+
+ALPHABET = _byte_letters()
+
+
+class _Chunks(dict):
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most = make, most
+
+    def __missing__(self, chunk: str) -> bytes:
+        if len(self) >= self.most:
+            self.clear()
+        out = self[chunk] = self.make(chunk)
+        return out
 
 
 class WordIds:
@@ -30,20 +61,13 @@ class WordIds:
         self.tokenizer.encode_special_tokens = True
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than 16 bits")
-        self.memo: dict[str, bytes] = {}
-        self.drops_space = self.tokenizer.encode("a b c", add_special_tokens=False).ids == [i for x in "abc" for i in self._ids(x)]
-        if self.drops_space:
-            # Python also splits at these; such texts go to the library whole.
-            self.unusual = re.compile("[\x1c-\x1f]")
-            self.mark, self.joint = "|", " | "
-        else:
-            # Only single blanks and single line ends between words are cut at; a blank belongs to the word after it.
-            self.unusual = re.compile(r"\s\s|[^\S\n ]|^\s|\s\Z|[\x1c-\x1f]")
-            self.cut = re.compile(r" ?[^ \n]+|\n").findall
-            self.mark, self.joint = "\n", "\n"
-        self.mark_id = self._ids(self.mark)
-        if len(self.mark_id) != 1:
-            raise ValueError("the mark between words is not one token")
+        self.model = self.tokenizer.model
+        self.drops_space = self._ids("a b c") == [i for x in "abc" for i in self._ids(x)]
+        digits, blank = ("[0-9]", "") if self.drops_space else (" ?[0-9]+", " ?")
+        self.cut = re.compile(f"{blank}[{LETTERS}]+|{digits}|{blank}[{MARKS}]+").findall
+        self.words = _Chunks(self._word, WORDS)
+        self.chunks = _Chunks(self._marked, CHUNKS)
+        self.line_end = self.pack(self._ids("\n"))
 
     @classmethod
     def of(cls, path: str) -> WordIds:
@@ -59,34 +83,45 @@ class WordIds:
     def pack(ids) -> bytes:
         return np.asarray(ids, "<u2").tobytes()
 
-    def words(self, text: str) -> list[str]:
-        return text.split() if self.drops_space else self.cut(text)
-
-    def learn(self, new: set[str]) -> None:
-        new = list(new)
-        plain = [w for w in new if self.mark not in w]
-        for w in new if len(plain) < len(new) else ():
-            if self.mark in w:
-                self.memo[w] = self.pack(self._ids(w))
-        for at in range(0, len(plain), 20_000):
-            part = plain[at : at + 20_000]
-            ids = np.asarray(self._ids(self.joint.join(part)), "<u2")
-            cuts = np.flatnonzero(ids == self.mark_id[0])
-            if len(cuts) != len(part) - 1:
-                raise AssertionError("words and marks don't match")
-            raw, ends, begin = ids.tobytes(), [*(2 * cuts).tolist(), 2 * len(ids)], 0
-            for w, end in zip(part, ends, strict=True):
-                self.memo[w] = raw[begin:end]
-                begin = end + 2
+    def _word(self, word: str) -> bytes:
+        """One pre-token: the library's model alone, on the byte-level alphabet."""
+        if not word.isascii() or " " in word:
+            word = word.encode().decode("latin-1").translate(ALPHABET)
+        return self.pack([x.id for x in self.model.tokenize(word)])
+
+    def _chunk(self, chunk: str) -> bytes:
+        """What stands between white space. Unless its characters are plain, the library cuts it."""
+        if not PLAIN.fullmatch(chunk):
+            return self.pack(self._ids(chunk))
+        return b"".join(map(self.words.__getitem__, self.cut(chunk.lower() if self.drops_space else chunk)))
+
+    def _marked(self, chunk: str) -> bytes:
+        """A chunk with what stood before it: a line end, or else a blank (which then belongs to it)."""
+        if self.drops_space:
+            return self._chunk(chunk.lstrip("\n"))
+        return self.line_end + self._chunk(chunk[1:]) if chunk[0] == "\n" else self._chunk(" " + chunk)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Null counts as the empty text."""
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        cut = [None if x and self.unusual.search(x) else self.words(x or "") for x in texts]
-        memo = self.memo
-        new = {w for words in cut if words for w in set(words) if w not in memo}
-        if new:
-            self.learn(new)
-        get = memo.__getitem__
-        return [self.pack(self._ids(x)) if words is None else b"".join(map(get, words)) for x, words in zip(texts, cut, strict=True)]
+        """Null counts as the empty text. Arrow finds the distinct chunks of the batch; ids are gathered at once."""
+        column = pa.array([x or "" for x in texts], pa.large_string())
+        odd = pc.or_(pc.match_substring_regex(column, UNUSUAL), pc.equal(column, "")).to_numpy(zero_copy_only=False)
+        out: list[bytes] = [self.pack(self._ids(x)) if o and x else b"" for x, o in zip(texts, odd, strict=True)]
+        plain = np.flatnonzero(~odd)
+        if not len(plain):
+            return out
+        lists = pc.split_pattern(pa.array(["\n" + texts[i].replace("\n", " \n") for i in plain.tolist()], pa.large_string()), " ")
+        chunks = pc.dictionary_encode(lists.flatten())
+        distinct = pc.binary_join(pa.ListArray.from_arrays([0, len(chunks.dictionary)], chunks.dictionary.cast(pa.string())), " ")[0].as_py().split(" ")
+        ids = list(map(self.chunks.__getitem__, distinct))
+        blob = np.frombuffer(b"".join(ids), "<u2")
+        sizes = np.array([len(x) // 2 for x in ids])
+        at = chunks.indices.to_numpy()
+        n = sizes[at]
+        ends = np.cumsum(n)
+        flat = blob[np.repeat((np.cumsum(sizes) - sizes)[at] - ends + n, n) + np.arange(ends[-1])]
+        raw = flat.tobytes()
+        bounds = np.concatenate([[0], ends])[lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()
+        skip = 0 if self.drops_space else len(self.line_end) // 2  # the line end that was put before each text
+        for i, a, b in zip(plain.tolist(), bounds[:-1], bounds[1:], strict=True):
+            out[i] = raw[2 * (a + skip) : 2 * b]
+        return out
