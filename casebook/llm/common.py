@@ -37,7 +37,17 @@ def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = path or shared_dir(spark)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `materialise` wrote and that no result reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def join_by_size(left: DataFrame, right: DataFrame, on: list[str], how: str, right_rows: int, max_rows: int = 500_000) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import materialise
+from casebook.llm.common import discard, materialise
 
 #: Rounds before giving up; paths shrink exponentially, so this is never met.
 MOST = 60
@@ -25,7 +25,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(_min_of(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        now = materialise(small)
+        last, now = now, materialise(small)
+        discard(last)
         after = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if after == before or not after[0]:
             break

@@ -5,7 +5,8 @@ Documents link when 100 * |A and B| >= least * |A or B| over their distinct word
 1. Texts with equal sets are one class; only classes are compared.
 2. Columns of the product: a link needs so large an overlap that both sets' first n - ceil(least n / 100) + 1 shingles,
    in one order for all documents, share a column. The order puts frequent shingles last, so common passages rarely
-   are such columns. Columns with one class are dropped.
+   are such columns. Columns with one class are dropped, and columns are split
+   into bands of sizes that may link.
 3. Rows of the product, in rounds: each column takes one pivot class and pairs it with the column's classes of other
    components. Sizes and places in the order bound the overlap; pairs below the bound are discarded. What is left is
    multiplied in blocks of columns (hash ranges), accumulating overlap counts and leaving off as soon as the rest can't
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import join_by_size, materialise, small_batches
+from casebook.llm.common import discard, join_by_size, materialise, small_batches
 from casebook.llm.graph import components as connected
 
 WORDS, LEAST = 4, 85
@@ -131,7 +132,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], names=["node", "shingles"])
 
     texts = join_by_size(docs, wanted.select(F.col("node").alias("doc_id"), "key"), ["doc_id"], "inner", wanted.count())
-    return texts.select("doc_id", "key", "text").mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"])
+    return texts.select("doc_id", "key", "text").mapInArrow(run, "node long, shingles binary")
 
 
 def overlap(a: np.ndarray, b: np.ndarray, bound: int) -> int:
@@ -177,6 +178,15 @@ def _pairs(x: DataFrame) -> DataFrame:
     return x.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), F.when(a, F.col("comp")).otherwise(F.col("ocomp")).alias("ca"), F.when(a, F.col("ocomp")).otherwise(F.col("comp")).alias("cb")).distinct()
 
 
+def _banded(columns: DataFrame, least: int) -> DataFrame:
+    """Columns split by size: bands are so wide that sets that may link are in one or in neighbouring bands, and each
+    row stands in its own band and the next. Bands with one class are dropped. Each class begins as its own component."""
+    own = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / least)) * 0.999).cast("int")
+    rows = columns.select("sh", "node", "n", "pos", F.explode(F.array(own, own + 1)).alias("band"))
+    several = rows.groupBy("sh", "band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("sh", "band")
+    return rows.join(several, ["sh", "band"], "left_semi").withColumn("comp", F.col("node"))
+
+
 def join(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id (the least doc_id reachable by links)."""
     small_batches(docs.sparkSession)
@@ -185,14 +195,18 @@ def join(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
     classes = materialise(base.where("n > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix")))
     incidence = classes.select("node", "n", F.posexplode("prefix").alias("pos", "sh"))
     several = incidence.groupBy("sh").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("sh")
-    columns = materialise(incidence.join(several, "sh", "left_semi"))
-    sets = materialise(sets_of(rows, materialise(classes.join(columns.select("node").distinct(), "node", "left_semi").select("node", "key")), words))
+    columns = materialise(_banded(incidence.join(several, "sh", "left_semi"), least))
     labels: DataFrame | None = None
 
-    def labelled() -> DataFrame:
-        if labels is None:
-            return columns.withColumn("comp", F.col("node"))
-        return columns.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Components that link: only the sets of documents in pairs are made, and moved."""
+        pairs = materialise(pairs)
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wanted = materialise(classes.join(nodes, "node", "left_semi").select("node", "key"))
+        sets = materialise(sets_of(rows, wanted, words))
+        links = materialise(multiply(pairs, sets, least).distinct())
+        discard(pairs, wanted, sets)
+        return links
 
     def merge(links: DataFrame, old: DataFrame | None) -> DataFrame:
         """Labels after the links between components; only nodes that aren't their own component have a row."""
@@ -202,23 +216,30 @@ def join(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
         moved = old.join(new.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
         return materialise(moved.union(new))
 
+    def still_open(x: DataFrame) -> DataFrame:
+        """The columns that hold several components."""
+        if labels is not None:
+            x = x.drop("comp").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        wide = x.groupBy("sh", "band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sh", "band")
+        out = materialise(x.join(wide, ["sh", "band"], "left_semi"))
+        discard(columns)
+        return out
+
     for k in range(ROUNDS):
-        x = labelled()
-        pivot = x.groupBy("sh").agg(F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("by"), "node", "n", "pos", "comp")).alias("p"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-        pivot = pivot.select("sh", F.col("p.node").alias("other"), F.col("p.n").alias("on"), F.col("p.pos").alias("opos"), F.col("p.comp").alias("ocomp"))
-        near = x.join(pivot, "sh").where("comp <> ocomp").where(_may_link(F.col("n"), F.col("pos"), F.col("on"), F.col("opos"), least))
-        links = materialise(multiply(_pairs(near), sets, least).distinct())
+        pivot = columns.groupBy("sh", "band").agg(F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("by"), "node", "n", "pos", "comp")).alias("p"))
+        pivot = pivot.select("sh", "band", F.col("p.node").alias("other"), F.col("p.n").alias("on"), F.col("p.pos").alias("opos"), F.col("p.comp").alias("ocomp"))
+        near = columns.join(pivot, ["sh", "band"]).where("comp <> ocomp").where(_may_link(F.col("n"), F.col("pos"), F.col("on"), F.col("opos"), least))
+        links = linked(_pairs(near))
         if links.isEmpty():
             break
         labels = merge(links, labels)
-    x = labelled()
-    open_ = x.join(x.groupBy("sh").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sh"), "sh", "left_semi")
-    open_ = materialise(open_)
-    other = open_.select("sh", F.col("node").alias("other"), F.col("n").alias("on"), F.col("pos").alias("opos"), F.col("comp").alias("ocomp"))
-    rest = open_.join(other, "sh").where("node < other and comp <> ocomp").where(_may_link(F.col("n"), F.col("pos"), F.col("on"), F.col("opos"), least))
-    links = materialise(multiply(_pairs(rest), sets, least).distinct())
+        columns = still_open(columns)
+    other = columns.select("sh", "band", F.col("node").alias("other"), F.col("n").alias("on"), F.col("pos").alias("opos"), F.col("comp").alias("ocomp"))
+    rest = columns.join(other, ["sh", "band"]).where("node < other and comp <> ocomp").where(_may_link(F.col("n"), F.col("pos"), F.col("on"), F.col("opos"), least))
+    links = linked(_pairs(rest))
     if not links.isEmpty():
         labels = merge(links, labels)
+    discard(columns)
     out = base.join(classes.select("key", "node"), "key", "left")
     out = out.join(labels, "node", "left") if labels is not None else out.withColumn("comp", F.lit(None).cast("long"))
     comp = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "node", "doc_id"))
