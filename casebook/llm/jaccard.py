@@ -8,10 +8,10 @@ Documents link when 100 * |A and B| >= least * |A or B| over their distinct word
    are such columns. Columns with one class are dropped, and columns are split
    into bands of sizes that may link.
 3. Rows of the product, in rounds: each column takes one pivot class and pairs it with the column's classes of other
-   components. Sizes and places in the order bound the overlap; pairs below the bound are discarded. What is left is
-   multiplied in blocks of columns (hash ranges), accumulating overlap counts and leaving off as soon as the rest can't
-   reach the bound. Links merge components, so a group of copies costs about one product each, not one a pair.
-4. After ROUNDS, or a round without links, all remaining pairs of different components in a column are multiplied.
+   components. Sizes and places in the order bound the overlap; pairs below the bound are discarded. Then they are
+   bounded by the sizes of 256 blocks of columns (hash ranges), and what is left is multiplied in blocks, accumulating
+   overlap counts and leaving off as soon as the rest can't reach the bound. Links merge components, so a group of copies costs about one product each, not one a pair.
+4. After ROUNDS, or a round with few new links, all remaining pairs of different components in a column are multiplied.
    So no link between components is lost.
 
 Null and empty texts have the empty set and link with nothing. A null doc_id can't be named as a component: such rows
@@ -36,7 +36,7 @@ from casebook.llm.graph import components as connected
 WORDS, LEAST = 4, 85
 #: The order's list of frequent shingles: at most so many from each task and in all. Any list gives the same links.
 HOT_TASK, HOT, HOT_LEAST = 4096, 20_000, 16
-ROUNDS, BLOCKS = 4, 4
+ROUNDS, BLOCKS, SIZES = 4, 4, 256
 MEMO = 400_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -92,7 +92,7 @@ def frequent(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, words: int, least: int, hot: np.ndarray) -> DataFrame:
-    """doc_id, n, key (digest of the set), prefix (its first shingles in the common order)."""
+    """doc_id, n, key (digest of the set), prefix (its first shingles in the common order), sizes of its blocks."""
     order = np.argsort(hot)
     listed, rank = hot[order], order
 
@@ -113,9 +113,9 @@ def prefixes(docs: DataFrame, words: int, least: int, hot: np.ndarray) -> DataFr
                     x = cold  # noqa: PLW2901
                 first.append(x[:p].view(np.int64))
             keys = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(first, pa.list_(pa.int64()))], names=["doc_id", "n", "key", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(first, pa.list_(pa.int64())), pa.array([block_sizes(x) for x in sets], pa.binary())], names=["doc_id", "n", "key", "prefix", "blocks"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, key binary, prefix array<long>")
+    return docs.mapInArrow(run, "doc_id long, n long, key binary, prefix array<long>, blocks binary")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -135,6 +135,26 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return texts.select("doc_id", "key", "text").mapInArrow(run, "node long, shingles binary")
 
 
+def block_sizes(x: np.ndarray) -> bytes:
+    """How many hashes fall in each of SIZES ranges. A set too large for 16 bits gives the bound that bounds nothing."""
+    n = np.bincount((x >> np.uint64(64 - SIZES.bit_length() + 1)).astype(np.int64), minlength=SIZES)
+    return (n if n.max(initial=0) < 1 << 16 else np.full(SIZES, (1 << 16) - 1)).astype("<u2").tobytes()
+
+
+def bounded(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
+    """Pairs whose blocks' sizes allow the overlap that they need: it is at most the sum of the lesser sizes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, SIZES).astype(np.int64) for i in (4, 5))
+            most = np.where((a.min(1) < (1 << 16) - 1) & (b.min(1) < (1 << 16) - 1), np.minimum(a, b).sum(1), 1 << 60)
+            n = a.sum(1) + b.sum(1)
+            yield pa.RecordBatch.from_arrays(batch.columns[:4], names=["a", "b", "ca", "cb"]).filter(pa.array(most * (100 + least) >= n * least))
+
+    left, right = (classes.select(F.col("node").alias(x), F.col("blocks").alias(f"blocks_{x}")) for x in "ab")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "ca", "cb", "blocks_a", "blocks_b").mapInArrow(run, "a long, b long, ca long, cb long")
+
+
 def overlap(a: np.ndarray, b: np.ndarray, bound: int) -> int:
     """Overlap of two sorted sets, summed over blocks of hashes; -1 once the rest can't reach the bound."""
     edges = (np.arange(1, BLOCKS, dtype=np.uint64) << np.uint64(64 - BLOCKS.bit_length() + 1))
@@ -192,7 +212,7 @@ def join(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     base = materialise(prefixes(rows, words, least, frequent(rows, words)))
-    classes = materialise(base.where("n > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix")))
+    classes = materialise(base.where("n > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("blocks").alias("blocks")))
     incidence = classes.select("node", "n", F.posexplode("prefix").alias("pos", "sh"))
     several = incidence.groupBy("sh").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("sh")
     columns = materialise(_banded(incidence.join(several, "sh", "left_semi"), least))
@@ -200,7 +220,7 @@ def join(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
 
     def linked(pairs: DataFrame) -> DataFrame:
         """Components that link: only the sets of documents in pairs are made, and moved."""
-        pairs = materialise(pairs)
+        pairs = materialise(bounded(pairs, classes, least))
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         wanted = materialise(classes.join(nodes, "node", "left_semi").select("node", "key"))
         sets = materialise(sets_of(rows, wanted, words))
@@ -225,15 +245,20 @@ def join(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
         discard(columns)
         return out
 
+    most = 0
     for k in range(ROUNDS):
         pivot = columns.groupBy("sh", "band").agg(F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("by"), "node", "n", "pos", "comp")).alias("p"))
         pivot = pivot.select("sh", "band", F.col("p.node").alias("other"), F.col("p.n").alias("on"), F.col("p.pos").alias("opos"), F.col("p.comp").alias("ocomp"))
         near = columns.join(pivot, ["sh", "band"]).where("comp <> ocomp").where(_may_link(F.col("n"), F.col("pos"), F.col("on"), F.col("opos"), least))
         links = linked(_pairs(near))
-        if links.isEmpty():
+        found = links.count()
+        most = max(most, found)
+        if not found:
             break
         labels = merge(links, labels)
         columns = still_open(columns)
+        if found * 10 < most:
+            break
     other = columns.select("sh", "band", F.col("node").alias("other"), F.col("n").alias("on"), F.col("pos").alias("opos"), F.col("comp").alias("ocomp"))
     rest = columns.join(other, ["sh", "band"]).where("node < other and comp <> ocomp").where(_may_link(F.col("n"), F.col("pos"), F.col("on"), F.col("opos"), least))
     links = linked(_pairs(rest))
