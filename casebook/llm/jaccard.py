@@ -36,28 +36,30 @@ from casebook.llm.graph import components as connected
 WORDS, LEAST = 4, 85
 #: The order's list of frequent shingles: at most so many from each task and in all. Any list gives the same links.
 HOT_TASK, HOT, HOT_LEAST = 4096, 20_000, 16
-ROUNDS, BLOCKS, SIZES = 4, 4, 256
+ROUNDS, BLOCKS, SIZES = 6, 4, 256
 MEMO = 400_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= MEMO:
+            self.clear()
+        out = self[word] = xxhash.xxh3_64_digest(word)
+        return out
+
+
 class Shingler:
     """Distinct shingles of texts, as sorted 64-bit hashes."""
 
     def __init__(self, words: int = WORDS):
-        self.words, self.memo = words, {}
+        self.words, self.memo = words, _Hashes()
 
     def of(self, text: str | None) -> np.ndarray:
         found = (text or "").encode().lower().split()
         if not found:
             return np.zeros(0, np.uint64)
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        for w in set(found):
-            if w not in memo:
-                memo[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.array([memo[w] for w in found], np.uint64)
+        h = np.frombuffer(b"".join(map(self.memo.__getitem__, found)), np.uint64)
         size = min(self.words, len(h))
         n = len(h) - size + 1
         key = h[:n] ^ np.uint64(size)
@@ -257,7 +259,7 @@ def join(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
             break
         labels = merge(links, labels)
         columns = still_open(columns)
-        if found * 10 < most:
+        if found * 50 < most:
             break
     other = columns.select("sh", "band", F.col("node").alias("other"), F.col("n").alias("on"), F.col("pos").alias("opos"), F.col("comp").alias("ocomp"))
     rest = columns.join(other, ["sh", "band"]).where("node < other and comp <> ocomp").where(_may_link(F.col("n"), F.col("pos"), F.col("on"), F.col("opos"), least))
