@@ -5,23 +5,24 @@ scores the word by smoothed log-probabilities of its hashed n-grams of 1 to 4 le
 path through the words pays a penalty for each change of language; its runs are the spans. The document takes the
 language with most letters.
 
-Trained on a bounded sample: for each language the first PER_LANG documents by a hash of doc_id, whole. Null text, or
-text without letters, is `und` with score 0; without training rows everything is. Words in scripts that training never
-saw tell no language from another. Repeated rows are labelled each; null doc_ids are never trained on; other columns are
-ignored; an empty table gives no row.
+Trained on a bounded sample: hashes of doc_ids fall into narrow levels, and for each language the finest levels that
+together hold at most PER_LANG rows are taken, whole texts (a doc_id of more rows than that is never sampled, nor what
+falls in coarser levels). Null text, or text without letters, is `und` with score 0; without training rows everything
+is. Words in scripts that training never saw tell no language from another. Repeated rows are labelled each; null
+doc_ids are never trained on; other columns are ignored; an empty table gives no row.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casebook.llm.common import small_batches
@@ -33,16 +34,38 @@ POINTS, SCRIPTS = [a for a, _ in STARTS], [b for _, b in STARTS]
 PER_LANG, BUCKETS, MOST_LANGS = 1000, 1 << 16, 64
 #: In nats: a change of language costs SWITCH; a word's score is shared out over its dependent n-grams.
 SWITCH, SHARE, NOT_ADMITTED, SEEN = 10.0, 0.25, -30.0, 0.001
-MEMO = 200_000
+MEMO = 400_000
+#: Levels of hashes, a halving; texts labelled together; odd multipliers of the hashes.
+LEVELS, TOGETHER = 16, 100
+M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def script_of(word: str) -> str:
     return SCRIPTS[bisect_right(POINTS, ord(word[len(word) // 2])) - 1]
 
 
-def grams(word: str) -> list[int]:
-    w = f"<{word}>"
-    return [xxhash.xxh32_intdigest(w[i : i + n]) & BUCKETS - 1 for n in (1, 2, 3, 4) for i in range(len(w) - n + 1)] + [xxhash.xxh32_intdigest("=" + word) & BUCKETS - 1]
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the n-grams of 1 to 4 letters (ends marked) and of each whole word, and the places of their words."""
+    codes = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le"), "<u4").astype(np.uint64)
+    size = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    end = np.cumsum(size)
+    word = np.repeat(np.arange(len(words)), size)
+    at = np.arange(len(codes))
+    left = end[word] - at
+    hashes, places = [], []
+    for n in (1, 2, 3, 4):
+        h = np.full(len(codes) - n + 1, n, np.uint64)
+        for k in range(n):
+            h = (h ^ codes[k : len(codes) - n + 1 + k]) * M1
+        inside = left[: len(h)] >= n
+        hashes.append(h[inside])
+        places.append(word[: len(h)][inside])
+    powers = np.cumprod(np.full(size.max(), M2))
+    hashes.append(np.add.reduceat(codes * powers[at - (end - size)[word]], end - size))
+    places.append(np.arange(len(words)))
+    h = np.concatenate(hashes)
+    h = (h ^ h >> np.uint64(32)) * M2
+    return (h >> np.uint64(48)).astype(np.int64), np.concatenate(places)
 
 
 @dataclass
@@ -56,14 +79,17 @@ class Labeller:
     def __init__(self, model: Model):
         self.m, self.at, self.rows = model, {}, np.zeros((1024, len(model.langs)), np.float64)
 
-    def _learn(self, words: set[str]) -> None:
-        for word in words:
-            at = self.at[word] = len(self.at)
-            if at == len(self.rows):
-                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            admitted = self.m.admitted.get(script_of(word))
-            s = 0.0 if admitted is None else SHARE * self.m.table[grams(word)].sum(0) + admitted
-            self.rows[at] = s - np.max(s)
+    def _learn(self, words: list[str]) -> None:
+        """Score new words."""
+        first, langs = len(self.at), len(self.m.langs)
+        self.at.update(zip(words, range(first, first + len(words)), strict=True))
+        while len(self.at) > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        bucket, place = grams(words)
+        s = SHARE * np.stack([np.bincount(place, self.m.table[bucket, k], len(words)) for k in range(langs)], 1)
+        everywhere = np.zeros(langs)
+        s += np.array([self.m.admitted.get(script_of(w), everywhere) for w in words])
+        self.rows[first : first + len(words)] = s - s.max(1, keepdims=True)
 
     def path(self, s: np.ndarray) -> np.ndarray:
         """The best language of each word. One language throughout is best if no other one gains over the penalty in any
@@ -86,14 +112,24 @@ class Labeller:
             out.append(at)
         return np.array(out[::-1])
 
+    def label_all(self, texts: list[str | None], spans: bool = False) -> Iterator[tuple[str, float, list[tuple[int, int, str]]]]:
+        """Language, score from 0 to 1 (its share of letters times its posterior), and spans by code points, of each text."""
+        for i in range(0, len(texts), TOGETHER):
+            some = texts[i : i + TOGETHER]
+            words = [list(map(str.lower, WORD.findall(x or ""))) for x in some]
+            if len(self.at) > MEMO:
+                self.at.clear()
+            if self.m.langs and (new := list({w for line in words for w in line if w not in self.at})):
+                self._learn(new)
+            for text, hits in zip(some, words, strict=True):
+                yield self._label(text, hits, spans)
+
     def label(self, text: str | None, spans: bool = False) -> tuple[str, float, list[tuple[int, int, str]]]:
-        """Language, score from 0 to 1 (its share of letters times its posterior), and spans by code points."""
-        hits = list(map(str.lower, WORD.findall(text or "")))
+        return next(self.label_all([text], spans))
+
+    def _label(self, text: str | None, hits: list[str], spans: bool) -> tuple[str, float, list[tuple[int, int, str]]]:
         if not self.m.langs or not any(c.isalpha() for w in hits for c in w):
             return "und", 0.0, []
-        if len(self.at) > MEMO:
-            self.at.clear()
-        self._learn({w for w in hits if w not in self.at})
         s = self.rows[list(map(self.at.__getitem__, hits))]
         path = self.path(s)
         letters = np.bincount(path, [len(w) for w in hits], len(self.m.langs))
@@ -113,36 +149,61 @@ def training_rows(docs: DataFrame) -> DataFrame:
     return docs.where(F.col("lang").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
 
 
-def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
-    """Counts are summed on the executors; what comes to the driver is bounded by BUCKETS times MOST_LANGS.
+def level() -> Column:
+    """Of a row by a hash of its doc_id: each LEVELS levels hold half the ids of the LEVELS before."""
+    return F.floor(-LEVELS * F.log2((F.xxhash64("doc_id").bitwiseAND((1 << 53) - 1) + 1) / float(1 << 53))).cast("int")
+
 
-    Row numbers up to per_lang are limited before the shuffle, so a hot language sends per_lang ids a task.
+def finest_levels(rows: list[tuple[str, int, int]], most: int) -> dict[str, int]:
+    """For each language of (language, level, rows), the coarsest level down to which at most `most` rows lie."""
+    out, whole = {}, defaultdict(int)
+    for lang, at, n in sorted(rows, key=lambda r: -r[1]):
+        whole[lang] += n
+        out.setdefault(lang, at + 1)
+        if whole[lang] <= most:
+            out[lang] = at
+    return out
+
+
+def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
+    """Counts are summed on the executors; what comes to the driver is bounded: a row for each of the 850 levels of at most
+    MOST_LANGS languages, then BUCKETS times MOST_LANGS counts. The sample is a filter on the scan, so nothing is ranked.
     """
     small_batches(docs.sparkSession)
-    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = training_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang")).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= per_lang).select("doc_id").distinct()
+    known = training_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")).where("doc_id is not null")
+    most = [r.lang for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()]
+    if not most:
+        return Model([], np.zeros((BUCKETS, 0), np.float32), {})
+    levels = known.where(F.col("lang").isin(most)).groupBy("lang", level().alias("level")).agg(F.count("*").alias("n")).collect()
+    least = finest_levels([tuple(r) for r in levels], per_lang)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count: dict[str, np.ndarray] = {}
         scripts: dict[tuple[str, str], int] = {}
         for batch in batches:
+            seen: dict[str, Counter] = defaultdict(Counter)
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                seen[lang].update(map(str.lower, WORD.findall(text or "")))
+            for lang, words in seen.items():
                 mine = count.setdefault(lang, np.zeros(BUCKETS, np.int64))
-                for word in map(str.lower, WORD.findall(text or "")):
-                    np.add.at(mine, grams(word), 1)
+                for word, n in words.items():
                     key = (lang, script_of(word))
-                    scripts[key] = scripts.get(key, 0) + 1
+                    scripts[key] = scripts.get(key, 0) + n
+                if words:
+                    bucket, place = grams(list(words))
+                    mine += np.bincount(bucket, np.fromiter(words.values(), np.int64, len(words))[place], BUCKETS).astype(np.int64)
         for lang, mine in count.items():
             hit = np.flatnonzero(mine)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(hit), pa.string()), pa.array([""] * len(hit)), pa.array(hit.astype(np.int32)), pa.array(mine[hit])], names=["lang", "script", "bucket", "n"])
         if scripts:
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in scripts]), pa.array([k[1] for k in scripts]), pa.array([-1] * len(scripts), pa.int32()), pa.array(list(scripts.values()), pa.int64())], names=["lang", "script", "bucket", "n"])
 
-    few = training_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")).join(F.broadcast(ids), "doc_id").select("lang", "text")
-    sums = few.mapInArrow(run, "lang string, script string, bucket int, n long").groupBy("lang", "script", "bucket").agg(F.sum("n").alias("n"))
-    langs = [r.lang for r in sums.where("bucket = -1").groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()]
-    langs.sort()
-    rows = sums.where(F.col("lang").isin(langs)).toArrow().to_pandas()
+    sampled = F.lit(False)
+    for lang, at in least.items():
+        sampled = sampled | ((F.col("lang") == lang) & (level() >= at))
+    sums = known.where(sampled).select("lang", "text").mapInArrow(run, "lang string, script string, bucket int, n long").groupBy("lang", "script", "bucket").agg(F.sum("n").alias("n"))
+    rows = sums.toArrow().to_pandas()
+    langs = sorted(rows[rows.bucket < 0].lang.unique())
     place = {k: i for i, k in enumerate(langs)}
     table = np.zeros((BUCKETS, len(langs)))
     grams_ = rows[rows.bucket >= 0]
@@ -172,7 +233,7 @@ def label(docs: DataFrame, model: Model, keep: list[str] | None = None, spans: b
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(Model(*shared.value))
         for batch in batches:
-            out = [labeller.label(x, spans) for x in batch.column(n).to_pylist()]
+            out = list(labeller.label_all(batch.column(n).to_pylist(), spans))
             new = [pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())]
             if spans:
                 new.append(pa.array([[{"start": a, "end": b, "lang": k} for a, b, k in x[2]] for x in out], span))

@@ -210,3 +210,13 @@ def test_ordinal_without_labels(spark):
     assert ordinal.score(docs, ordinal.train(docs, labels)).count() == 3
     assert ordinal.select(docs, labels).columns == docs.columns
     assert ordinal.score(docs.limit(0), ordinal.train(docs.limit(0), labels.limit(0))).count() == 0
+
+
+def test_langid_sample_is_bounded_and_grams_stand_alone():
+    rows = [("a", 0, 5), ("a", 3, 4), ("a", 9, 2), ("b", 1, 2), ("c", 7, 90)]
+    assert langid.finest_levels(rows, 6) == {"a": 3, "b": 1, "c": 8}
+    words = ["a", "über", "漢字", "a" * 300]
+    bucket, place = langid.grams(words)
+    assert bucket.min() >= 0 and bucket.max() < langid.BUCKETS
+    for i, w in enumerate(words):
+        assert sorted(bucket[place == i]) == sorted(langid.grams([w])[0])
