@@ -2,8 +2,9 @@
 
 The best segmentation has the greatest sum of piece scores; a character that no piece covers is spelt in byte pieces.
 The encoder holds only the places from which a piece may still run on (at most the longest piece's length) and the
-backpointers since the last commit. When the paths of all these places meet in one boundary, the ids up to it are
-final. Equal sums go to the shorter last piece.
+backpointers since the last commit. Once the window is as long as the longest piece, it looks after each character
+whether the paths of all these places meet in one boundary; if so, the ids up to it are final. Equal sums go to the
+shorter last piece.
 
 Texts are cut where convergence is certain: before a run of blanks (no piece has a blank after another character) and
 around line ends that no piece contains. Cuts are encoded once per worker and memo.
@@ -32,11 +33,16 @@ OUT = "doc_id long, n_ids long, n_byte_ids long, ids_crc32 long, decoded_sha256
 
 
 class Vocabulary:
-    """Pieces with blanks as blanks; prefixes of them; byte pieces."""
+    """Pieces with blanks as blanks, as a trie; byte pieces."""
 
     def __init__(self, pieces: list[tuple[str, float]], bytes_: dict[int, int], size: int):
         self.ids = {p: (i, s) for i, (p, s) in enumerate(pieces) if p}
-        self.prefixes = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
+        self.trie: dict[str, list] = {}  # by character: what follows, the id of the piece that ends here or -1, its score
+        for p, (i, score) in self.ids.items():
+            node = self.trie
+            for ch in p[:-1]:
+                node = node.setdefault(ch, [{}, -1, 0.0])[0]
+            node.setdefault(p[-1], [{}, -1, 0.0])[1:] = i, score
         self.longest = max(map(len, self.ids), default=0)
         self.bytes, self.size = bytes_, size
         self.byte_of = {i: b for b, i in bytes_.items()}
@@ -62,22 +68,32 @@ class StreamingEncoder:
         self.restart()
 
     def restart(self) -> None:
-        self.held = ""  # characters since the last commit
-        self.best: list[float] = [0.0]  # of each boundary since then
-        self.back: list[tuple[int, tuple[int, ...]]] = [(0, ())]
-        self.live: list[int] = [0]  # boundaries from which a piece may still run on
+        self.best: list[float] = [0.0]  # of each boundary since the last commit
+        self.back: list[tuple[int, int | str]] = [(0, "")]  # the boundary before, and a piece's id or a character to spell
+        self.live: list[tuple[int, dict]] = [(0, self.v.trie)]  # boundaries from which a piece may still run on, last first
         self.widest = 0
 
+    @property
+    def held(self) -> list[tuple[int, int | str]]:
+        """Backpointers of the characters since the last commit."""
+        return self.back[1:]
+
     def _path(self, boundary: int) -> list[int]:
         parts = []
         while boundary:
-            boundary, ids = self.back[boundary]
-            parts.append(ids)
-        return [i for ids in reversed(parts) for i in ids]
+            boundary, part = self.back[boundary]
+            parts.append(part)
+        out = []
+        for part in reversed(parts):
+            if isinstance(part, str):
+                out += [self.v.bytes[b] for b in part.encode()]
+            else:
+                out.append(part)
+        return out
 
     def _commit(self) -> list[int]:
         """If all live paths meet, the ids up to the boundary where they do."""
-        paths = set(self.live)
+        paths = {x for x, _ in self.live}
         while len(paths) > 1:
             last = max(paths)
             paths.remove(last)
@@ -86,35 +102,42 @@ class StreamingEncoder:
         if not at:
             return []
         ids = self._path(at)
-        self.held, self.best = self.held[at:], self.best[at:]
-        self.back = [(0, ()), *((b - at, i) for b, i in self.back[at + 1 :])]
-        self.live = [x - at for x in self.live]
+        self.best = self.best[at:]
+        self.back = [(0, ""), *((b - at, i) for b, i in self.back[at + 1 :])]
+        self.live = [(x - at, node) for x, node in self.live]
         return ids
 
     def feed(self, text: str) -> list[int]:
         out: list[int] = []
-        v = self.v
+        root, cost, longest = self.v.trie, self.v.byte_cost, self.v.longest
+        best, back, live, widest = self.best, self.back, self.live, self.widest
         for ch in text:
-            self.held += ch
-            end = len(self.held)
-            raw = tuple(v.bytes[b] for b in ch.encode())
-            score, back = self.best[end - 1] + v.byte_cost * len(raw), (end - 1, raw)
-            live = []
-            for start in reversed(self.live):  # shortest piece first
-                part = self.held[start:end]
-                if part in v.prefixes:
-                    live.append(start)
-                    if (hit := v.ids.get(part)) and (total := self.best[start] + hit[1]) > score:
-                        score, back = total, (start, (hit[0],))
-            self.best.append(score)
-            self.back.append(back)
-            self.live = [*reversed(live), end]
-            self.widest = max(self.widest, end - self.live[0])
-            out += self._commit()
+            end = len(best)
+            score, step = best[-1] + (cost if ch < "\x80" else cost * len(ch.encode())), (end - 1, ch)
+            ahead = [(end, root)]
+            for start, node in live:  # shortest piece first
+                hit = node.get(ch)
+                if hit is not None:
+                    follow, i, own = hit
+                    if follow:
+                        ahead.append((start, follow))
+                    if i >= 0 and (total := best[start] + own) > score:
+                        score, step = total, (start, i)
+            best.append(score)
+            back.append(step)
+            live = ahead
+            if end - live[-1][0] > widest:
+                widest = end - live[-1][0]
+            if end >= longest:
+                self.live = live
+                if ids := self._commit():
+                    out += ids
+                    best, back, live = self.best, self.back, self.live
+        self.live, self.widest = live, widest
         return out
 
     def finish(self) -> list[int]:
-        ids = self._path(len(self.held))
+        ids = self._path(len(self.best) - 1)
         self.restart()
         return ids
 
