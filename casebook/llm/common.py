@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of one Arrow batch. With texts of some kB that is a few MB; one very long text is a batch of its own size.
-ARROW_ROWS = 1000
+#: Rows and bytes of one Arrow batch, whichever is reached first; one very long text is a batch of its own size.
+ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def small_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch holds."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:

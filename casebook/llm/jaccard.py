@@ -37,7 +37,7 @@ WORDS, LEAST = 4, 85
 #: The order's list of frequent shingles: at most so many from each task and in all. Any list gives the same links.
 HOT_TASK, HOT, HOT_LEAST = 4096, 20_000, 16
 ROUNDS, BLOCKS, SIZES = 6, 4, 256
-MEMO = 400_000
+MEMO = 50_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
