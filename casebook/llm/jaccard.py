@@ -273,9 +273,9 @@ def join(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"))
 
 
-def select(docs: DataFrame) -> DataFrame:
+def select(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
     """One document of each component (the least doc_id; of repeated rows one), with its columns. Null ids stay."""
-    ids = materialise(join(docs))
+    ids = materialise(join(docs, words, least))
     out = ids.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
     kept = docs.withColumn("__id", F.col("doc_id").cast("long"))
     kept = join_by_size(kept, out, ["__id"], "left_anti", out.count())

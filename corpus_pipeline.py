@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from casebook.llm import jaccard, langid, ordinal, packing, secrets
 from casebook.llm.common import materialise, table
 
+#: Near copies share this many hundredths of their shingles of so many words.
+NEAR_WORDS, NEAR_LEAST = 5, 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ordinal classifier rejects go."""
@@ -20,8 +23,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones stays."""
-    return jaccard.select(docs)
+    """One document of each group of linked ones stays. Links are at NEAR_WORDS and NEAR_LEAST, not at op2's values."""
+    return jaccard.select(docs, NEAR_WORDS, NEAR_LEAST)
 
 
 def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
