@@ -36,7 +36,7 @@ from casebook.llm.graph import components as connected
 WORDS, LEAST = 4, 85
 #: The order's list of frequent shingles: at most so many from each task and in all. Any list gives the same links.
 HOT_TASK, HOT, HOT_LEAST = 4096, 20_000, 16
-ROUNDS, BLOCKS, SIZES = 6, 4, 256
+ROUNDS, BLOCKS, SIZES, MOST_SIZE = 6, 4, 256, (1 << 16) - 1
 MEMO = 50_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -138,9 +138,9 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
 
 def block_sizes(x: np.ndarray) -> bytes:
-    """How many hashes fall in each of SIZES ranges. A set too large for 16 bits gives the bound that bounds nothing."""
+    """How many hashes fall in each of SIZES ranges. A set too large for 16 bits has MOST_SIZE in all: it bounds nothing."""
     n = np.bincount((x >> np.uint64(64 - SIZES.bit_length() + 1)).astype(np.int64), minlength=SIZES)
-    return (n if n.max(initial=0) < 1 << 16 else np.full(SIZES, (1 << 16) - 1)).astype("<u2").tobytes()
+    return (n if n.max(initial=0) < MOST_SIZE else np.full(SIZES, MOST_SIZE)).astype("<u2").tobytes()
 
 
 def bounded(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
@@ -149,9 +149,9 @@ def bounded(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, SIZES).astype(np.int64) for i in (4, 5))
-            most = np.where((a.min(1) < (1 << 16) - 1) & (b.min(1) < (1 << 16) - 1), np.minimum(a, b).sum(1), 1 << 60)
-            n = a.sum(1) + b.sum(1)
-            yield pa.RecordBatch.from_arrays(batch.columns[:4], names=["a", "b", "ca", "cb"]).filter(pa.array(most * (100 + least) >= n * least))
+            unbounded = (a.min(1) == MOST_SIZE) | (b.min(1) == MOST_SIZE)
+            most, n = np.minimum(a, b).sum(1), a.sum(1) + b.sum(1)
+            yield pa.RecordBatch.from_arrays(batch.columns[:4], names=["a", "b", "ca", "cb"]).filter(pa.array(unbounded | (most * (100 + least) >= n * least)))
 
     left, right = (classes.select(F.col("node").alias(x), F.col("blocks").alias(f"blocks_{x}")) for x in "ab")
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ca", "cb", "blocks_a", "blocks_b").mapInArrow(run, "a long, b long, ca long, cb long")

@@ -113,3 +113,12 @@ def test_components(spark):
             root[a] = root[b] = min(root[a], root[b])
     got = {r.node: r.comp for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: v for k, v in root.items() if k != v}
+
+
+def test_giant_sets_are_never_discarded(spark):
+    giant = jaccard.block_sizes(np.arange(70_000, dtype=np.uint64))  # over 16 bits in one block
+    small, far = jaccard.block_sizes(np.arange(9, dtype=np.uint64)), jaccard.block_sizes(np.arange(9, dtype=np.uint64) << np.uint64(60))
+    classes = spark.createDataFrame([(1, giant), (2, giant), (3, small), (4, far)], "node long, blocks binary")
+    pairs = spark.createDataFrame([(a, b, a, b) for a, b in ((1, 2), (1, 3), (3, 4), (3, 3))], "a long, b long, ca long, cb long")
+    for least in (80, 85):
+        assert {(r.a, r.b) for r in jaccard.bounded(pairs, classes, least).collect()} == {(1, 2), (1, 3), (3, 3)}
