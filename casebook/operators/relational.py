@@ -188,3 +188,37 @@ def overlap_links(left: DataFrame, right: DataFrame, key: str, other: str, block
     b = right.select(block, other, words(F.col(other_text)).alias("wb"))
     both = F.size(F.array_intersect("wa", "wb"))
     return a.join(b, block).select(key, other, F.round(both / (F.size("wa") + F.size("wb") - both), 6).alias("confidence")).where(F.col("confidence") >= least)
+
+
+def similar_pairs(left: DataFrame, right: DataFrame, key: str, other: str, text: str, other_text: str, least: float) -> DataFrame:
+    """All pairs whose word sets' Jaccard similarity is at least `least` (over 0), by an inverted index of the words: pairs
+    that share no word have none. Repeated rows are paired each; null and empty texts with nothing."""
+    words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("[a-z0-9]+"), F.lit(0)))
+
+    def postings(rows: DataFrame, name: str, of: str, side: str) -> DataFrame:
+        sets = rows.select(F.monotonically_increasing_id().alias(f"row_{side}"), F.col(name), words(F.col(of)).alias("words"))
+        return sets.select(f"row_{side}", name, F.size("words").alias(f"n_{side}"), F.explode("words").alias("word"))
+
+    shared = postings(left, key, text, "a").join(postings(right, other, other_text, "b"), "word").groupBy("row_a", "row_b", key, other, "n_a", "n_b").agg(F.count(F.lit(1)).alias("both"))
+    return shared.select(key, other, F.round(F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both")), 6).alias("confidence")).where(F.col("confidence") >= least)
+
+
+def intent_chain(docs: DataFrame, refs: DataFrame, least: float = 0.5) -> DataFrame:
+    """provision, act, bill, sitting, section, confidence, speech: provision to the acts that enacted (its parent) or amended
+    it (`amends`), to their bills (`enacted_by`), to debate sections with a title like the bill's, to their speeches.
+
+    The confidence is that of the chain's edges multiplied; a section without speeches has a null one.
+    """
+    sure = F.coalesce(F.col("confidence"), F.lit(1.0))
+    provisions = docs.where(F.col("corpus").isin("act", "sl") & F.col("parent").isNotNull())
+    own = provisions.select(F.col("urn").alias("provision"), F.col("parent").alias("act"), F.lit(1.0).alias("c1"))
+    amended = refs.where("kind = 'amends'").select(F.col("to").alias("provision"), F.col("from").alias("act"), sure.alias("c1")).join(provisions.select(F.col("urn").alias("provision")), "provision", "left_semi")
+    acts = own.unionByName(amended).groupBy("provision", "act").agg(F.max("c1").alias("c1"))
+    bills = refs.where("kind = 'enacted_by' and to is not null").groupBy(F.col("from").alias("act"), F.col("to").alias("bill")).agg(F.max(sure).alias("c2"))
+    level = F.get_json_object("meta", "$.level")
+    sections = docs.where((F.col("corpus") == "hansard") & (level == "section")).select(F.col("urn").alias("section"), F.col("parent").alias("sitting"), F.col("title").alias("heading"))
+    named = docs.where("corpus = 'bill'").select(F.col("urn").alias("bill"), "title")
+    debated = similar_pairs(named, sections, "bill", "section", "title", "heading", least)
+    speeches = docs.where((F.col("corpus") == "hansard") & (level == "speech")).select(F.col("parent").alias("section"), F.col("urn").alias("speech"))
+    chain = acts.join(bills, "act").join(debated, "bill").join(sections.select("section", "sitting"), "section").join(speeches, "section", "left")
+    return chain.select("provision", "act", "bill", "sitting", "section", F.round(F.col("c1") * F.col("c2") * F.col("confidence"), 6).alias("confidence"), "speech")

@@ -506,6 +506,14 @@ def parent_intent_chain(spark, d):
     return R.overlap_links(docs, items, "doc_id", "item_id", "block", "text", "item", 0.05)
 
 
+@query("""WITH w AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')) AS a FROM documents),
+b AS (SELECT item_id, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')) AS b FROM benchmark)
+SELECT doc_id, item_id, round(len(list_intersect(a, b))::DOUBLE / (len(a) + len(b) - len(list_intersect(a, b))), 6) AS confidence FROM w, b
+WHERE round(len(list_intersect(a, b))::DOUBLE / (len(a) + len(b) - len(list_intersect(a, b))), 6) >= 0.05""")
+def parent_intent_pairs(spark, d):
+    return R.similar_pairs(t(spark, d, "documents").select("doc_id", "text"), t(spark, d, "benchmark").select("item_id", F.col("text").alias("item")), "doc_id", "item_id", "text", "item", 0.05)
+
+
 @query("""SELECT n_name, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 WHERE l_shipdate >= TIMESTAMP '1996-01-01' GROUP BY n_name ORDER BY revenue DESC, n_name LIMIT 10""")
 def join_agg_topk(spark, d):

@@ -226,3 +226,25 @@ def test_decisions_tool(spark):
     assert page.count() == 4 and tuple(totals.first()) == (2, 100, 1, 4)
     page, totals = api.decisions(docs, penalty_min=1000)
     assert page.count() == 0 and tuple(totals.first()) == (0, None, None, 0)
+
+
+def test_intent_chain(spark):
+    docs = [
+        ("urn:sg:act:A1", "act", "A Act", None, None), ("urn:sg:act:A1:s1", "act", "s 1", "urn:sg:act:A1", None), ("urn:sg:act:A1:s2", "act", "s 2", "urn:sg:act:A1", None),
+        ("urn:sg:bill:2020:7", "bill", "Data Safety (Amendment) Bill", None, None), ("urn:sg:bill:2012:2", "bill", "Data Safety Bill", None, None),
+        ("urn:sg:hansard:d1", "hansard", "Sitting", None, '{"level": "sitting"}'), ("urn:sg:hansard:d1:s5", "hansard", "DATA SAFETY (AMENDMENT) BILL", "urn:sg:hansard:d1", '{"level": "section"}'),
+        ("urn:sg:hansard:d1:s6", "hansard", "Fish", "urn:sg:hansard:d1", '{"level": "section"}'), ("urn:sg:hansard:d1:s5:sp1", "hansard", "x", "urn:sg:hansard:d1:s5", '{"level": "speech"}'),
+        ("urn:sg:hansard:d1:s5:sp2", "hansard", "x", "urn:sg:hansard:d1:s5", '{"level": "speech"}'), ("urn:sg:hansard:d1:s6:sp1", "hansard", "x", "urn:sg:hansard:d1:s6", '{"level": "speech"}'),
+    ]
+    docs = spark.createDataFrame([(*r, None) for r in docs], "urn string, corpus string, title string, parent string, meta string, canonical_urn string")
+    refs = spark.createDataFrame([("urn:sg:act:AA", "urn:sg:act:A1:s2", "amends", 0.5), ("urn:sg:act:AA", "urn:sg:bill:2020:7", "enacted_by", None), ("urn:sg:act:A1", "urn:sg:bill:2012:2", "enacted_by", 1.0), ("urn:sg:act:A1", None, "enacted_by", None)], "`from` string, `to` string, kind string, confidence double")
+    got = {(r.provision[-2:], r.act[11:], r.bill[12:], r.section[15:], r.confidence, r.speech[-3:]) for r in relational.intent_chain(docs, refs).collect()}
+    assert got == {("s2", "AA", "2020:7", "d1:s5", 0.5, x) for x in ("sp1", "sp2")} | {(s, "A1", "2012:2", "d1:s5", 0.75, x) for s in ("s1", "s2") for x in ("sp1", "sp2")}
+    rows = api.parliamentary_intent(docs, refs, "urn:sg:act:A1:s2").collect()
+    assert [r.confidence for r in rows] == [0.75, 0.75, 0.5, 0.5] and all(r.sitting == "urn:sg:hansard:d1" and r.caveat for r in rows)
+
+
+def test_similar_pairs_over_blocks(spark):
+    left = spark.createDataFrame([(1, "a b"), (1, "a b"), (2, "c d e f"), (3, ""), (4, None)], "k long, text string")
+    right = spark.createDataFrame([(7, "A, b!"), (8, "c z"), (9, None)], "o long, item string")
+    assert sorted(map(tuple, relational.similar_pairs(left, right, "k", "o", "text", "item", 0.2).collect())) == [(1, 7, 1.0), (1, 7, 1.0), (2, 8, 0.2)]
