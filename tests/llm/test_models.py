@@ -220,3 +220,25 @@ def test_langid_sample_is_bounded_and_grams_stand_alone():
     assert bucket.min() >= 0 and bucket.max() < langid.BUCKETS
     for i, w in enumerate(words):
         assert sorted(bucket[place == i]) == sorted(langid.grams([w])[0])
+
+
+def test_fertility_bands_reject_bad_texts(spark):
+    """Held-out labelled texts of 50 words or more: nearly all good ones are kept, most bad ones aren't."""
+    large = "/root/testdata/sf0.1"
+    docs, labels = table(spark, large, "documents"), table(spark, large, "labels").where("toxic = 0")
+    paths = [public_tokenizers.path(x) for x in ("piece_bpe_32k.model", "word_bpe_49k.json", "byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken")]
+    bands = fertility.fit(docs, labels, paths)
+    assert {k for k, _ in bands} == set(map(fertility.name_of, paths))
+    held = docs.join(labels.where("crc32(cast(doc_id AS string)) % 4 = 2"), "doc_id")
+    quality = {r.doc_id: r.quality for r in held.select("doc_id", "quality").collect()}
+    for v in (paths, *([x] for x in paths)):
+        rows = [r for r in fertility.measure(held, v, bands).collect() if r.n_words >= 50]
+        kept = [np.mean([r.kept for r in rows if quality[r.doc_id] == q]) for q in (0, 1)]
+        print([fertility.name_of(x) for x in v], kept, [sum(quality[r.doc_id] == q for r in rows) for q in (0, 1)])
+        assert kept[1] > 0.98 and kept[0] < (0.5 if len(v) > 1 else 0.6)
+
+
+def test_the_same_vocabulary_measures_alike(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents").limit(80)
+    a, b = (sorted(fertility.measure(docs, public_tokenizers.path(f"byte_bpe_50k.{x}")).select("doc_id", "chars_per_token", "byte_share", "token_entropy").collect()) for x in ("json", "tiktoken"))
+    assert np.array(a) == pytest.approx(np.array(b)) and max(r.byte_share for r in a) > 0
