@@ -242,3 +242,14 @@ def test_the_same_vocabulary_measures_alike(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents").limit(80)
     a, b = (sorted(fertility.measure(docs, public_tokenizers.path(f"byte_bpe_50k.{x}")).select("doc_id", "chars_per_token", "byte_share", "token_entropy").collect()) for x in ("json", "tiktoken"))
     assert np.array(a) == pytest.approx(np.array(b)) and max(r.byte_share for r in a) > 0
+
+
+def test_two_small_gains_beat_one_language():
+    lab = langid.Labeller(langid.Model(["a", "b", "c"], np.zeros((1, 3)), {}))
+    s = np.array([[0.0, -20, -9], [-20, 0, -9]])
+    assert lab.path(s).tolist() == [0, 1] and score_of(s, lab.path(s)) == exact_path(s) == -10
+    rng = np.random.default_rng(4)
+    for n in [2, 3, 5, 8] * 100:
+        s = -rng.integers(0, 12, (n, 4)).astype(float)
+        s -= s.max(1, keepdims=True)
+        assert score_of(s, lab.path(s)) == pytest.approx(exact_path(s))
