@@ -31,7 +31,9 @@ WORD = re.compile(r"[^\W\d_]+")
 #: First code points of scripts (fixed values of the Unicode blocks), in order.
 STARTS = [(0x0, "latin"), (0x370, "greek"), (0x400, "cyrillic"), (0x530, "armenian"), (0x590, "hebrew"), (0x600, "arabic"), (0x900, "devanagari"), (0x980, "bengali"), (0xA00, "indic"), (0xB80, "tamil"), (0xC00, "indic"), (0xE00, "thai"), (0xE80, "other"), (0x10A0, "georgian"), (0x1100, "hangul"), (0x1200, "other"), (0x1E00, "latin"), (0x1F00, "greek"), (0x2000, "other"), (0x2C60, "latin"), (0x2C80, "other"), (0x3040, "kana"), (0x3100, "other"), (0x3400, "han"), (0xA000, "other"), (0xA720, "latin"), (0xA800, "other"), (0xAC00, "hangul"), (0xD7B0, "other"), (0xF900, "han"), (0xFB00, "latin"), (0xFB50, "arabic"), (0xFE00, "other"), (0xFF21, "latin"), (0xFF66, "kana"), (0xFFA0, "other"), (0x20000, "han"), (0x32000, "other")]
 POINTS, SCRIPTS = [a for a, _ in STARTS], [b for _, b in STARTS]
-PER_LANG, BUCKETS, MOST_LANGS = 1000, 1 << 16, 64
+PER_LANG, BUCKETS = 1000, 1 << 16
+#: A table of BUCKETS by languages is held by the driver and each worker; more languages than that are an error.
+MOST_LANGS = 256
 #: In nats: a change of language costs SWITCH; a word's score is shared out over its dependent n-grams.
 SWITCH, SHARE, NOT_ADMITTED, SEEN = 10.0, 0.25, -30.0, 0.001
 MEMO = 400_000
@@ -169,7 +171,9 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
     """
     small_batches(docs.sparkSession)
     known = training_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")).where("doc_id is not null")
-    most = [r.lang for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()]
+    most = [r.lang for r in known.select("lang").distinct().limit(MOST_LANGS + 1).collect()]
+    if len(most) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} labelled languages")
     if not most:
         return Model([], np.zeros((BUCKETS, 0), np.float32), {})
     levels = known.where(F.col("lang").isin(most)).groupBy("lang", level().alias("level")).agg(F.count("*").alias("n")).collect()

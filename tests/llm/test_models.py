@@ -253,3 +253,14 @@ def test_two_small_gains_beat_one_language():
         s = -rng.integers(0, 12, (n, 4)).astype(float)
         s -= s.max(1, keepdims=True)
         assert score_of(s, lab.path(s)) == pytest.approx(exact_path(s))
+
+
+def test_every_labelled_language_is_learnt(spark, monkeypatch):
+    langs = [f"l{i}" for i in range(90)]
+    words = {k: " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + j)}q" * 2 for j in range(9)) for i, k in enumerate(langs)}
+    docs = spark.createDataFrame([(100 * j + i, words[k], k) for i, k in enumerate(langs) for j in range(4)], "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    assert set(model.langs) == {r.lang for r in langid.training_rows(docs).select("lang").distinct().collect()} and len(model.langs) > 64
+    monkeypatch.setattr(langid, "MOST_LANGS", 64)
+    with pytest.raises(ValueError, match="64 labelled"):
+        langid.train(docs)
