@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from casebook.llm import packing, tokenfile
+from casebook.llm import packing, tokenfile, tokens
 from casebook.llm.tokens import WordIds
 
 WORD, BYTE = (public_tokenizers.path(x) for x in ("word_bpe_49k.json", "byte_bpe_50k.json"))
@@ -24,7 +24,30 @@ def ids(path: str, text: str | None) -> list[int]:
 
 @pytest.mark.parametrize("path", [WORD, BYTE])
 def test_word_ids_equal_the_library(path):
-    assert WordIds(path).encode(TEXTS) == [WordIds.pack(ids(path, x)) for x in TEXTS]
+    assert WordIds(path).encode(TEXTS) == [np.array(ids(path, x), "<u2").tobytes() for x in TEXTS]
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_word_ids_equal_the_library_over_all_of_unicode(path):
+    rng = np.random.default_rng(7)
+    points = np.array([c for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000])
+    each = ["".join(map(chr, points[i : i + 3].tolist())) + " x" + chr(points[i]) + "y" for i in range(0, len(points), 40)]
+    latin = ["".join(map(chr, rng.integers(32, 0x250, 60).tolist())) for _ in range(1500)]
+    mixed = ["".join(map(chr, rng.choice(points, 12).tolist())) + " ab's" for _ in range(500)]
+    texts = ["İstanbul İ I\u0307 ı", *(f"a{chr(c)}b {chr(c)}" for c in range(1, 0x250)), *each, *latin, *mixed]
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    want = [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
+    got = WordIds(path).encode(texts)
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == want
+
+
+def test_memos_are_bounded_and_do_not_change_ids(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_BYTES", 1 << 12)
+    small, texts = WordIds(BYTE), [f"word{i} same {i * 7}" for i in range(500)]
+    for i in range(0, 500, 50):
+        assert small.encode(texts[i : i + 50]) == [np.array(ids(BYTE, x), "<u2").tobytes() for x in texts[i : i + 50]]
+        assert small.chunks.old.size() < 1 << 13
 
 
 def test_packing(spark):
