@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,11 +25,28 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`run` for mapInArrow; at a task's end the worker, which is used again, gives back what the task held."""
+
+    def out(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return out
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under the shared folder that the cluster names; only where none is named, one of our own."""
+    """A new folder under the shared folder that the cluster names. Where none is named, a local session has one of its
+    own; on a cluster that is an error, since executors share no local folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "/tmp/casebook-checkpoints"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="casebook-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base}/{uuid.uuid4().hex}"
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import discard, join_by_size, materialise, small_batches
+from casebook.llm.common import discard, join_by_size, materialise, small_batches, tidy
 from casebook.llm.graph import components as connected
 
 WORDS, LEAST = 4, 85
@@ -88,7 +88,7 @@ def frequent(docs: DataFrame, words: int) -> np.ndarray:
                 keys, sums = keys[top], sums[top]
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(sums)], names=["sh", "n"])
 
-    sums = docs.select("text").mapInArrow(run, "sh long, n long").groupBy("sh").agg(F.sum("n").alias("n"))
+    sums = docs.select("text").mapInArrow(tidy(run), "sh long, n long").groupBy("sh").agg(F.sum("n").alias("n"))
     top = sums.where(F.col("n") >= HOT_LEAST).orderBy(F.desc("n"), "sh").limit(HOT).toArrow()
     return top["sh"].to_numpy().view(np.uint64)[::-1].copy()
 
@@ -117,7 +117,7 @@ def prefixes(docs: DataFrame, words: int, least: int, hot: np.ndarray) -> DataFr
             keys = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(first, pa.list_(pa.int64())), pa.array([block_sizes(x) for x in sets], pa.binary())], names=["doc_id", "n", "key", "prefix", "blocks"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, key binary, prefix array<long>, blocks binary")
+    return docs.mapInArrow(tidy(run), "doc_id long, n long, key binary, prefix array<long>, blocks binary")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -134,7 +134,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], names=["node", "shingles"])
 
     texts = join_by_size(docs, wanted.select(F.col("node").alias("doc_id"), "key"), ["doc_id"], "inner", wanted.count())
-    return texts.select("doc_id", "key", "text").mapInArrow(run, "node long, shingles binary")
+    return texts.select("doc_id", "key", "text").mapInArrow(tidy(run), "node long, shingles binary")
 
 
 def block_sizes(x: np.ndarray) -> bytes:
@@ -154,7 +154,7 @@ def bounded(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(batch.columns[:4], names=["a", "b", "ca", "cb"]).filter(pa.array(unbounded | (most * (100 + least) >= n * least)))
 
     left, right = (classes.select(F.col("node").alias(x), F.col("blocks").alias(f"blocks_{x}")) for x in "ab")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ca", "cb", "blocks_a", "blocks_b").mapInArrow(run, "a long, b long, ca long, cb long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "ca", "cb", "blocks_a", "blocks_b").mapInArrow(tidy(run), "a long, b long, ca long, cb long")
 
 
 def overlap(a: np.ndarray, b: np.ndarray, bound: int) -> int:
@@ -186,7 +186,7 @@ def multiply(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
 
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").select("ca", "cb", "sa", "sb").mapInArrow(run, "ca long, cb long")
+    return pairs.join(left, "a").join(right, "b").select("ca", "cb", "sa", "sb").mapInArrow(tidy(run), "ca long, cb long")
 
 
 def _may_link(n: Column, pos: Column, m: Column, mpos: Column, least: int) -> Column:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import small_batches
+from casebook.llm.common import small_batches, tidy
 
 WORD = re.compile(r"[^\W\d_]+")
 #: First code points of scripts (fixed values of the Unicode blocks), in order.
@@ -203,7 +203,7 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
     sampled = F.lit(False)
     for lang, at in least.items():
         sampled = sampled | ((F.col("lang") == lang) & (level() >= at))
-    sums = known.where(sampled).select("lang", "text").mapInArrow(run, "lang string, script string, bucket int, n long").groupBy("lang", "script", "bucket").agg(F.sum("n").alias("n"))
+    sums = known.where(sampled).select("lang", "text").mapInArrow(tidy(run), "lang string, script string, bucket int, n long").groupBy("lang", "script", "bucket").agg(F.sum("n").alias("n"))
     rows = sums.toArrow().to_pandas()
     langs = sorted(rows[rows.bucket < 0].lang.unique())
     place = {k: i for i, k in enumerate(langs)}
@@ -224,25 +224,25 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
 
 
 def label(docs: DataFrame, model: Model, keep: list[str] | None = None, spans: bool = False, prefix: str = "") -> DataFrame:
-    """`keep` columns (doc_id unless named), lang_pred, score (prefixed); with spans also an array of (start, end, lang)."""
+    """`keep` columns (text among them; doc_id unless named), lang_pred, score (prefixed); with spans also an array of (start, end, lang)."""
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast((model.langs, model.table, model.admitted))  # BUCKETS x MOST_LANGS at most
-    rows = docs.select(*(keep or [F.col("doc_id").cast("long").alias("doc_id")]), F.col("text").alias("__text"))
-    n = len(rows.columns) - 1
+    rows = docs.select(*keep) if keep else docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("__text"))
+    n, at = (len(keep), keep.index("text")) if keep else (1, 1)
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(Model(*shared.value))
         for batch in batches:
-            out = list(labeller.label_all(batch.column(n).to_pylist(), spans))
+            out = list(labeller.label_all(batch.column(at).to_pylist(), spans))
             new = [pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())]
             if spans:
                 new.append(pa.array([[{"start": a, "end": b, "lang": k} for a, b, k in x[2]] for x in out], span))
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], *new], names=[*batch.schema.names[:n], *(prefix + x for x in ("lang_pred", "score", "spans")[: len(new)])])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:n])
-    return rows.mapInArrow(run, f"{kept}, {prefix}lang_pred string, {prefix}score double" + f", {prefix}spans array<struct<start:int,end:int,lang:string>>" * spans)
+    return rows.mapInArrow(tidy(run), f"{kept}, {prefix}lang_pred string, {prefix}score double" + f", {prefix}spans array<struct<start:int,end:int,lang:string>>" * spans)
 
 
 def predict(docs: DataFrame) -> DataFrame:

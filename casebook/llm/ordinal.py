@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import small_batches
+from casebook.llm.common import small_batches, tidy
 
 GRADES = 3
 SAMPLE, LEAST, BITS = 8000, 8, 30
@@ -139,29 +139,30 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([features.of(x).tobytes() for x in batch.column(2).to_pylist()], pa.binary())], names=["doc_id", "grade", "features"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
-    rows = texts.select("doc_id", "grade", "text").mapInArrow(run, "doc_id long, grade int, features binary").toArrow()
+    texts = texts.groupBy("doc_id").agg(F.first("grade").alias("grade"), F.min("text").alias("text"))
+    rows = texts.select("doc_id", "grade", "text").mapInArrow(tidy(run), "doc_id long, grade int, features binary").toArrow()
     order = np.argsort(rows["doc_id"].to_numpy(), kind="stable")
     found = [(np.frombuffer(rows["features"][i].as_py(), "<u4"), rows["grade"][i].as_py()) for i in order.tolist()]
     return fit(found)
 
 
 def score(docs: DataFrame, model: Model, keep: list[str] | None = None, cut: float = CUT, prefix: str = "") -> DataFrame:
-    """`keep` columns (doc_id unless named), expected_grade, tail_prob (of the best grade), grade, kept; these prefixed."""
+    """`keep` columns (text among them; doc_id unless named), expected_grade, tail_prob (of the best grade), grade, kept; these prefixed."""
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast((model.keys, model.weights, model.thresholds))  # bounded by SAMPLE documents' features
-    rows = docs.select(*(keep or [F.col("doc_id").cast("long").alias("doc_id")]), F.col("text").alias("__text"))
-    n = len(rows.columns) - 1
+    rows = docs.select(*keep) if keep else docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("__text"))
+    n, at = (len(keep), keep.index("text")) if keep else (1, 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, own = Features(), Model(*shared.value)
         for batch in batches:
-            p = np.array([own.probabilities(features.of(x)) for x in batch.column(n).to_pylist()]).reshape(batch.num_rows, -1)
+            p = np.array([own.probabilities(features.of(x)) for x in batch.column(at).to_pylist()]).reshape(batch.num_rows, -1)
             new = [pa.array(p @ np.arange(p.shape[1]) if len(p) else np.zeros(0)), pa.array(p[:, -1] if len(p) else np.zeros(0)), pa.array(p.argmax(1).astype(np.int32) if len(p) else np.zeros(0, np.int32)), pa.array(p[:, -1] >= cut if len(p) else np.zeros(0, bool))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], *new], names=[*batch.schema.names[:n], *(prefix + x for x in ("expected_grade", "tail_prob", "grade", "kept"))])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:n])
-    return rows.mapInArrow(run, f"{kept}, {prefix}expected_grade double, {prefix}tail_prob double, {prefix}grade int, {prefix}kept boolean")
+    return rows.mapInArrow(tidy(run), f"{kept}, {prefix}expected_grade double, {prefix}tail_prob double, {prefix}grade int, {prefix}kept boolean")
 
 
 def select(docs: DataFrame, labels: DataFrame) -> DataFrame:

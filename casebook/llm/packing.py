@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import materialise, small_batches
+from casebook.llm.common import materialise, small_batches, tidy
 from casebook.llm.tokens import WordIds
 
 WINDOW = 2048
@@ -143,7 +143,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary()), pa.array([signature(np.frombuffer(x, "<u2")) for x in raw], pa.int64())], names=["doc_id", "ids", "signature"])
 
     small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary, signature long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), "doc_id long, ids binary, signature long")
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = WINDOW) -> DataFrame:
@@ -176,4 +176,4 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = WINDOW)
 
     ids = materialise(encode(docs, tokenizer, end_id))
     ranged = ids.repartitionByRange("signature", "doc_id").sortWithinPartitions("signature", "doc_id")
-    return ranged.select("doc_id", "ids").mapInArrow(run, OUT)
+    return ranged.select("doc_id", "ids").mapInArrow(tidy(run), OUT)

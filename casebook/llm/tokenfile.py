@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from casebook.llm.common import materialise, small_batches
+from casebook.llm.common import materialise, small_batches, tidy
 from casebook.llm.tokens import WordIds
 
 BLOCK, PERCENTILE = 512, 90
@@ -143,7 +143,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2, path: str | N
 
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(F.col("doc_id").asc_nulls_first())
-    return materialise(rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()).mapInArrow(pack, SHARD), path)
+    return materialise(rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()).mapInArrow(tidy(pack), SHARD), path)
 
 
 def read_tokens(shards: DataFrame) -> DataFrame:
@@ -160,7 +160,7 @@ def read_tokens(shards: DataFrame) -> DataFrame:
                 crc = [zlib.crc32(ids[e - s : e].astype("<u4").data) for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(doc_ids, mask=valid == 0), pa.array(base + ends - sizes), pa.array(sizes.astype(np.int64)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    shards.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
+    small_batches(shards.sparkSession)
     parts = shards.groupBy("part").agg(F.max(F.col("before") + F.col("n_ids")).alias("n"))
     bases = parts.select("part", (F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("base"))
-    return shards.join(F.broadcast(bases), "part").select((F.col("base") + F.col("before")).alias("base"), "file").mapInArrow(unpack, OUT)
+    return shards.join(F.broadcast(bases), "part").select((F.col("base") + F.col("before")).alias("base"), "file").mapInArrow(tidy(unpack), OUT)
