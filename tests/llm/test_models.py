@@ -113,6 +113,49 @@ def test_fertility(spark):
     assert fertility.measure(docs.limit(0), MODEL).count() == 0
 
 
+def test_fertility_equals_brute_force(spark):
+    """Counts, measures, script and verdict of every text by the libraries alone, word by word; repeated rows and a very long text."""
+    import base64
+    from collections import Counter
+
+    import sentencepiece
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    paths = [public_tokenizers.path(x) for x in ("piece_bpe_32k.model", "word_bpe_49k.json", "byte_bpe_multi_50k.tiktoken")]
+    sp = sentencepiece.SentencePieceProcessor(model_file=paths[0])
+    word = Tokenizer.from_file(paths[1])
+    word.encode_special_tokens = True
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(paths[2], "rb"))}
+    tik = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encode = [sp.encode, lambda w: word.encode(w, add_special_tokens=False).ids, tik.encode_ordinary]
+    texts = ["", None, "a", "same text twice", "same text twice", "İstanbul d'Été x\u00a0y 12,5", "漢字かな " * 30, "слово ещё " * 40, "!!! ... 12", "long word " * 60_000]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    docs = docs.unionByName(table(spark, "/root/testdata/sf0.001", "documents").limit(60).selectExpr("doc_id + 100 AS doc_id", "text"))
+    bands = {(n, "latin"): fertility.Band((1.2, 2.6), (0.0, 0.2), (3.0, 7.0)) for n in map(fertility.name_of, paths)}
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    rows = fertility.measure(docs, paths, bands).collect()
+    assert len(rows) == len(text)
+    verdicts = set()
+    for r in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", text[r.doc_id])
+        scripts = Counter(langid.script_of("".join(filter(str.isalpha, w))) for w in words if any(map(str.isalpha, w)))
+        top = max(scripts.values(), default=0)
+        script = min((k for k, n in scripts.items() if n == top), default="other")
+        kept = not r.base_failed
+        for k, (enc, path) in enumerate(zip(encode, paths)):
+            ids = [i for w in words for i in enc(w)]
+            p = np.array(list(Counter(ids).values())) / max(1, len(ids))
+            want = (sum(map(len, words)) / len(ids), -(p * np.log2(p)).sum()) if ids else (0.0, 0.0)
+            end = "" if k == 0 else "_" + fertility.name_of(path)
+            assert (r["chars_per_token" + end], r["token_entropy" + end]) == pytest.approx(want)
+            b = bands.get((fertility.name_of(path), script)) or (fertility.BANDS.get(script, fertility.BANDS["other"]) if k == 0 else None)
+            kept &= b is None or (b.chars_per_token[0] <= want[0] <= b.chars_per_token[1] and b.byte_share[0] <= r["byte_share" + end] <= b.byte_share[1] and b.token_entropy[0] <= want[1] + 1e-12 and want[1] <= b.token_entropy[1])
+        assert (r.script, r.kept) == (script, kept)
+        verdicts.add((r.base_failed, r.kept))
+    assert verdicts == {(True, False), (False, True), (False, False)}
+
+
 # ---- Language ID
 
 
