@@ -1,0 +1,99 @@
+"""Text of PDF files by the standard library: the strings that pages show, in the order of their content streams.
+
+Streams may be plain or deflated. Fonts whose strings aren't Latin text (subsets with own encodings) and scans need
+`ocr`, a function of (file, page number from 0) to text, which is asked for pages with an image and under LEAST
+characters; without it, or if it finds nothing, such a page is an error. Encrypted files and object streams are errors.
+"""
+
+from __future__ import annotations
+
+import re
+import zlib
+from collections.abc import Callable
+
+from casebook.functions.text import cleaned
+
+LEAST = 40
+_OBJECT = re.compile(rb"(\d+)\s+\d+\s+obj\b(.*?)\bendobj", re.S)
+_REF = re.compile(rb"(\d+)\s+\d+\s+R")
+_ESCAPES = {ord("n"): b"\n", ord("r"): b"\r", ord("t"): b"\t", ord("b"): b"\b", ord("f"): b"\f"}
+_TOKEN = re.compile(rb"\((?:\\.|[^\\()]|\((?:\\.|[^\\()])*\))*\)|<[0-9A-Fa-f\s]*>|-?\d*\.?\d+|T[djJmD*]|BT|ET|['\"]|\[|\]", re.S)
+
+
+def _string(raw: bytes) -> str:
+    if raw[:1] == b"<":
+        data = bytes.fromhex((h := re.sub(rb"\s", b"", raw[1:-1]).decode()) + "0" * (len(h) % 2))
+    else:
+        swap = lambda m: _ESCAPES.get(m[1][0], bytes([int(m[1], 8) & 255]) if m[1][:1].isdigit() else b"" if m[1] in (b"\n", b"\r") else m[1])
+        data = re.sub(rb"\\([0-7]{1,3}|.)", swap, raw[1:-1], flags=re.S)
+    return data[2:].decode("utf-16-be", "replace") if data[:2] == b"\xfe\xff" else data.decode("cp1252", "replace")
+
+
+def _shown(stream: bytes) -> str:
+    out: list[str] = []
+    held: list[bytes] = []
+    listed = False
+    for m in _TOKEN.finditer(stream):
+        t = m[0]
+        if t in (b"[", b"]"):
+            listed = t == b"["
+        elif t in (b"Tj", b"TJ", b"'", b'"'):
+            out += (["\n"] if t in (b"'", b'"') else []) + [_string(x) if x[:1] in b"(<" else " " for x in held if x[:1] in b"(<" or (t == b"TJ" and float(x) < -200)]
+            held = []
+        elif t in (b"Td", b"TD"):
+            out.append("\n" if held and float(held[-1]) else " ")
+            held = []
+        elif t in (b"T*", b"Tm", b"ET"):
+            out.append("\n")
+            held = []
+        elif t[:1] in b"(<" or listed or re.fullmatch(rb"-?\d*\.?\d+", t):
+            held.append(t)
+    return "".join(out)
+
+
+def pages_of(data: bytes) -> list[tuple[str, bool]]:
+    """Text of each page, and whether it has an image."""
+    if not data.startswith(b"%PDF"):
+        raise ValueError("not a PDF file")
+    if b"/Encrypt" in data or b"/ObjStm" in data:
+        raise ValueError("encrypted files and object streams aren't read")
+    objects: dict[int, tuple[bytes, bytes]] = {}
+    for m in _OBJECT.finditer(data):
+        head, sep, rest = m[2].partition(b"stream")
+        body = rest[: rest.rfind(b"endstream")].removeprefix(b"\r").removeprefix(b"\n") if sep else b""
+        if b"/FlateDecode" in head:
+            body = zlib.decompressobj().decompress(body)
+        objects[int(m[1])] = (head, body)
+
+    def value(of: bytes, name: bytes) -> bytes:
+        m = re.search(rb"/" + name + rb"\s*(\[.*?\]|<<.*?>>|\d+\s+\d+\s+R)", of, re.S)
+        return m[1] if m else b""
+
+    out = []
+    for head, _ in objects.values():
+        if not re.search(rb"/Type\s*/Page\b", head):
+            continue
+        refs = [int(x) for x in _REF.findall(value(head, b"Contents"))]
+        if len(refs) == 1 and not objects.get(refs[0], (b"", b""))[1]:  # a list of streams by reference
+            refs = [int(x) for x in _REF.findall(objects.get(refs[0], (b"", b""))[0])]
+        text = "\n".join(_shown(objects[r][1]) for r in refs if r in objects)
+        around = head + b"".join(objects[int(r)][0] for r in _REF.findall(head) if int(r) in objects and b"/Type" not in objects[int(r)][0][:40])
+        images = any(re.search(rb"/Subtype\s*/Image\b", objects[int(r)][0]) for r in _REF.findall(around) if int(r) in objects)
+        out.append((text, images))
+    return out
+
+
+def pdf_text(data: bytes, ocr: Callable[[bytes, int], str] | None = None) -> tuple[str, list[int]]:
+    """Text with a form feed between pages, and the numbers (from 1) of pages that `ocr` read."""
+    texts, read = [], []
+    for i, (text, image) in enumerate(pages_of(data)):
+        if image and len(re.sub(r"\s", "", text)) < LEAST:
+            more = ocr(data, i) if ocr else ""
+            if not more.strip():
+                raise ValueError(f"no text on page {i + 1}; scanned pages need OCR")
+            text = f"{text}\n{more}"  # noqa: PLW2901
+            read.append(i + 1)
+        texts.append("\n".join(map(cleaned, text.splitlines())))
+    if not any(map(str.strip, texts)):
+        raise ValueError("PDF without text")
+    return "\n\f\n".join(texts), read

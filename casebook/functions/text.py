@@ -14,12 +14,14 @@ from pyspark.sql.functions import pandas_udf
 # Patterns and word lists of the sources.
 ROLE_HINT = r"(?i)Minister|Speaker|Secretary|Chairman|Leader|Whip|President|Attorney|Ambassador|Mayor"
 OBLIGATIONS = ["Consent", "Purpose Limitation", "Notification", "Access and Correction", "Accuracy", "Protection", "Retention Limitation", "Transfer Limitation", "Accountability"]
-SECTION_TYPES = {"OA": "Oral Answers", "WA": "Written Answers", "WANA": "Written Answers to Oral Questions", "OS": "Oral Statements", "BP": "Bills and Proceedings"}
+SECTION_TYPES = {"OA": "Oral Answer", "WA": "Written Answer", "WANA": "Written Answer (not answered)", "OS": "Oral Statement", "BP": "Bill Proceedings"}
 PENALTY_PHRASE = r"(?i)(?:financial\s+penalt(?:y|ies)\s+of\s+|penalty\s+of\s+)((?:S?\$[\d,]+(?:\.\d{2})?)(?:\s+and\s+S?\$[\d,]+(?:\.\d{2})?)*)"
 AMOUNT = r"\$([\d,]+(?:\.\d{2})?)"
 NO_PENALTY = [("no further action", "nfa"), ("no breach", "no_breach"), ("not in breach", "no_breach"), ("warning", "warning")]
 NEUTRAL = r"\[(\d{4})\]\s+(SG[A-Z]+(?:\([A-Z]+\))?)\s+(\d+)"
 REPORT = r"\[(\d{4})\]\s+(\d+)\s+(SLR|SGLR|MLJ)(?:\(R\))?\s+(\d+)"
+OFFICE_FIRST = r"^(The\s+.+?)\s*\(([^)]+)\)\s*$"
+NAME_FIRST = r"^([^(]+?)(?:\s*\(([^)]+)\))?\s*$"
 STATUTE = r"(?i)\b(?:section|sections|s|ss)\s*(\d+[A-Z]*(?:\([^)]{1,8}\))*)"
 
 
@@ -44,8 +46,7 @@ def language_by_script(text: Column) -> Column:
 def split_attribution(label: Column) -> Column:
     """struct(name, role, seat) of a speaker's label."""
     label = F.trim(F.regexp_replace(squeeze(label), ":+$", ""))
-    office = r"^(The\s+.+?)\s*\(([^)]+)\)\s*$"
-    plain = r"^([^(]+?)(?:\s*\(([^)]+)\))?\s*$"
+    office, plain = OFFICE_FIRST, NAME_FIRST
     none = F.lit(None).cast("string")
     of = lambda name, role, seat: F.struct(name.alias("name"), role.alias("role"), seat.alias("seat"))
     get = lambda rx, i: F.nullif(F.trim(F.regexp_extract(label, rx, i)), F.lit(""))
@@ -78,6 +79,14 @@ def obligations(text: Column) -> Column:
     return F.filter(F.array(*map(F.lit, OBLIGATIONS)), lambda x: F.rlike(text, F.concat(F.lit(r"(?i)\b"), x, F.lit(r"\b"))))
 
 
+def obligations_of(tags: Column, title: Column) -> Column:
+    """Obligations that the tags name if any of them is one, else those that the title names; Openness counts as Accountability."""
+    known = F.arrays_overlap(tags, F.array(*map(F.lit, OBLIGATIONS)))
+    evidence = F.when(known, F.array_join(tags, " ")).otherwise(title)
+    found = obligations(evidence)
+    return F.when(F.contains(evidence, F.lit("Openness")) & ~F.array_contains(found, "Accountability"), F.array_append(found, F.lit("Accountability"))).otherwise(found)
+
+
 def counsel(raw: Column) -> Column:
     """struct(raw, names_and_firms, side, firms): the side follows the last ' for '."""
     has = F.contains(raw, F.lit(" for "))
