@@ -20,9 +20,11 @@ AMOUNT = r"\$([\d,]+(?:\.\d{2})?)"
 NO_PENALTY = [("no further action", "nfa"), ("no breach", "no_breach"), ("not in breach", "no_breach"), ("warning", "warning")]
 NEUTRAL = r"\[(\d{4})\]\s+(SG[A-Z]+(?:\([A-Z]+\))?)\s+(\d+)"
 REPORT = r"\[(\d{4})\]\s+(\d+)\s+(SLR|SGLR|MLJ)(?:\(R\))?\s+(\d+)"
+STATUTE_HEAD = r"(?i)\b(?:section|sections|s|ss)\s*(\d+[A-Z]*(?:\([^)]{1,8}\))*)"
+STATUTE_IN_ACT = STATUTE_HEAD + r"(?:\s+of\s+the\s+([A-Z][A-Za-z ()'-]{3,80}?\s+Act(?:\s+\d{4})?))?"
 OFFICE_FIRST = r"^(The\s+.+?)\s*\(([^)]+)\)\s*$"
 NAME_FIRST = r"^([^(]+?)(?:\s*\(([^)]+)\))?\s*$"
-STATUTE = r"(?i)\b(?:section|sections|s|ss)\s*(\d+[A-Z]*(?:\([^)]{1,8}\))*)"
+STATUTE = STATUTE_HEAD
 
 
 def cleaned(text: str | None) -> str:
@@ -186,7 +188,8 @@ def porter(w: str) -> str:
 
 def terms(text: str | None, stem: bool = True) -> list[str]:
     """Search terms of a text: runs of letters and digits, lower case, without diacritics, stemmed."""
-    folded = "".join(c for c in unicodedata.normalize("NFKD", text or "") if unicodedata.category(c) != "Mn").lower()
+    text = text or ""
+    folded = text.lower() if text.isascii() else "".join(c for c in unicodedata.normalize("NFKD", text) if unicodedata.category(c) != "Mn").lower()
     found = re.findall(r"[^\W_]+", folded)
     return [porter(w) for w in found] if stem else found
 

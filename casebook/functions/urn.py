@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from casebook.schema import URN_PATTERN, valid_urn
+from casebook.schema import valid_urn
 
 # The citation forms.
 CITATION = r"(?i)\[(\d{4})\]\s+([A-Z]+(?:\([A-Z]+\))?)\s+(\d+)(\s*\(NFA\))?"
@@ -15,10 +17,16 @@ SUBPROVISION = r"\(([A-Za-z0-9]+)\)"
 def parse(urn: Column) -> Column:
     """struct(corpus, work, parts, as_of); null where the identifier isn't valid."""
     urn = F.trim(urn)
-    rest = F.split(F.regexp_extract(urn, URN_PATTERN, 2), ":")
-    as_of = F.to_date(F.nullif(F.regexp_extract(urn, URN_PATTERN, 3), F.lit("")))
-    parts = F.slice(rest, F.lit(2), F.size(rest))
-    return F.when(valid_urn(urn), F.struct(F.regexp_extract(urn, URN_PATTERN, 1).alias("corpus"), rest[0].alias("work"), parts.alias("parts"), as_of.alias("as_of")))
+    halves = F.split(urn, "@")
+    rest = F.split(halves[0], ":")
+    get = lambda i: F.get(rest, F.lit(i))
+    fields = F.struct(get(2).alias("corpus"), get(3).alias("work"), F.slice(rest, F.lit(5), F.size(rest)).alias("parts"), F.to_date(F.get(halves, F.lit(1))).alias("as_of"))
+    return F.when(valid_urn(urn), fields)
+
+
+def parsed(urn: Column, of: Callable[[Column], Column]) -> Column:
+    """`of` the parsed identifier, which is parsed once however often `of` reads it."""
+    return F.transform(F.array(parse(urn)), of)[0]
 
 
 def render(u: Column) -> Column:
@@ -80,18 +88,21 @@ def speech(day: Column, index: Column, number: Column) -> Column:
 
 
 def to_citation(urn: Column) -> Column:
-    """The one display form of an identifier. Subsidiary legislation is shown by its last part, as its section."""
-    u = parse(urn)
-    bits, first, last = F.split(u["work"], "_"), F.get(u["parts"], F.lit(0)), F.element_at(u["parts"], -1)
+    """The one display form of an identifier; an invalid one is shown as it is. Subsidiary legislation is shown by its last
+    part, as its section."""
+    return F.coalesce(parsed(urn, _display), urn)
+
+
+def _display(u: Column) -> Column:
+    bits, first, last = F.split(u["work"], "_"), F.get(u["parts"], F.lit(0)), F.try_element_at(u["parts"], F.lit(-1))
     case = F.concat(F.lit("["), bits[0], F.lit("] "), F.get(bits, F.lit(1)), F.lit(" "), F.get(bits, F.lit(2)), F.when(F.get(bits, F.lit(3)) == "NFA", F.lit(" (NFA)")).otherwise(F.lit("")))
     case = F.concat(case, F.when(first.startswith("para"), F.concat(F.lit(" at ["), F.substring(first, 5, 1000), F.lit("]"))).otherwise(F.lit("")))
-    pieces = F.split(F.regexp_replace(F.when(u["corpus"] == "sl", last).otherwise(first), "^s+", ""), "-")
+    pieces = F.split(F.ltrim(F.when(u["corpus"] == "sl", last).otherwise(first), F.lit("s")), "-")
     tail = F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), lambda x: F.concat(F.lit("("), x, F.lit(")"))), "")
     law = F.concat(F.lit("s "), pieces[0], tail, F.lit(" of "), u["work"], F.coalesce(F.concat(F.lit(" (as at "), u["as_of"].cast("string"), F.lit(")")), F.lit("")))
-    day = F.try_to_timestamp(u["work"], F.lit("yyyy-MM-dd"))
-    debate = F.concat(F.lit("Sing. Parl. Deb., "), F.coalesce(F.date_format(day, "dd MMM yyyy"), u["work"]))
+    debate = F.concat(F.lit("Sing. Parl. Deb., "), F.coalesce(F.date_format(F.try_to_timestamp(u["work"], F.lit("yyyy-MM-dd")), "dd MMM yyyy"), u["work"]))
     return (
         F.when(u["corpus"].isin("judgment", "pdpc"), F.when(F.size(bits) >= 3, case).otherwise(u["work"]))
         .when(u["corpus"].isin("act", "sl"), F.when(F.size(u["parts"]) == 0, u["work"]).otherwise(law))
-        .when(u["corpus"] == "hansard", debate).otherwise(urn)
+        .when(u["corpus"] == "hansard", debate)
     )

@@ -25,6 +25,24 @@ def filtered(df: DataFrame, *, isin: dict[str, list] | None = None, between: dic
     return df
 
 
+def json_field(path: str, kind: str = "string") -> Column:
+    """A field of `meta`; JSON null and a missing field are null."""
+    return F.get_json_object("meta", f"$.{path}").cast(kind)
+
+
+def json_filtered(docs: DataFrame, *, between: dict[str, tuple] | None = None, equals: dict[str, str] | None = None, any_of: dict[str, list[str]] | None = None) -> DataFrame:
+    """Predicates on fields of `meta`: number ranges (a null never matches), equality, any of the values in an array.
+    What isn't given, or is empty, filters nothing."""
+    for path, (low, high) in (between or {}).items():
+        docs = docs.where(json_field(path, "double") >= F.lit(low)) if low is not None else docs
+        docs = docs.where(json_field(path, "double") <= F.lit(high)) if high is not None else docs
+    for path, value in (equals or {}).items():
+        docs = docs.where(json_field(path) == F.lit(value)) if value else docs
+    for path, values in (any_of or {}).items():
+        docs = docs.where(F.arrays_overlap(F.from_json(json_field(path), "array<string>"), F.array(*map(F.lit, values)))) if values else docs
+    return docs
+
+
 def same_identity(candidates: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows whose urn or canonical_urn is wanted: two equi-joins, so no disjunction reaches a join."""
     first = candidates.join(wanted, candidates.urn == wanted.wanted, "left_semi")
@@ -82,6 +100,82 @@ def quality(docs: DataFrame, metrics: dict[str, tuple[Column, Column]]) -> DataF
     return out.select("*", *(share(F.col(f"{n}_passed"), F.col(f"{n}_rows")).alias(f"{n}_pct") for n in metrics))
 
 
+#: What each corpus counts: the rows that a metric is of, those that pass, and the names of rows, passed and percentage.
+QUALITY = {
+    "hansard": [("speeches", "attributed", "attribution_pct", "level = 'speech'", "get_json_object(meta, '$.speaker') is not null")],
+    "judgment": [("judgments", None, "full_text_pct", "level = 'judgment'", "length(text) > 0")],
+    "pdpc": [("decisions", None, "citation_pct", "true", "get_json_object(meta, '$.citation_provisional') = 'false'")],
+    "act": [("provisions", None, "commencement_pct", "true", "in_force_from is not null")],
+    "sl": [("provisions", None, "commencement_pct", "true", "in_force_from is not null")],
+}
+#: Counts that are there even when they are 0.
+COUNTED = {"hansard": [("sittings", "level = 'sitting'"), ("vernacular_speeches", "level = 'vernacular'")]}
+
+
+def corpus_quality(docs: DataFrame) -> DataFrame:
+    """corpus, quality: each corpus's own metrics as JSON, all in one pass; what is of no row is left out."""
+    aggs, values, at = [], {}, 0
+    for corpus, metrics in QUALITY.items():
+        fields = []
+        for rows, passed, pct, of, good in metrics:
+            n, k = f"n{at}", f"k{at}"
+            at += 1
+            own = (F.col("corpus") == corpus) & F.expr(of)
+            aggs += [F.count_if(own).alias(n), F.count_if(own & F.expr(good)).alias(k)]
+            some = F.when(F.col(n) > 0, F.col(n))
+            fields += [some.alias(rows), *([F.when(F.col(n) > 0, F.col(k)).alias(passed)] if passed else []), share(F.col(k), F.col(n)).alias(pct)]
+        for name, of in COUNTED.get(corpus, []):
+            n = f"n{at}"
+            at += 1
+            aggs.append(F.count_if((F.col("corpus") == corpus) & F.expr(of)).alias(n))
+            fields.append(F.col(n).alias(name))
+        values[corpus] = F.to_json(F.struct(*fields))
+    out = F.lit("{}")
+    for corpus, value in values.items():
+        out = F.when(F.col("corpus") == corpus, value).otherwise(out)
+    return docs.groupBy("corpus").agg(*aggs).select("corpus", out.alias("quality"))
+
+
+def corpus_meta(docs: DataFrame) -> DataFrame:
+    """One row a corpus: counts, first and last issue, last retrieval, the newest parser's version, quality."""
+    p = F.col("provenance")
+    newest = F.max(F.struct(p["parser_rev"].alias("rev"), p["adapter_version"].alias("version")))
+    stats = docs.groupBy("corpus").agg(F.count(F.lit(1)).alias("document_count"), F.min("issued").alias("earliest"), F.max("issued").alias("latest"), F.max(p["retrieved_at"]).alias("last_fetch"), newest.alias("by"))
+    rows = stats.join(corpus_quality(docs), "corpus")
+    return rows.select("corpus", "document_count", "earliest", "latest", "last_fetch", F.lit(None).cast("double").alias("coverage_pct"), F.col("by.version").alias("adapter_version"), F.col("by.rev").alias("parser_rev"), "quality")
+
+
+def text_metrics(docs: DataFrame, corpus: str = "hansard") -> DataFrame:
+    """speeches, speakers (distinct), characters of each language of a corpus."""
+    rows = docs.where(F.col("corpus") == corpus)
+    return rows.groupBy("language").agg(F.count_if(F.col("level") == "speech").alias("speeches"), F.count_distinct(F.get_json_object("meta", "$.speaker")).alias("speakers"), F.sum(F.length("text")).alias("characters"))
+
+
+def run_counters(units: DataFrame, status: str) -> DataFrame:
+    """Units by what became of them."""
+    return units.groupBy(F.col(status).alias("status")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def numbered(rows: DataFrame, key: list[str], order: list[str], name: str = "idx") -> DataFrame:
+    """Rows with their place from 0 within a key."""
+    return rows.withColumn(name, (F.row_number().over(Window.partitionBy(*key).orderBy(*order)) - 1).cast("long"))
+
+
+def ordered_distinct(values: Column) -> Column:
+    """Of an array of structs whose first field is a position: the second fields in order, each where it is first."""
+    return F.array_distinct(F.transform(F.array_sort(values), lambda x: x["value"]))
+
+
+def citing_counts(refs: DataFrame) -> DataFrame:
+    """to_urn, citing, first_citing of resolved edges."""
+    return refs.where("to_urn is not null").groupBy("to_urn").agg(F.count(F.lit(1)).alias("citing"), F.min("from_urn").alias("first_citing"))
+
+
+def resolve_aliases(named: DataFrame, aliases: DataFrame, name: str) -> DataFrame:
+    """Rows with the urn of their alias, null where there is none."""
+    return named.join(aliases.select(F.col("alias").alias(name), F.col("urn").alias("alias_urn")).dropDuplicates([name]), name, "left")
+
+
 def penalty_totals(decisions: DataFrame, identity: str, penalty: str) -> DataFrame:
     """Over distinct identities; an identity with conflicting or missing amounts is unknown and not summed."""
     one = decisions.groupBy(identity).agg(F.count(F.lit(1)).alias("n"), F.count(penalty).alias("known"), F.min(penalty).alias("lo"), F.max(penalty).alias("hi"))
@@ -109,24 +203,38 @@ def forward_fill(rows: DataFrame, key: str, pos: str, value: Column, name: str)
 
 def printed_sequence(rows: list[tuple[tuple[int, str], int]]) -> list[int] | None:
     """Places of the longest strictly increasing run of numbers; of equals the one with most well-printed ones; None if
-    the best is not unique. Sums over paths count ways, so a tie anywhere on a best path shows as two ways."""
-    best: list[tuple[int, int]] = []
-    ways: list[int] = []
-    back: list[int] = []
-    for i, (number, good) in enumerate(rows):
-        options = [((best[j][0] + 1, best[j][1] + good), j) for j in range(i) if rows[j][0] < number]
-        top = max((o for o, _ in options), default=(1, good))
-        leading = [j for o, j in options if o == top]
-        best.append(top)
-        ways.append(sum(ways[j] for j in leading) if leading else 1)
-        back.append(leading[0] if leading else -1)
+    the best is not unique.
+
+    A tree over the ranks of numbers keeps, for each prefix, the best (length, well-printed) that ends there, one place
+    that has it and whether there is more than one way to it: n log n for n paragraphs.
+    """
     if not rows:
         return []
-    top = max(best)
-    ends = [i for i, b in enumerate(best) if b == top]
-    if len(ends) != 1 or ways[ends[0]] != 1:
+    rank = {x: i + 1 for i, x in enumerate(sorted({number for number, _ in rows}))}
+    none = (0, 0, -1, False)  # length, good, place, several ways
+    held = [none] * (len(rank) + 1)
+
+    def better(x: tuple, y: tuple) -> tuple:
+        if x[:2] != y[:2]:
+            return x if x[:2] > y[:2] else y
+        return x if x[2] == y[2] or not x[0] else (*x[:3], True)
+
+    back, top = [], none
+    for i, (number, good) in enumerate(rows):
+        before, at = none, rank[number] - 1
+        while at:
+            before = better(before, held[at])
+            at &= at - 1
+        back.append(before[2])
+        own = (before[0] + 1, before[1] + good, i, before[3])
+        top = better(top, own)
+        at = rank[number]
+        while at < len(held):
+            held[at] = better(held[at], own)
+            at += at & -at
+    if top[3]:
         return None
-    path, at = [], ends[0]
+    path, at = [], top[2]
     while at >= 0:
         path.append(at)
         at = back[at]
@@ -181,15 +289,6 @@ def find_citing(refs: DataFrame, docs: DataFrame, urn: Column, kind: str | None
     return hits.join(docs, F.col("from_urn") == docs.urn)
 
 
-def overlap_links(left: DataFrame, right: DataFrame, key: str, other: str, block: str, text: str, other_text: str, least: float) -> DataFrame:
-    """Pairs within a block whose word sets' Jaccard similarity is at least `least`."""
-    words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("[a-z0-9]+"), F.lit(0)))
-    a = left.select(block, key, words(F.col(text)).alias("wa"))
-    b = right.select(block, other, words(F.col(other_text)).alias("wb"))
-    both = F.size(F.array_intersect("wa", "wb"))
-    return a.join(b, block).select(key, other, F.round(both / (F.size("wa") + F.size("wb") - both), 6).alias("confidence")).where(F.col("confidence") >= least)
-
-
 def similar_pairs(left: DataFrame, right: DataFrame, key: str, other: str, text: str, other_text: str, least: float) -> DataFrame:
     """All pairs whose word sets' Jaccard similarity is at least `least` (over 0), by an inverted index of the words: pairs
     that share no word have none. Repeated rows are paired each; null and empty texts with nothing."""

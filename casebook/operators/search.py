@@ -1,18 +1,21 @@
 """Full-text search: inverted index, MATCH queries, BM25, snippets.
 
-The index is a table of postings (term, id, col, pos), with lengths of documents. Each leaf of a query (a term, prefix
-or phrase) reads its terms' postings alone; AND, OR and NOT are joins, unions and anti-joins of ids. Statistics cover
-the whole index, whatever filters a search has.
+The index is a table of postings (term, id, col, pos, and n: the length of the document), clustered by term once it is
+written, with the corpus's statistics beside it. A query reads the postings of all its terms once and shuffles them by
+id; phrases, counts, and the Boolean answer (an expression over the leaves' counts) are made there, so there is no join
+of posting lists. Statistics cover the whole index, whatever filters a search has.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from casebook.functions.text import plain_terms, stemmed_terms, terms
 
@@ -22,23 +25,36 @@ OPEN, CLOSE, GAP, SNIPPET = "<<", ">>", " ... ", 24
 
 @dataclass
 class Index:
-    postings: DataFrame  # id, col, pos, term
+    postings: DataFrame  # id, col, pos, term, n
     lengths: DataFrame  # id, n
     stem: bool
+    statistics: DataFrame | None = None  # one row: docs, mean
+
+    def stats(self) -> DataFrame:
+        """docs, mean: read where they were written, else summed over the lengths."""
+        return self.statistics if self.statistics is not None else self.lengths.agg(F.count(F.lit(1)).alias("docs"), F.avg("n").alias("mean"))
 
     def written(self, path: str) -> Index:
-        """The same index from Parquet, clustered by term so that a leaf reads few row groups."""
+        """The same index from Parquet, clustered by term so that a query reads few row groups."""
         spark = self.postings.sparkSession
-        self.postings.repartitionByRange("term").sortWithinPartitions("term", "id").write.mode("overwrite").parquet(f"{path}/postings")
+        self.postings.repartitionByRange("term", "id").sortWithinPartitions("term", "id").write.mode("overwrite").parquet(f"{path}/postings")
         self.lengths.write.mode("overwrite").parquet(f"{path}/lengths")
-        return Index(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/lengths"), self.stem)
+        stored = Index(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/lengths"), self.stem)
+        stored.stats().coalesce(1).write.mode("overwrite").parquet(f"{path}/statistics")
+        return opened(spark, path, self.stem)
+
+
+def opened(spark, path: str, stem: bool = False) -> Index:
+    """An index that `written` wrote."""
+    return Index(*(spark.read.parquet(f"{path}/{x}") for x in ("postings", "lengths")), stem, spark.read.parquet(f"{path}/statistics"))
 
 
 def build(docs: DataFrame, key: str, columns: list[str], stem: bool = False) -> Index:
     words = stemmed_terms if stem else plain_terms
     held = docs.select(F.col(key).alias("id"), *(words(F.col(c)).alias(f"t{i}") for i, c in enumerate(columns)))
-    parts = [held.select("id", F.lit(c).alias("col"), F.posexplode(f"t{i}").alias("pos", "term")) for i, c in enumerate(columns)]
-    return Index(reduce(DataFrame.union, parts), held.select("id", sum((F.size(f"t{i}") for i in range(len(columns))), F.lit(0)).cast("long").alias("n")), stem)
+    held = held.withColumn("n", sum((F.size(f"t{i}") for i in range(len(columns))), F.lit(0)).cast("long"))
+    parts = [held.select("id", F.lit(c).alias("col"), F.posexplode(f"t{i}").alias("pos", "term"), "n") for i, c in enumerate(columns)]
+    return Index(reduce(DataFrame.union, parts), held.select("id", "n"), stem)
 
 
 # ---- Queries
@@ -164,71 +180,176 @@ def parse(query: str, stem: bool = False) -> Leaf | Near | Op:
     return out
 
 
-def leaves(node, positive: bool = True) -> list[Leaf]:
-    """The leaves that count for the score, left to right."""
-    if isinstance(node, Leaf):
-        return [node]
-    if isinstance(node, Near):
-        return list(node.leaves)
-    return leaves(node.left) + ([] if node.kind == "NOT" else leaves(node.right))
-
-
-def occurrences(index: Index, leaf: Leaf) -> DataFrame:
-    """id, col, pos (of its first word) for each occurrence of a leaf; phrases join on the next position."""
-    base = index.postings if leaf.col is None else index.postings.where(F.col("col") == leaf.col)
-    if not leaf.words:
-        return base.select("id", "col", "pos").where("false")
-    out = None
-    for i, w in enumerate(leaf.words):
-        last = leaf.prefix and i == len(leaf.words) - 1
-        hit = base.where(F.col("term").startswith(w) if last else F.col("term") == w).select("id", "col", (F.col("pos") - i).alias("pos"))
-        out = hit if out is None else out.join(hit, ["id", "col", "pos"], "left_semi")
-    return out
-
-
-def matching(index: Index, node) -> DataFrame:
-    """Distinct ids that satisfy a query."""
-    if isinstance(node, Leaf):
-        return occurrences(index, node).select("id").distinct()
-    if isinstance(node, Near):
-        spans = None
-        for leaf in node.leaves:
-            own = occurrences(index, leaf).select("id", "col", F.col("pos").alias("p"), F.lit(len(leaf.words)).alias("w"))
-            if spans is None:
-                spans = own.select("id", "col", F.col("p").alias("lo"), F.col("p").alias("last"), (F.col("p") + F.col("w")).alias("hi"), F.col("w").alias("words"))
-            else:
-                spans = spans.join(own, ["id", "col"]).select("id", "col", F.least("lo", "p").alias("lo"), F.greatest("last", "p").alias("last"), F.greatest("hi", F.col("p") + F.col("w")).alias("hi"), (F.col("words") + F.col("w")).alias("words"))
-        return spans.where(F.col("hi") - F.col("lo") - F.col("words") <= node.distance).select("id").distinct()
-    left, right = matching(index, node.left), matching(index, node.right)
-    if node.kind == "OR":
-        return left.union(right).distinct()
-    return left.join(right, "id", "left_semi" if node.kind == "AND" else "left_anti")
+def _near(node) -> list[Near]:
+    if isinstance(node, Op):
+        return _near(node.left) + _near(node.right)
+    return [node] if isinstance(node, Near) else []
+
+
+def _all_leaves(node) -> list[Leaf]:
+    if isinstance(node, Op):
+        return _all_leaves(node.left) + _all_leaves(node.right)
+    return list(node.leaves) if isinstance(node, Near) else [node]
+
+
+def occurrences(index: Index, found: list[Leaf]) -> DataFrame:
+    """id, n, leaf (its place), col, start of each occurrence of the leaves: one read of the postings, one shuffle by id.
+
+    A word of a phrase that stands i words in votes for the start i before it; a start with all votes is an occurrence.
+    """
+    wanted = []
+    for leaf, x in enumerate(found):
+        for i, w in enumerate(x.words):
+            is_word = F.col("term").startswith(w) if x.prefix and i == len(x.words) - 1 else F.col("term") == w
+            wanted.append((is_word if x.col is None else is_word & (F.col("col") == x.col), leaf, i))
+    rows = index.postings
+    if not wanted:
+        return rows.select("id", "n", F.lit(0).alias("leaf"), "col", F.col("pos").alias("start")).where("false")
+    rows = rows.where(reduce(Column.__or__, (c for c, *_ in wanted)))
+    votes = F.array_compact(F.array(*(F.when(c, F.struct(F.lit(leaf).alias("leaf"), F.lit(i).alias("i"))) for c, leaf, i in wanted)))
+    rows = rows.repartition("id").select("id", "n", "col", "pos", F.explode(votes).alias("v"))
+    rows = rows.select("id", "n", "v.leaf", "col", (F.col("pos") - F.col("v.i")).alias("start"))
+    if all(len(x.words) == 1 for x in found):
+        return rows
+    need = F.element_at(F.array(*(F.lit(len(x.words)) for x in found)), F.col("leaf") + 1)
+    return rows.groupBy("id", "n", "leaf", "col", "start").agg(F.count(F.lit(1)).alias("votes")).where(F.col("votes") == need).drop("votes")
+
+
+def near_ids(found: DataFrame, node: Near, first: int) -> DataFrame:
+    """Distinct ids with all leaves of a NEAR (places from `first`) in one column, as near as it says.
+
+    Occurrences are swept in order: the nearest span that ends at one begins at the least of the leaves' last starts.
+    """
+    w = Window.partitionBy("id", "col").orderBy("start", "leaf").rowsBetween(Window.unboundedPreceding, 0)
+    own = found.where(F.col("leaf").between(first, first + len(node.leaves) - 1))
+    words = [len(x.words) for x in node.leaves]
+    last = [F.last(F.when(F.col("leaf") == first + k, F.col("start")), ignorenulls=True).over(w).alias(f"s{k}") for k in range(len(words))]
+    swept = own.select("id", *last)
+    all_seen = reduce(Column.__and__, (F.col(f"s{k}").isNotNull() for k in range(len(words))))
+    ends = [F.col(f"s{k}") + n for k, n in enumerate(words)]
+    starts = [F.col(f"s{k}") for k in range(len(words))]
+    span = (F.greatest(*ends) if len(ends) > 1 else ends[0]) - (F.least(*starts) if len(starts) > 1 else starts[0])
+    return swept.where(all_seen & (span - sum(words) <= node.distance)).select("id").distinct()
 
 
 def bm25(index: Index, query: str) -> DataFrame:
-    """id, score of every match; lower is better. Each leaf is a unit with its own frequency."""
+    """id, score of every match; lower is better. Each leaf is a unit with its own frequency; what follows NOT has none."""
     node = parse(query, index.stem)
-    counted = None
-    for i, leaf in enumerate(leaves(node)):
-        own = occurrences(index, leaf).groupBy("id").agg(F.count(F.lit(1)).alias("f")).select("id", F.lit(i).alias("leaf"), "f")
-        counted = own if counted is None else counted.union(own)
-    total = index.lengths.agg(F.count(F.lit(1)).alias("docs"), F.avg("n").alias("mean")).select("docs", "mean", F.lit(1).alias("one"))
-    idf = counted.groupBy("leaf").agg(F.count(F.lit(1)).alias("df")).withColumn("one", F.lit(1)).join(F.broadcast(total), "one")
-    value = F.log((F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    idf = idf.select("leaf", "mean", F.when(value <= 0, LEAST_IDF).otherwise(value).alias("idf"))
-    rows = counted.join(F.broadcast(idf), "leaf").join(index.lengths, "id")  # one row a leaf is broadcast
-    part = F.col("idf") * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("n") / F.col("mean")))
-    scores = rows.groupBy("id").agg((-F.sum(part)).alias("score"))
-    return matching(index, node).join(scores, "id")
+    found = _all_leaves(node)
+    rows = occurrences(index, found)
+    counts = rows.groupBy("id", "n").agg(*(F.count_if(F.col("leaf") == k).alias(f"f{k}") for k in range(len(found))))
+    place = {"leaf": 0, "near": 0}
+    for k, x in enumerate(_near(node)):
+        first = next(i for i in range(len(found)) if tuple(found[i : i + len(x.leaves)]) == x.leaves)
+        counts = counts.join(near_ids(rows, x, first).withColumn(f"near{k}", F.lit(True)), "id", "left")
+
+    scored: list[int] = []
+
+    def holds(x, positive: bool = True) -> Column:
+        if isinstance(x, Op):
+            left = holds(x.left, positive)
+            right = holds(x.right, positive and x.kind != "NOT")
+            return left | right if x.kind == "OR" else left & (~right if x.kind == "NOT" else right)
+        size = len(x.leaves) if isinstance(x, Near) else 1
+        first = place["leaf"]
+        place["leaf"] += size
+        if positive:
+            scored.extend(range(first, first + size))
+        if isinstance(x, Near):
+            place["near"] += 1
+            return F.coalesce(F.col(f"near{place['near'] - 1}"), F.lit(False))
+        return F.col(f"f{first}") > 0
+
+    matches = holds(node)
+    total = counts.agg(*(F.count_if(F.col(f"f{k}") > 0).alias(f"df{k}") for k in scored)).withColumn("one", F.lit(1))
+    total = total.join(F.broadcast(index.stats().withColumn("one", F.lit(1))), "one")
+
+    def idf(k: int) -> Column:
+        value = F.log((F.col("docs") - F.col(f"df{k}") + 0.5) / (F.col(f"df{k}") + 0.5))
+        return F.when(value <= 0, LEAST_IDF).otherwise(value)
+
+    weights = total.select("one", "mean", *(idf(k).alias(f"idf{k}") for k in scored))  # one row
+    held = counts.where(matches).withColumn("one", F.lit(1)).join(F.broadcast(weights), "one")
+    length = K1 * (1 - B + B * F.col("n") / F.col("mean"))
+    return held.select("id", (-sum((F.col(f"idf{k}") * F.col(f"f{k}") * (K1 + 1) / (F.col(f"f{k}") + length) for k in scored), F.lit(0.0))).alias("score"))
 
 
 def search(docs: DataFrame, index: Index, query: str, key: str, where: list[Column] | None = None, limit: int = 20) -> DataFrame:
     """The best documents (score, then key), filtered after scoring; limit is clamped to 1..100."""
     hits = bm25(index, query).withColumnRenamed("id", key)
-    rows = docs.join(hits, key)
     for predicate in where or []:
-        rows = rows.where(predicate)
-    return rows.orderBy("score", key).limit(max(1, min(limit, 100)))
+        docs = docs.where(predicate)
+    return docs.join(hits, key).orderBy("score", key).limit(max(1, min(limit, 100)))
+
+
+def wanted_terms(query: str, column: str, stem: bool = False) -> list[list[tuple[str, bool]]]:
+    """The phrases that a column's snippet marks: (term, whether it is a prefix) of each word."""
+
+    def of(x, positive: bool = True) -> list[Leaf]:
+        if isinstance(x, Op):
+            return of(x.left) + ([] if x.kind == "NOT" else of(x.right))
+        return list(x.leaves) if isinstance(x, Near) else [x]
+
+    return [[(w, x.prefix and i == len(x.words) - 1) for i, w in enumerate(x.words)] for x in of(parse(query, stem)) if x.words and x.col in (None, column)]
+
+
+def snippets_of(text: str | None, phrases: list[list[tuple[str, bool]]], stem: bool, size: int = SNIPPET) -> str:
+    """Up to `size` words of a text with its phrases marked; phrases that overlap share their marks.
+
+    The window has the highest score among those that begin at a phrase's occurrence: 1,000 for each distinct phrase in
+    it, 1 for each further occurrence, and 100 for a beginning of a sentence (120 of the text). It is moved left so that
+    its occurrences stand in the middle.
+    """
+    text = text or ""
+    found = [(m.start(), m.end(), terms(m[0], stem)) for m in re.finditer(r"[^\W_]+(?:[\u0300-\u036f]+[^\W_]*)*", text)]
+    words = [t[0] if t else "" for _, _, t in found]
+    hits = [(i, k) for i in range(len(words)) for k, p in enumerate(phrases) if i + len(p) <= len(words) and all(words[i + j].startswith(w) if prefix else words[i + j] == w for j, (w, prefix) in enumerate(p))]
+
+    def score(start: int) -> tuple[int, int]:
+        """Of the window from a word, and where it had better start."""
+        seen: set[int] = set()
+        value, first, last = 0, None, start
+        for i, k in hits:
+            if start <= i < start + size:
+                value += 1 if k in seen else 1000
+                seen.add(k)
+                first, last = (i if first is None else first), max(last, i + len(phrases[k]))
+        if first is None:
+            return value, start
+        return value, max(0, min(first - (size - (last - first)) // 2, len(words) - size))
+
+    sentences = [i for i in range(len(words)) if not i or text[found[i - 1][1] : found[i][0]].rstrip().endswith((".", ":"))]
+    best = (0, 0)
+    for i, _ in hits:
+        value, at = score(i)
+        if value > best[0]:
+            best = (value, at)
+        j = sentences[bisect_right(sentences, i) - 1]
+        if len(words) > size and j < i and (value := score(j)[0] + (100 if j else 120)) > best[0]:
+            best = (value, j)
+    start, end = best[1], min(len(words), best[1] + size)
+    marks: list[list[int]] = []  # phrases that overlap are one
+    for i, k in hits:
+        if marks and i < marks[-1][1]:
+            marks[-1][1] = max(marks[-1][1], i + len(phrases[k]))
+        else:
+            marks.append([i, i + len(phrases[k])])
+    opens = {a: min(b, end) - 1 for a, b in marks if start <= a < end}
+    out, at, closes = [GAP] if start else [], found[start][0] if start else 0, -1
+    for i in range(start, end):
+        out.append(text[at : found[i][0]])
+        if i in opens:
+            out.append(OPEN)
+            closes = opens[i]
+        out.append(text[found[i][0] : found[i][1]] + (CLOSE if i == closes else ""))
+        at = found[i][1]
+    return "".join([*out, text[at:] if start + size >= len(words) else GAP])
+
+
+def snippet_for(text: Column, query: str, column: str = "text", stem: bool = False, size: int = SNIPPET) -> Column:
+    """The snippet of a column for a MATCH query: phrases, prefixes and stems as the index has them. For a page of results."""
+    phrases = wanted_terms(query, column, stem)
+    return pandas_udf(lambda texts: texts.map(lambda x: snippets_of(x, phrases, stem, size)), "string")(text)
 
 
 def snippet(text: Column, words: list[str], size: int = SNIPPET) -> Column:

@@ -12,6 +12,11 @@ def timeline(versions: DataFrame, key: str, start: str) -> DataFrame:
     return versions.select(key, start).distinct().select(key, start, F.lead(start).over(w).alias("end"), F.row_number().over(w).cast("long").alias("seq"))
 
 
+def amendments(versions: DataFrame, key: str, start: str = "start") -> DataFrame:
+    """key, versions, first_version, last_version of a timeline."""
+    return versions.groupBy(key).agg(F.count(F.lit(1)).alias("versions"), F.min(start).alias("first_version"), F.max(start).alias("last_version"))
+
+
 def in_force(at: Column, start: Column, end: Column) -> Column:
     return F.coalesce((start <= at) & (end.isNull() | (at < end)), F.lit(False))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # The closed sets of the data model.
 CORPORA = ["act", "sl", "judgment", "pdpc", "hansard", "bill"]
-URN_PATTERN = r"^urn:sg:(act|sl|judgment|pdpc|hansard|bill):([A-Za-z0-9._:-]+?)(?:@(\d{4}-\d{2}-\d{2}))?$"
+URN_GRAMMAR = r"^urn:sg:(?:act|sl|judgment|pdpc|hansard|bill)(?::[A-Za-z0-9._-]+)+(?:@\d{4}-\d{2}-\d{2})?$"
 SHA_PATTERN = r"^[0-9a-f]{64}$"
 
 PROVENANCE = "struct<source_url:string,retrieved_at:timestamp,snapshot_sha256:string,adapter:string,adapter_version:string,parser_rev:int>"
@@ -17,9 +17,10 @@ CHECKPOINT = "key string, at timestamp, note string"
 
 
 def valid_urn(urn: Column) -> Column:
-    as_of = F.regexp_extract(urn, URN_PATTERN, 3)
-    dated = (as_of == "") | (F.try_to_timestamp(as_of, F.lit("yyyy-MM-dd")).isNotNull() & F.regexp_extract(urn, URN_PATTERN, 1).isin("act", "sl"))
-    return F.coalesce(urn.rlike(URN_PATTERN) & dated & ~urn.rlike(r"::|:@|:$"), F.lit(False))
+    """One match of the grammar, with segments that aren't empty; a date must be one, and only legislation takes it."""
+    date = F.get(F.split(urn, "@"), F.lit(1))
+    dated = date.isNull() | (F.try_to_timestamp(date, F.lit("yyyy-MM-dd")).isNotNull() & (urn.startswith("urn:sg:act:") | urn.startswith("urn:sg:sl:")))
+    return F.coalesce(urn.rlike(URN_GRAMMAR) & dated, F.lit(False))
 
 
 def validate_documents(docs: DataFrame) -> DataFrame:
