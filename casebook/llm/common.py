@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of one Arrow batch, whichever is reached first; one very long text is a batch of its own size.
-ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
+ARROW_ROWS, ARROW_BYTES = 1000, 4 << 20
+#: Bytes of batches after which a worker gives back the memory that they left free.
+TRIM = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,16 +27,29 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
+def _trim() -> None:
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """`run` for mapInArrow; at a task's end the worker, which is used again, gives back what the task held."""
+    """`run` for mapInArrow; the worker, which is used again, gives back free memory now and then and at a task's end."""
 
     def out(batches: Iterator) -> Iterator:
+        def each() -> Iterator:
+            seen = 0
+            for batch in batches:
+                yield batch
+                seen += batch.nbytes
+                if seen > TRIM:
+                    seen = 0
+                    _trim()
+
         try:
-            yield from run(batches)
+            yield from run(each())
         finally:
-            pa.default_memory_pool().release_unused()
-            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
-                trim(0)
+            _trim()
 
     return out
 

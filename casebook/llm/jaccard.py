@@ -9,8 +9,10 @@ Documents link when 100 * |A and B| >= least * |A or B| over their distinct word
    into bands of sizes that may link.
 3. Rows of the product, in rounds: each column takes one pivot class and pairs it with the column's classes of other
    components. Sizes and places in the order bound the overlap; pairs below the bound are discarded. Then they are
-   bounded by the sizes of 256 blocks of columns (hash ranges), and what is left is multiplied in blocks, accumulating
-   overlap counts and leaving off as soon as the rest can't reach the bound. Links merge components, so a group of copies costs about one product each, not one a pair.
+   bounded by the sizes of 256 blocks of columns (hash ranges), and what is left is multiplied: a tile has a row and
+   about 256 of its partners, whose overlap counts are summed over blocks of columns; a pair goes as soon as the rest
+   can't lift its count to the bound. Links merge components, so a group of copies costs about one product each, not one a
+   pair.
 4. After ROUNDS, or a round with few new links, all remaining pairs of different components in a column are multiplied.
    So no link between components is lost.
 
@@ -36,7 +38,7 @@ from casebook.llm.graph import components as connected
 WORDS, LEAST = 4, 85
 #: The order's list of frequent shingles: at most so many from each task and in all. Any list gives the same links.
 HOT_TASK, HOT, HOT_LEAST = 4096, 20_000, 16
-ROUNDS, BLOCKS, SIZES, MOST_SIZE = 6, 4, 256, (1 << 16) - 1
+ROUNDS, BLOCKS, SIZES, MOST_SIZE, TILE = 6, 4, 256, (1 << 16) - 1, 256
 MEMO = 50_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -120,23 +122,6 @@ def prefixes(docs: DataFrame, words: int, least: int, hot: np.ndarray) -> DataFr
     return docs.mapInArrow(tidy(run), "doc_id long, n long, key binary, prefix array<long>, blocks binary")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """node, shingles (sorted, as bytes) of the named documents whose set has the named key."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = Shingler(words)
-        for batch in batches:
-            out = []
-            for node, key, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                raw = s.of(text).tobytes()
-                if hashlib.blake2b(raw, digest_size=16).digest() == key:
-                    out.append((node, raw))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], names=["node", "shingles"])
-
-    texts = join_by_size(docs, wanted.select(F.col("node").alias("doc_id"), "key"), ["doc_id"], "inner", wanted.count())
-    return texts.select("doc_id", "key", "text").mapInArrow(tidy(run), "node long, shingles binary")
-
-
 def block_sizes(x: np.ndarray) -> bytes:
     """How many hashes fall in each of SIZES ranges. A set too large for 16 bits has MOST_SIZE in all: it bounds nothing."""
     n = np.bincount((x >> np.uint64(64 - SIZES.bit_length() + 1)).astype(np.int64), minlength=SIZES)
@@ -157,36 +142,83 @@ def bounded(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ca", "cb", "blocks_a", "blocks_b").mapInArrow(tidy(run), "a long, b long, ca long, cb long")
 
 
-def overlap(a: np.ndarray, b: np.ndarray, bound: int) -> int:
-    """Overlap of two sorted sets, summed over blocks of hashes; -1 once the rest can't reach the bound."""
-    edges = (np.arange(1, BLOCKS, dtype=np.uint64) << np.uint64(64 - BLOCKS.bit_length() + 1))
-    ca, cb = (np.concatenate([[0], np.searchsorted(x, edges), [len(x)]]) for x in (a, b))
-    total = 0
-    for k in range(BLOCKS):
-        x, y = a[ca[k] : ca[k + 1]], b[cb[k] : cb[k + 1]]
-        if len(x) and len(y):
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            total += int((y[at] == x).sum())
-        if total + min(len(a) - ca[k + 1], len(b) - cb[k + 1]) < bound:
-            return -1
-    return total
+def tiles(pairs: DataFrame) -> DataFrame:
+    """Pairs a, b, ca, cb with `part`: the pairs of a row a are a tile, or several of about TILE if it has more."""
+    many = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > TILE)
+    rows = join_by_size(pairs, many, ["a"], "left", many.count())
+    part = F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / TILE).cast("long"))
+    return rows.select("a", F.coalesce(part, F.lit(0)).cast("int").alias("part"), "b", "ca", "cb")
 
 
-def multiply(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
-    """Of pairs a, b, ca, cb (components) those that link."""
+def product(a: np.ndarray, rows: list[np.ndarray], least: int) -> np.ndarray:
+    """Which rows link with the row a: a block of the product. Overlap counts are summed over blocks of columns (ranges of
+    hashes), and a row is left out as soon as what remains can't lift its count to the bound that the sizes set."""
+    edges = np.arange(1, BLOCKS, dtype=np.uint64) << np.uint64(64 - BLOCKS.bit_length() + 1)
+    cut = lambda x: [0, *np.searchsorted(x, edges).tolist(), len(x)]
+    own, cuts = cut(a), np.array([cut(x) for x in rows])
+    size = cuts[:, -1]
+    bound = -(-least * (len(a) + size) // (100 + least))
+    count, open_ = np.zeros(len(rows), np.int64), np.flatnonzero(np.minimum(size, len(a)) >= bound)
+    for k in range(BLOCKS):
+        mine, n = a[own[k] : own[k + 1]], cuts[open_, k + 1] - cuts[open_, k]
+        if len(mine) and n.any():
+            columns = np.concatenate([rows[i][cuts[i, k] : cuts[i, k + 1]] for i in open_.tolist()])
+            at = np.minimum(np.searchsorted(mine, columns), len(mine) - 1)
+            held = np.concatenate([[0], np.cumsum(mine[at] == columns)])
+            ends = np.cumsum(n)
+            count[open_] += held[ends] - held[ends - n]
+        open_ = open_[count[open_] + np.minimum(len(a) - own[k + 1], size[open_] - cuts[open_, k + 1]) >= bound[open_]]
+    out = np.zeros(len(rows), bool)
+    out[open_] = True
+    return out
+
+
+def multiply(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, least: int) -> DataFrame:
+    """Of pairs a, b, ca, cb (components) the components that link.
+
+    A tile's rows come to one task: the sets of its documents, made from their texts before the shuffle (each once a
+    tile, not once a pair), then its pairs.
+    """
+    tiled = materialise(tiles(pairs))
+    nodes = tiled.select("a", "part", F.explode(F.array("a", "b")).alias("node")).distinct().join(classes.select("node", "key"), "node")
+    wanted = materialise(nodes.select("a", "part", F.col("node").alias("doc_id"), "key"))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s = Shingler(words)
+        for batch in batches:
+            raw = {x: s.of(x).tobytes() for x in set(batch.column(4).to_pylist())}
+            made = [raw[x] for x in batch.column(4).to_pylist()]
+            same = [hashlib.blake2b(x, digest_size=16).digest() == k for x, k in zip(made, batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(made, pa.binary())], names=["a", "part", "node", "shingles"]).filter(pa.array(same, pa.bool_()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for left, right in zip(batch.column(2), batch.column(3), strict=True):
-                a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (left, right))
-                bound = -(-least * (len(a) + len(b)) // (100 + least))
-                good.append(overlap(a, b, bound) >= bound)
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["ca", "cb"]).filter(pa.array(good, pa.bool_()))
+        tile, held, asked = None, {}, []
+
+        def linked() -> list[tuple[int, int]]:
+            good = product(held[tile[0]], [held[b] for b, _, _ in asked], least) if asked else []
+            return [x[1:] for x, ok in zip(asked, good, strict=True) if ok]
 
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").select("ca", "cb", "sa", "sb").mapInArrow(tidy(run), "ca long, cb long")
+        for batch in batches:
+            found = []
+            for a, part, node, raw, ca, cb in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (a, part) != tile:
+                    found += linked()
+                    tile, held, asked = (a, part), {}, []
+                if raw is not None:
+                    held[node] = np.frombuffer(raw, np.uint64)
+                else:
+                    asked.append((node, ca, cb))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["ca", "cb"])
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in linked()], pa.int64()) for i in (0, 1)], names=["ca", "cb"])
+
+    texts = join_by_size(docs, wanted, ["doc_id"], "inner", wanted.count()).select("a", "part", "doc_id", "key", "text")
+    made = texts.mapInArrow(tidy(sets), "a long, part int, node long, shingles binary")
+    none = F.lit(None).cast("long")
+    rows = made.select("*", none.alias("ca"), none.alias("cb")).unionByName(tiled.select("a", "part", F.col("b").alias("node"), F.lit(None).cast("binary").alias("shingles"), "ca", "cb"))
+    rows = rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("shingles").isNull())
+    out = materialise(rows.mapInArrow(tidy(run), "ca long, cb long").distinct())
+    discard(tiled, wanted)
+    return out
 
 
 def _may_link(n: Column, pos: Column, m: Column, mpos: Column, least: int) -> Column:
@@ -215,19 +247,19 @@ def join(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     base = materialise(prefixes(rows, words, least, frequent(rows, words)))
     classes = materialise(base.where("n > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("blocks").alias("blocks")))
+    # A doc_id with many equal rows would bring each of them to its tiles.
+    repeated = not base.where("n > 0 and doc_id is not null").groupBy("doc_id", "key").count().where("count > 1").isEmpty()
+    once = rows.dropDuplicates(["doc_id", "text"]) if repeated else rows
     incidence = classes.select("node", "n", F.posexplode("prefix").alias("pos", "sh"))
     several = incidence.groupBy("sh").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("sh")
     columns = materialise(_banded(incidence.join(several, "sh", "left_semi"), least))
     labels: DataFrame | None = None
 
     def linked(pairs: DataFrame) -> DataFrame:
-        """Components that link: only the sets of documents in pairs are made, and moved."""
+        """Components that link."""
         pairs = materialise(bounded(pairs, classes, least))
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = materialise(classes.join(nodes, "node", "left_semi").select("node", "key"))
-        sets = materialise(sets_of(rows, wanted, words))
-        links = materialise(multiply(pairs, sets, least).distinct())
-        discard(pairs, wanted, sets)
+        links = multiply(pairs, classes, once, words, least)
+        discard(pairs)
         return links
 
     def merge(links: DataFrame, old: DataFrame | None) -> DataFrame:

@@ -22,7 +22,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: results.
 MEMO_BYTES = 32 << 20
 #: Characters of the texts that are encoded together: arrays of some 40 times as many bytes are held meanwhile.
-AT_ONCE = 2 << 20
+AT_ONCE = 1 << 20
 #: Characters whose cuts are plain: ASCII but for the apostrophe, and precomposed Latin letters whose lower case is one
 #: letter too (U+0130 has two).
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"

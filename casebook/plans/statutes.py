@@ -215,7 +215,7 @@ def documents(read: DataFrame) -> DataFrame:
     p, item, toc = F.col("p"), F.col("p.item"), F.col("toc")
     rows = read.where("error is null").withColumn("toc", placed(F.col("page.toc"), F.col("root"), item["corpus"]))
     sub_key = lambda key, path: F.concat_ws("-", key, F.regexp_extract_all(path, F.lit(r"\(([^)]+)\)"), F.lit(1)))
-    subs = F.transform("page.subs", lambda s: F.struct(s["anchor"].alias("anchor"), s["path"].alias("path"), s["text"].alias("text"), F.element_at(F.filter(toc, lambda t: t["anchor"] == s["anchor"]), 1).alias("of"), s["parent"].alias("above")))
+    subs = F.transform("page.subs", lambda s: F.struct(s["anchor"].alias("anchor"), s["path"].alias("path"), s["text"].alias("text"), F.get(F.filter(toc, lambda t: t["anchor"] == s["anchor"]), F.lit(0)).alias("of"), s["parent"].alias("above")))
     asked = lambda a: F.array_contains(F.col("p.requested_ids"), a)
     rows = rows.withColumn("subs", F.filter(subs, lambda s: asked(s["anchor"])))
     rows = rows.withColumn("subs", F.transform("subs", lambda s: F.struct(
@@ -223,7 +223,7 @@ def documents(read: DataFrame) -> DataFrame:
         U.child(F.col("root"), sub_key(s["of"]["key"], s["path"])).alias("urn"), U.child(F.col("root"), sub_key(s["of"]["key"], s["above"])).alias("parent"))))
     history = F.array_join(F.transform(F.filter("page.pieces", lambda x: x["anchor"].startswith("xv")), lambda x: x["text"]), "\n")
     below = lambda rows_, urn: F.transform(F.filter(rows_, lambda c: c["parent"] == urn), lambda c: c["urn"])
-    text_of = lambda anchor: F.coalesce(F.element_at(F.filter("page.pieces", lambda x: x["anchor"] == anchor), 1)["text"], F.lit(""))
+    text_of = lambda anchor: F.coalesce(F.get(F.filter("page.pieces", lambda x: x["anchor"] == anchor), F.lit(0))["text"], F.lit(""))
     shown = {"ignoreNullFields": "false"}
     repealed = F.coalesce(p["repealed"], F.lit(False)).alias("repealed")
 

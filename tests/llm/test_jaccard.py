@@ -93,15 +93,38 @@ def test_nulls_repeats_and_empty(spark):
     assert jaccard.join(docs.limit(0)).count() == 0
 
 
-@settings(max_examples=50, deadline=None)
-@given(st.integers(0, 2**32), st.integers(0, 200), st.integers(0, 200))
-def test_overlap(seed, n, m):
+@settings(max_examples=80, deadline=None)
+@given(st.integers(0, 2**32), st.integers(1, 300), st.integers(50, 95), st.booleans())
+def test_product_of_a_tile(seed, n, least, narrow):
+    """Against sets; narrow hashes leave some blocks of columns empty."""
     rng = np.random.default_rng(seed)
-    pool = rng.integers(0, 2**64, 250, np.uint64)
-    a, b = np.unique(rng.choice(pool, n)), np.unique(rng.choice(pool, m))
-    true = len(np.intersect1d(a, b))
-    assert jaccard.overlap(a, b, 0) == true
-    assert jaccard.overlap(a, b, true) == true and jaccard.overlap(a, b, true + 1) in (true, -1)
+    pool = rng.integers(0, 2**50 if narrow else 2**64, 400, np.uint64)
+    a = np.unique(rng.choice(pool, n))
+    rows = [np.unique(np.concatenate([a[rng.random(len(a)) > cut], rng.choice(pool, rng.integers(0, 40))])) for cut in rng.random(30) * 0.4]
+    rows = [x for x in rows if len(x)] + [a]
+    want = [100 * len(np.intersect1d(a, x)) >= least * len(np.union1d(a, x)) for x in rows]
+    assert jaccard.product(a, rows, least).tolist() == want
+
+
+def test_tiles_split_hot_rows(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "TILE", 8)
+    pairs = spark.createDataFrame([(1, b, 1, b) for b in range(2, 100)] + [(2, 3, 2, 3)], "a long, b long, ca long, cb long")
+    rows = jaccard.tiles(pairs).collect()
+    assert sorted((r.a, r.b) for r in rows) == sorted([(1, b) for b in range(2, 100)] + [(2, 3)])
+    sizes = [sum((x.a, x.part) == (r.a, r.part) for x in rows) for r in rows]
+    assert max(sizes) < 30 and len({r.part for r in rows if r.a == 1}) > 8
+
+
+def test_one_document_id_with_many_rows(spark):
+    docs = spark.range(3000).selectExpr("5 AS doc_id", "'a b c d e f g h i j k l m n o p q r s t u v w x y z' AS text").union(spark.sql("SELECT 7, 'a b c d e f g h i j k l m n o p q r s t u v w x y Z'")).union(spark.sql("SELECT 9, 'a b c d e f g h i j k l m n o p q r s t u v w x y z 1'"))
+    got = jaccard.join(docs).groupBy("doc_id", "component_id").count().collect()
+    assert sorted(map(tuple, got)) == [(5, 5, 3000), (7, 5, 1), (9, 5, 1)]
+
+
+def test_very_long_texts(spark):
+    words = [f"v{i}" for i in range(60_000)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join([*words[:30_000], "other", *words[30_000:]])), (3, " ".join(words[:40_000]))], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard.join(docs).collect()} == {1: 1, 2: 1, 3: 3}
 
 
 def test_components(spark):
