@@ -33,10 +33,31 @@ def _trim() -> None:
         trim(0)
 
 
-def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """`run` for mapInArrow; the worker, which is used again, gives back free memory now and then and at a task's end."""
+_resident: dict = {}
+
+
+def resident(key: tuple, make: Callable[[], object]):
+    """What a worker keeps from task to task: one object, so another operator's is let go."""
+    if key not in _resident:
+        let_go()
+        _resident[key] = make()
+    return _resident[key]
+
+
+def let_go() -> None:
+    if _resident:
+        _resident.clear()
+        _trim()
+
+
+def tidy(run: Callable[[Iterator], Iterator], holds: bool = False) -> Callable[[Iterator], Iterator]:
+    """`run` for mapInArrow; the worker, which is used again, gives back free memory now and then and at a task's end.
+    Unless `run` holds a resident object, what an earlier operator left there goes first."""
 
     def out(batches: Iterator) -> Iterator:
+        if not holds:
+            let_go()
+
         def each() -> Iterator:
             seen = 0
             for batch in batches:

@@ -143,7 +143,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary()), pa.array([signature(np.frombuffer(x, "<u2")) for x in raw], pa.int64())], names=["doc_id", "ids", "signature"])
 
     small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), "doc_id long, ids binary, signature long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run, holds=True), "doc_id long, ids binary, signature long")
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = WINDOW) -> DataFrame:

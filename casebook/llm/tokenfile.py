@@ -143,7 +143,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2, path: str | N
 
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(F.col("doc_id").asc_nulls_first())
-    return materialise(rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()).mapInArrow(tidy(pack), SHARD), path)
+    return materialise(rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()).mapInArrow(tidy(pack, holds=True), SHARD), path)
 
 
 def read_tokens(shards: DataFrame) -> DataFrame:

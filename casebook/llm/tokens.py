@@ -16,6 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+from casebook.llm.common import resident
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Bytes that each of a worker's two memos, of chunks and of the words within them, may hold. This bounds memory, not
@@ -110,8 +112,6 @@ class _Memo:
 class WordIds:
     """Token ids of whole texts, as bytes of little-endian 16-bit ids."""
 
-    _made: dict[str, WordIds] = {}
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -128,10 +128,8 @@ class WordIds:
 
     @classmethod
     def of(cls, path: str) -> WordIds:
-        """One per worker process, whatever the number of tasks."""
-        if path not in cls._made:
-            cls._made[path] = cls(path)
-        return cls._made[path]
+        """One per worker process, from task to task."""
+        return resident(("tokens", path), lambda: cls(path))
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids

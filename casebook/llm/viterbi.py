@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import small_batches
+from casebook.llm.common import resident, small_batches, tidy
 
 BLANK = "▁"
 MEMO = 300_000
@@ -145,8 +145,6 @@ class StreamingEncoder:
 class Codec:
     """Whole texts to ids and back, with the memo of cuts."""
 
-    _made: dict[str, Codec] = {}
-
     def __init__(self, vocabulary: Vocabulary):
         self.v, self.encoder, self.memo = vocabulary, StreamingEncoder(vocabulary), {}
         inner = any(" " in p.lstrip(" ") for p in vocabulary.ids)
@@ -155,9 +153,8 @@ class Codec:
 
     @classmethod
     def of(cls, path: str) -> Codec:
-        if path not in cls._made:
-            cls._made[path] = cls(Vocabulary.load(path))
-        return cls._made[path]
+        """One per worker process, from task to task."""
+        return resident(("viterbi", path), lambda: cls(Vocabulary.load(path)))
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
@@ -192,7 +189,7 @@ def digest(docs: DataFrame, model: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 5, kinds, strict=True))], names=[x.split()[0] for x in OUT.split(", ")])
 
     small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, OUT)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run, holds=True), OUT)
 
 
 def encode(docs: DataFrame, model: str) -> DataFrame:
@@ -204,7 +201,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([codec.encode(x).astype(np.int32) for x in batch.column(1).to_pylist()], pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run, holds=True), "doc_id long, ids array<int>")
 
 
 def decode(rows: DataFrame, model: str) -> DataFrame:
@@ -216,4 +213,4 @@ def decode(rows: DataFrame, model: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([None if x is None else codec.decode(x) for x in batch.column(1).to_pylist()], pa.string())], names=["doc_id", "text"])
 
     small_batches(rows.sparkSession)
-    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(run, "doc_id long, text string")
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(tidy(run, holds=True), "doc_id long, text string")
