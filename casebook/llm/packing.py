@@ -4,7 +4,7 @@
 2. Documents are ranged by signature, so that lexically close ones come to one partition; doc_id splits hot
    signatures, so copies never pile up in one task.
 3. Each partition is read in index shards of about a million ids. A shard's BM25 index answers each seed with its
-   unused neighbours, best first; they fill the window, and the last one is cut where the window is full. What is left
+   unused neighbours by all of the seed's terms, best first; they fill the window, and the last one is cut where the window is full. What is left
    of it seeds the next window. A partition's last, unfilled window is cut into powers of two, so nothing is padded.
 
 Null text counts as empty (the end id alone). Repeated rows are packed each; null doc_ids stay null. Equal scores go by
@@ -22,14 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.llm.common import materialise, small_batches, tidy
-from casebook.llm.tokens import WordIds
+from casebook.llm.tokens import WordIds, gather
 
 WINDOW = 2048
 K1, B = 1.2, 0.75
 #: Ids and documents of an index shard; memory of a task is bounded by them and by the longest document.
 SHARD_IDS, SHARD_DOCS = 1 << 20, 4096
-#: A query has the seed's terms of most weight; terms in over a fourth of the shard's documents rank nothing.
-QUERY_TERMS, COMMON = 32, 0.25
+#: Terms in over this share of a shard's documents have rows of weights instead of postings: at most SHARD_IDS / COMMON
+#: numbers.
+COMMON = 0.25
 OUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -45,7 +46,7 @@ def signature(ids: np.ndarray) -> int:
 
 
 class Bm25:
-    """Inverted index of one shard: postings by term, with each posting's BM25 weight."""
+    """Inverted index of one shard: postings by term, with each posting's BM25 weight; common terms have dense rows."""
 
     def __init__(self, docs: list[np.ndarray]):
         n = self.n = len(docs)
@@ -55,26 +56,30 @@ class Bm25:
         df = np.bincount(term, minlength=1 << 16)
         idf = np.log1p((n - df + 0.5) / (df + 0.5))
         weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[doc] / max(1.0, sizes.mean())))
-        useful = (df[term] > 1) & ((df[term] <= max(2, COMMON * n)))
-        doc, term, weight = doc[useful], term[useful], weight[useful]
-        self.first = np.searchsorted(doc, np.arange(n + 1))
-        self.term, self.weight = term, weight
+        shared = df[term] > 1
+        doc, term, weight = doc[shared], term[shared], weight[shared]
+        self.first, self.term = np.searchsorted(doc, np.arange(n + 1)), term
+        common = np.flatnonzero(df > max(2, COMMON * n))
+        self.row = np.full(1 << 16, -1)
+        self.row[common] = np.arange(len(common))
+        dense = self.row[term] >= 0
+        self.rows = np.zeros((len(common), n))
+        self.rows[self.row[term[dense]], doc[dense]] = weight[dense]
+        doc, term, weight = doc[~dense], term[~dense], weight[~dense]
         order = np.argsort(term, kind="stable")
         self.post_doc, self.post_weight = doc[order], weight[order]
         self.at = np.searchsorted(term[order], np.arange((1 << 16) + 1))
 
-    def neighbours(self, seed: int) -> np.ndarray:
-        """Documents that share a query term with the seed, best first."""
-        a, b = self.first[seed], self.first[seed + 1]
-        if a == b:
-            return np.zeros(0, np.int64)
-        terms = self.term[a:b]
-        if b - a > QUERY_TERMS:
-            terms = terms[np.argpartition(-self.weight[a:b], QUERY_TERMS)[:QUERY_TERMS]]
-        spans = [slice(self.at[t], self.at[t + 1]) for t in terms]
-        docs = np.concatenate([self.post_doc[s] for s in spans])
-        score = np.bincount(docs, np.concatenate([self.post_weight[s] for s in spans]), self.n)
-        hit = np.flatnonzero(score)
+    def neighbours(self, seed: int, free: np.ndarray) -> np.ndarray:
+        """Free documents that share a term with the seed, best first. All of the seed's terms are asked for."""
+        terms = self.term[self.first[seed] : self.first[seed + 1]]
+        row = self.row[terms]
+        score = self.rows[row[row >= 0]].sum(0)
+        rare = terms[row < 0]
+        begin, n = self.at[rare], self.at[rare + 1] - self.at[rare]
+        if len(rare):
+            score += np.bincount(gather(self.post_doc, begin, n), gather(self.post_weight, begin, n), self.n)
+        hit = np.flatnonzero(free & (score > 0))
         return hit[np.argsort(-score[hit], kind="stable")]
 
 
@@ -112,12 +117,11 @@ class Packer:
                     seed = None
                     continue
             last, seed = seed, None
-            for d in index.neighbours(last).tolist():
-                if free[d]:
-                    free[d] = False
-                    if self.add(keys[d], docs[d]):
-                        seed = d if self.used else None
-                        break
+            for d in index.neighbours(last, free).tolist():
+                free[d] = False
+                if self.add(keys[d], docs[d]):
+                    seed = d if self.used else None
+                    break
 
     def close(self) -> None:
         """Cut the last window into powers of two."""

@@ -50,6 +50,65 @@ def test_memos_are_bounded_and_do_not_change_ids(monkeypatch):
         assert small.chunks.old.size() < 1 << 13
 
 
+def test_neighbours_are_those_of_plain_bm25_over_all_terms():
+    """Every term of the seed counts, frequent and rare ones; used documents are left out."""
+    rng = np.random.default_rng(3)
+    docs = [np.append(np.minimum(rng.zipf(1.3, rng.integers(1, 90)), 300), 1).astype("<u2") for _ in range(60)]
+    docs += [docs[4].copy(), docs[4].copy(), np.array([1], "<u2"), np.append(np.arange(301, 400), 1).astype("<u2")]
+    index, n = packing.Bm25(docs), len(docs)
+    size = [len(x) for x in docs]
+    mean, sets = sum(size) / n, [set(x.tolist()) for x in docs]
+    df = {t: sum(t in s for s in sets) for t in set().union(*sets)}
+
+    def bm25(seed: int, d: int) -> float:
+        out = 0.0
+        for t in sets[seed] & sets[d]:
+            tf = docs[d].tolist().count(t)
+            if df[t] > 1:
+                out += np.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size[d] / mean))
+        return out
+
+    free = rng.random(n) < 0.8
+    for seed in range(n):
+        got = index.neighbours(seed, free).tolist()
+        want = {d: bm25(seed, d) for d in range(n) if free[d]}
+        assert sorted(got) == sorted(d for d, x in want.items() if x > 0)
+        scores = [want[d] for d in got]
+        assert all(a >= b - 1e-9 for a, b in zip(scores, scores[1:]))
+
+
+def test_windows_are_filled_greedily_by_a_plain_version():
+    """Seeds in order, then the last document's best unused neighbours, cut where the window is full."""
+    rng = np.random.default_rng(5)
+    docs = [np.append(rng.integers(2, 60, rng.integers(1, 40)), 1).astype("<u2") for _ in range(80)]
+    p = packing.Packer(0, 32)
+    p.shard(list(range(80)), docs)
+    p.close()
+    index, free, order, seed = packing.Bm25(docs), np.ones(80, bool), [], None
+    used = 0
+    while free.any():
+        if seed is None:
+            seed = int(np.flatnonzero(free)[0])
+            free[seed] = False
+            order.append(seed)
+            ended, used = used + len(docs[seed]) >= 32, (used + len(docs[seed])) % 32
+            if ended and not used:
+                seed = None
+                continue
+        last, seed = seed, None
+        for d in index.neighbours(last, free).tolist():
+            free[d] = False
+            order.append(d)
+            ended, used = used + len(docs[d]) >= 32, (used + len(docs[d])) % 32
+            if ended:
+                seed = d if used else None
+                break
+    assert [x[0] for x in p.out if x[1] == 0] == order
+    whole = np.concatenate([docs[d] for d in order])
+    pieces = [x for x in p.out if x[5] < len(whole) // 32]
+    assert all(x[6] + x[2] <= 32 for x in pieces) and sum(x[2] for x in p.out) == len(whole)
+
+
 def test_packing(spark):
     rows = packing.pack(spark.createDataFrame(DOCS, SCHEMA), WORD).toPandas()
     want = sorted((k is not None, k or 0, len(ids(WORD, x)) + 1) for k, x, _ in DOCS)
