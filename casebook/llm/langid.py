@@ -9,12 +9,14 @@ Trained on a bounded sample: hashes of doc_ids fall into narrow levels, and for
 together hold at most PER_LANG rows are taken, whole texts (a doc_id of more rows than that is never sampled, nor what
 falls in coarser levels). Null text, or text without letters, is `und` with score 0; without training rows everything
 is. Words in scripts that training never saw tell no language from another. Repeated rows are labelled each; null
-doc_ids are never trained on; other columns are ignored; an empty table gives no row.
+doc_ids are never trained on; other columns are ignored; an empty table gives no row. A very long text is labelled whole.
+Equal letters, and equal paths, go to the language that sorts first.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -27,7 +29,11 @@ from pyspark.sql import functions as F
 
 from casebook.llm.common import small_batches, tidy
 
-WORD = re.compile(r"[^\W\d_]+")
+#: Letters, and the marks that combine with the letter before them (vowel signs of many scripts).
+MARKS = "".join(c for c in map(chr, range(0x110000)) if unicodedata.category(c) in ("Mn", "Mc"))
+WORD = re.compile(rf"[^\W\d_]+(?:[{MARKS}]+[^\W\d_]*)*")
+#: The same where there are no marks, all of which are beyond FAR.
+SHORT, FAR = re.compile(r"[^\W\d_]+"), re.compile("[\u0300-\U0010ffff]")
 #: First code points of scripts (fixed values of the Unicode blocks), in order.
 STARTS = [(0x0, "latin"), (0x370, "greek"), (0x400, "cyrillic"), (0x530, "armenian"), (0x590, "hebrew"), (0x600, "arabic"), (0x900, "devanagari"), (0x980, "bengali"), (0xA00, "indic"), (0xB80, "tamil"), (0xC00, "indic"), (0xE00, "thai"), (0xE80, "other"), (0x10A0, "georgian"), (0x1100, "hangul"), (0x1200, "other"), (0x1E00, "latin"), (0x1F00, "greek"), (0x2000, "other"), (0x2C60, "latin"), (0x2C80, "other"), (0x3040, "kana"), (0x3100, "other"), (0x3400, "han"), (0xA000, "other"), (0xA720, "latin"), (0xA800, "other"), (0xAC00, "hangul"), (0xD7B0, "other"), (0xF900, "han"), (0xFB00, "latin"), (0xFB50, "arabic"), (0xFE00, "other"), (0xFF21, "latin"), (0xFF66, "kana"), (0xFFA0, "other"), (0x20000, "han"), (0x32000, "other")]
 POINTS, SCRIPTS = [a for a, _ in STARTS], [b for _, b in STARTS]
@@ -42,6 +48,15 @@ LEVELS, TOGETHER = 16, 100
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
+def word_pattern(text: str) -> re.Pattern:
+    return WORD if not text.isascii() and FAR.search(text) else SHORT
+
+
+def words_of(text: str | None) -> list[str]:
+    """Words in lower case."""
+    return list(map(str.lower, word_pattern(text).findall(text))) if text else []
+
+
 def script_of(word: str) -> str:
     return SCRIPTS[bisect_right(POINTS, ord(word[len(word) // 2])) - 1]
 
@@ -116,7 +131,7 @@ class Labeller:
         """Language, score from 0 to 1 (its share of letters times its posterior), and spans by code points, of each text."""
         for i in range(0, len(texts), TOGETHER):
             some = texts[i : i + TOGETHER]
-            words = [list(map(str.lower, WORD.findall(x or ""))) for x in some]
+            words = [words_of(x) for x in some]
             if len(self.at) > MEMO:
                 self.at.clear()
             if self.m.langs and (new := list({w for line in words for w in line if w not in self.at})):
@@ -138,7 +153,7 @@ class Labeller:
         posterior = 1 / np.exp(np.minimum(60.0, total - total[lang])).sum()
         out = []
         if spans:
-            places = [x.span() for x in WORD.finditer(text)]
+            places = [x.span() for x in word_pattern(text).finditer(text)]
             cuts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(path)]
             out = [(places[a][0], places[b - 1][1], self.m.langs[path[a]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         return self.m.langs[lang], float(letters[lang] / letters.sum() * posterior), out
@@ -185,7 +200,7 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
         for batch in batches:
             seen: dict[str, Counter] = defaultdict(Counter)
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen[lang].update(map(str.lower, WORD.findall(text or "")))
+                seen[lang].update(words_of(text))
             for lang, words in seen.items():
                 mine = count.setdefault(lang, np.zeros(BUCKETS, np.int64))
                 for word, n in words.items():
@@ -246,7 +261,7 @@ def label(docs: DataFrame, model: Model, keep: list[str] | None = None, spans: b
 
 
 def predict(docs: DataFrame) -> DataFrame:
-    """The query: doc_id, held_out, lang_pred, score."""
+    """The query: doc_id, held_out (null for a null doc_id), lang_pred, score."""
     out = label(docs, train(docs))
     return out.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out"), "lang_pred", "score")
 

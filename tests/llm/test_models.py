@@ -307,3 +307,11 @@ def test_every_labelled_language_is_learnt(spark, monkeypatch):
     monkeypatch.setattr(langid, "MOST_LANGS", 64)
     with pytest.raises(ValueError, match="64 labelled"):
         langid.train(docs)
+
+
+def test_words_keep_combining_marks():
+    """Vowel signs and accents stay with their letters; texts without marks are cut as by letters alone."""
+    assert langid.words_of("\u0939\u093f\u0928\u094d\u0926\u0940 \u0e17\u0e35\u0e48 e\u0301te\u0301 A_b c3D \u2019x") == ["\u0939\u093f\u0928\u094d\u0926\u0940", "\u0e17\u0e35\u0e48", "e\u0301te\u0301", "a", "b", "c", "d", "x"]
+    assert langid.words_of(None) == langid.words_of("") == langid.words_of("12 \u0301") == []
+    for text in ("na\u00efve caf\u00e9s_x 9y", "\u2018quoted\u2019 \u4e2d\u6587"):
+        assert langid.WORD.findall(text) == langid.SHORT.findall(text)
