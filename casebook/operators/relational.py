@@ -260,19 +260,24 @@ def printed_paragraphs(rows: DataFrame, key: str, pos: str, number: str, suffix:
 
 
 def chunk_by_budget(rows: DataFrame, key: str, pos: str, size: str, budget: int) -> DataFrame:
-    """key, pos, chunk: a new chunk starts where the next size would exceed the budget."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(pos)
-        used, chunk, out = 0, 0, []
-        for n in pdf[size]:
-            if used and used + n > budget:
-                used, chunk = 0, chunk + 1
-            used += n
-            out.append(chunk)
-        return pd.DataFrame({key: pdf[key], pos: pdf[pos], "chunk": out})
-
-    return rows.groupBy(key).applyInPandas(run, f"{key} {rows.schema[key].dataType.simpleString()}, {pos} {rows.schema[pos].dataType.simpleString()}, chunk long")
+    """key, pos, chunk: a new chunk starts where the next size would exceed the budget. A task holds a batch of rows,
+    however many its keys have."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, used, chunk = object(), 0, 0
+        for pdf in batches:
+            out = []
+            for k, n in zip(pdf[key].astype(object).where(pdf[key].notna(), None), pdf[size], strict=True):
+                if k != last:
+                    last, used, chunk = k, 0, 0
+                if used and used + n > budget:
+                    used, chunk = 0, chunk + 1
+                used += n
+                out.append(chunk)
+            yield pd.DataFrame({key: pdf[key], pos: pdf[pos], "chunk": pd.array(out, "int64")})
+
+    ordered = rows.select(key, pos, size).repartition(key).sortWithinPartitions(key, pos)
+    return ordered.mapInPandas(run, f"{key} {rows.schema[key].dataType.simpleString()}, {pos} {rows.schema[pos].dataType.simpleString()}, chunk long")
 
 
 # ---- References
