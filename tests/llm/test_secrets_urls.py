@@ -64,6 +64,15 @@ def test_queries_ask_for_less_than_matches():
     assert secrets.trigram_query("abcd?") == [[frozenset({"abc"})]]
 
 
+def test_postings_are_every_trigram_of_every_text(spark):
+    trigrams = ["aab", "aba", "a-]", "]^\\", " a-", "\nab", "é☃x", "ab\U0001f511", "---"]
+    texts = [None, "", "ab", "AABAABA", "aaba-]^\\ a-]", "-----", "x\nABé☃x ab\U0001f511", "aab" * 5000, "nothing here"]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)] + [(3, "aba", "x"), (None, "aab", "x")], "doc_id long, text string, trigram string")
+    want = sorted((str(r.doc_id), t) for r in docs.collect() for t in trigrams if t in (r.text or "").lower())
+    assert sorted((str(r.doc_id), r.trigram) for r in secrets.postings(docs, trigrams).collect()) == want
+    assert secrets.postings(docs.limit(0), trigrams).count() == 0
+
+
 def test_urls_against_sql(spark, tmp_path):
     odd = [(0, None, "h", "allow"), (1, "no scheme", "h", ""), (2, "HTTP://A.Example.COM/en/x?q", "h", ""), (3, "x://example.com/en/", "h", ""), (4, "x://www.example.com/en/", "h", ""), (5, "x://net/es/", "h", ""), (6, "x://b.net/fr", "h", ""), (7, "x://com", "h", ""), (8, "a://b://c/d", "h", ""), (9, "x://a.co.uk/p#f", "h", ""), (9, "x://a.co.uk/p#f", "h", ""), (10, "x://", "h", ""), (11, "x://\nq.net\n/es/\n?", "h", "")]
     odd = spark.createDataFrame(odd, "page_id long, url string, host string, verdict string")
