@@ -1,10 +1,13 @@
 """Matroska media columns: EBML elements, clusters, lacing and cues to packet tables, and a muxer for 8-bit PCM.
 
-`packets` turns a column of Matroska files into one row a packet: track, timestamp, byte range. `store_samples` writes
+`packets` turns a column of Matroska files into one row a packet: track, timestamp, byte range, and the bytes that header
+stripping took from its head. `store_samples` writes
 a payload as unsigned 8-bit mono PCM at 8 kHz; `describe` reads the stored files back and computes features.
 
-A null file has no packets; a file that isn't Matroska, or is cut short, raises. Null text is the empty payload, which
-is padded like any other. Repeated rows give repeated results. Other columns are ignored.
+A null file has no packets; a file that isn't Matroska, is cut short, or has compressed or encrypted frames raises
+ValueError. Null text is the empty payload, which is padded like any other; a very long text is one file, held whole by
+its task. Repeated rows give repeated results, so there are no ties. An empty table gives no row. Other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ from casebook.llm.common import shared_dir, small_batches
 EBML, EBML_VERSION, EBML_READ_VERSION, EBML_MAX_ID, EBML_MAX_SIZE, DOC_TYPE, DOC_TYPE_VERSION, DOC_TYPE_READ_VERSION = 0x1A45DFA3, 0x4286, 0x42F7, 0x42F2, 0x42F3, 0x4282, 0x4287, 0x4285
 SEGMENT, INFO, TIMESTAMP_SCALE, MUXING_APP, WRITING_APP, DURATION = 0x18538067, 0x1549A966, 0x2AD7B1, 0x4D80, 0x5741, 0x4489
 TRACKS, TRACK_ENTRY, TRACK_NUMBER, TRACK_UID, TRACK_TYPE, FLAG_LACING, CODEC_ID, AUDIO, SAMPLING, CHANNELS, BIT_DEPTH, DEFAULT_DURATION = 0x1654AE6B, 0xAE, 0xD7, 0x73C5, 0x83, 0x9C, 0x86, 0xE1, 0xB5, 0x9F, 0x6264, 0x23E383
+TRACK_TIMESTAMP_SCALE, CONTENT_ENCODINGS, CONTENT_ENCODING, ENCODING_SCOPE, ENCODING_TYPE, COMPRESSION, COMP_ALGO, COMP_SETTINGS = 0x23314F, 0x6D80, 0x6240, 0x5032, 0x5033, 0x5034, 0x4254, 0x4255
+HEADER_STRIPPING, SCOPE_FRAMES = 3, 1
 CLUSTER, TIMESTAMP, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK = 0x1F43B675, 0xE7, 0xA3, 0xA0, 0xA1
 CUES, CUE_POINT, CUE_TIME, CUE_TRACK_POSITIONS, CUE_TRACK, CUE_CLUSTER_POSITION = 0x1C53BB6B, 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
 #: Elements that end an element of unknown size.
@@ -33,7 +38,7 @@ TOP = {SEGMENT, INFO, TRACKS, CLUSTER, CUES, 0x114D9B74, 0x1941A469, 0x1043A770,
 RATE, UNIT = 8000, 192
 FRAME, LACE, CLUSTER_BLOCKS = 8 * UNIT, 8, 16
 NO_LACING, XIPH, FIXED, EBML_LACING = 0, 1, 2, 3
-PACKETS = "packet long, track long, timestamp_ns long, cluster long, offset long, size long, keyframe boolean, lacing int, cued boolean"
+PACKETS = "packet long, track long, timestamp_ns long, cluster long, offset long, size long, keyframe boolean, lacing int, cued boolean, prefix binary"
 
 
 def element(eid: int, data: bytes) -> bytes:
@@ -141,14 +146,18 @@ def frames_of(data: bytes, at: int, end: int, kind: int) -> list[tuple[int, int]
     """Place and size of each frame of a block's data."""
     if kind == NO_LACING:
         return [(at, end - at)]
+    if at >= end:
+        raise ValueError("a lace is cut short")
     n, at = data[at] + 1, at + 1
     sizes: list[int] = []
     if kind == XIPH:
         for _ in range(n - 1):
-            size = 0
-            while data[at] == 255:
-                size, at = size + 255, at + 1
-            sizes.append(size + data[at])
+            first = at
+            while at < end and data[at] == 255:
+                at += 1
+            if at >= end:
+                raise ValueError("a lace is cut short")
+            sizes.append((at - first) * 255 + data[at])
             at += 1
     elif kind == EBML_LACING:
         for k in range(n - 1):
@@ -169,9 +178,34 @@ def frames_of(data: bytes, at: int, end: int, kind: int) -> list[tuple[int, int]
     return out
 
 
+def real(data: bytes, a: int, b: int) -> float:
+    if b - a not in (0, 4, 8):
+        raise ValueError(f"a float of {b - a} bytes")
+    return struct.unpack(">f" if b - a == 4 else ">d", data[a:b])[0] if b > a else 0.0
+
+
+def stripped(data: bytes, a: int, b: int) -> bytes:
+    """What a track's content encodings took from the head of each frame. Other encodings of frames raise."""
+    prefix = b""
+    for e, _, p, q in elements(data, a, b):
+        if e != CONTENT_ENCODING:
+            continue
+        own = {f: (u, v) for f, _, u, v in elements(data, p, q)}
+        if ENCODING_SCOPE in own and not number(data, *own[ENCODING_SCOPE]) & SCOPE_FRAMES:
+            continue
+        how = {f: (u, v) for f, _, u, v in elements(data, *own[COMPRESSION])} if COMPRESSION in own else {}
+        if (ENCODING_TYPE in own and number(data, *own[ENCODING_TYPE])) or COMP_ALGO not in how or number(data, *how[COMP_ALGO]) != HEADER_STRIPPING:
+            raise ValueError("frames are compressed or encrypted")
+        u, v = how.get(COMP_SETTINGS, (0, 0))
+        prefix += data[u:v]
+    return prefix
+
+
 def parse(data: bytes) -> list[tuple]:
     """The packet table of a file: PACKETS. Laced frames after the first are a default duration later each."""
     out, scale, durations, cued, doc_type = [], 1_000_000, {}, set(), b""
+    scales: dict[int, float] = {}
+    prefixes: dict[int, bytes] = {}
     for eid, _, a, b in elements(data, 0, len(data)):
         if eid == EBML:
             doc_type = b"".join(data[x:y] for e, _, x, y in elements(data, a, b) if e == DOC_TYPE)
@@ -185,10 +219,16 @@ def parse(data: bytes) -> list[tuple]:
                 for k, _, p, q in elements(data, x, y):
                     if k == TRACK_ENTRY:
                         own = {f: number(data, u, v) for f, _, u, v in elements(data, p, q) if f in (TRACK_NUMBER, DEFAULT_DURATION)}
-                        durations[own.get(TRACK_NUMBER, 0)] = own.get(DEFAULT_DURATION, 0)
+                        track = own.get(TRACK_NUMBER, 0)
+                        durations[track] = own.get(DEFAULT_DURATION, 0)
+                        for f, _, u, v in elements(data, p, q):
+                            if f == TRACK_TIMESTAMP_SCALE:
+                                scales[track] = real(data, u, v)
+                            elif f == CONTENT_ENCODINGS:
+                                prefixes[track] = stripped(data, u, v)
             elif e == CUES:
-                for _, _, p, q in elements(data, x, y):
-                    for k, _, u, v in elements(data, p, q):
+                for point, _, p, q in elements(data, x, y):
+                    for k, _, u, v in elements(data, p, q) if point == CUE_POINT else ():
                         if k == CUE_TRACK_POSITIONS:
                             own = {f: number(data, s, t) for f, _, s, t in elements(data, u, v)}
                             cued.add((own.get(CUE_TRACK, 0), own.get(CUE_CLUSTER_POSITION, -1)))
@@ -200,13 +240,21 @@ def parse(data: bytes) -> list[tuple]:
                     inner = [(p, q, k)] if k == SIMPLE_BLOCK else [(u, v, f) for f, _, u, v in elements(data, p, q) if f == BLOCK] if k == BLOCK_GROUP else []
                     for p, q, f in inner:  # noqa: B020, PLW2901
                         track, m, _ = read_vint(data, p)
+                        if q - p - m < 3:
+                            raise ValueError("a block is cut short")
                         shift, flags = struct.unpack_from(">hB", data, p + m)
+                        begin = time * scale + (shift * scale if scales.get(track, 1.0) == 1.0 else round(shift * scale * scales[track]))
                         kind = flags >> 1 & 3
                         for i, (u, size) in enumerate(frames_of(data, p + m + 3, q, kind)):
-                            out.append([len(out), track, (time + shift) * scale + i * durations.get(track, 0), at - base, u, size, f == SIMPLE_BLOCK and bool(flags & 0x80), kind])
+                            out.append([len(out), track, begin + i * durations.get(track, 0), at - base, u, size, f == SIMPLE_BLOCK and bool(flags & 0x80), kind])
     if doc_type not in (b"matroska", b"webm"):
         raise ValueError("not a Matroska file")
-    return [(*x, (x[1], x[3]) in cued) for x in out]
+    return [(*x, (x[1], x[3]) in cued, prefixes.get(x[1], b"")) for x in out]
+
+
+def packet_bytes(data: bytes, row: tuple) -> bytes:
+    """A packet as its codec wants it: what was stripped from its head, then its byte range."""
+    return row[9] + data[row[4] : row[4] + row[5]]
 
 
 def packets(files: DataFrame, key: str = "doc_id", media: str = "media") -> DataFrame:
@@ -217,7 +265,7 @@ def packets(files: DataFrame, key: str = "doc_id", media: str = "media") -> Data
             for k, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if data.is_valid and (rows := parse(data.as_py())):
                     cols = list(zip(*rows, strict=True))
-                    kinds = [pa.int64()] * 6 + [pa.bool_(), pa.int32(), pa.bool_()]
+                    kinds = [pa.int64()] * 6 + [pa.bool_(), pa.int32(), pa.bool_(), pa.binary()]
                     yield pa.RecordBatch.from_arrays([pa.array([k] * len(rows), pa.int64()), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=["key", *(x.split()[0] for x in PACKETS.split(", "))])
 
     small_batches(files.sparkSession)
@@ -255,7 +303,7 @@ def describe(stored: DataFrame) -> DataFrame:
             out = []
             for data in batch.column(2).to_pylist():
                 rows = parse(data)
-                payload = b"".join(data[r[4] : r[4] + r[5]] for r in rows)
+                payload = b"".join(packet_bytes(data, r) for r in rows)
                 out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(data), hashlib.sha256(data).hexdigest(), feature(np.frombuffer(payload, np.uint8), len(rows))))
             cols = list(zip(*out, strict=True)) or [[]] * 6
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import struct
 import zlib
 
 import pytest
@@ -30,6 +31,45 @@ def test_unknown_sizes_and_block_groups():
         m.parse(m.mux_pcm(bytes(400))[:-3])
 
 
+def track_file(*entry: bytes, block: bytes = m.vint(1) + b"\x00\x05\x00" + b"frame", cues: bytes = b"") -> bytes:
+    track = m.element(m.TRACK_ENTRY, m.uint(m.TRACK_NUMBER, 1) + b"".join(entry))
+    body = m.element(m.TRACKS, track) + m.element(m.CUES, cues) + m.element(m.CLUSTER, m.uint(m.TIMESTAMP, 7) + m.element(m.SIMPLE_BLOCK, block))
+    return m.element(m.EBML, m.element(m.DOC_TYPE, b"matroska")) + m.element(m.SEGMENT, body)
+
+
+def test_track_scale_and_header_stripping():
+    coding = lambda algo, scope=1: m.element(m.CONTENT_ENCODINGS, m.element(m.CONTENT_ENCODING, m.uint(m.ENCODING_SCOPE, scope) + m.element(m.COMPRESSION, m.uint(m.COMP_ALGO, algo) + m.element(m.COMP_SETTINGS, b"\x0b\x77"))))
+    data = track_file(m.element(m.TRACK_TIMESTAMP_SCALE, struct.pack(">f", 0.5)), coding(3))
+    (row,) = m.parse(data)
+    assert row[2] == 9_500_000 and row[9] == b"\x0b\x77" and m.packet_bytes(data, row) == b"\x0b\x77frame"
+    (row,) = m.parse(data := track_file(coding(0, scope=2)))
+    assert row[2] == 12_000_000 and m.packet_bytes(data, row) == b"frame"
+    with pytest.raises(ValueError, match="compressed"):
+        m.parse(track_file(coding(0)))
+
+
+def test_cues_may_hold_a_checksum():
+    assert len(m.parse(track_file(cues=m.element(0xBF, b"\x00\x01\x02\x03")))) == 1
+
+
+@pytest.mark.parametrize("block", [b"\x81\x00", b"\x81\x00\x00\x02", b"\x81\x00\x00\x02\x01\xff", b"\x81\x00\x00\x06\x02\x81", b"\x81\x00\x00\x04\x01\x00"])
+def test_blocks_cut_short(block):
+    with pytest.raises(ValueError):
+        m.parse(track_file(block=block))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.data())
+def test_damaged_files_raise_value_errors_only(data):
+    raw = bytearray(m.mux_pcm(bytes(range(192)) * 20, m.XIPH))
+    for _ in range(data.draw(st.integers(1, 4))):
+        raw[data.draw(st.integers(0, len(raw) - 1))] = data.draw(st.integers(0, 255))
+    try:
+        m.parse(bytes(raw[: data.draw(st.integers(0, len(raw)))]))
+    except ValueError:
+        pass
+
+
 def test_query(spark):
     texts = ["", None, "x", "é" * 100, "y" * 192, "z" * 100_000, "x"]
     docs = spark.createDataFrame([(i, t, b"m") for i, t in enumerate(texts)] + [(None, "x", b"m")], "doc_id long, text string, media binary")
