@@ -21,6 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(names: list[str]) -> str:
+    """A prefix for further columns, with which none of the names begins."""
+    prefix = "__"
+    while any(x.startswith(prefix) for x in names):
+        prefix += "_"
+    return prefix
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch holds."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import discard, join_by_size, materialise, small_batches, tidy
+from casebook.llm.common import discard, fresh, join_by_size, materialise, small_batches, tidy
 from casebook.llm.graph import components as connected
 
 WORDS, LEAST = 4, 85
@@ -307,10 +307,11 @@ def join(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
 
 def select(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
     """One document of each component (the least doc_id; of repeated rows one), with its columns. Null ids stay."""
+    own = fresh(docs.columns) + "id"
     ids = materialise(join(docs, words, least))
-    out = ids.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.withColumn("__id", F.col("doc_id").cast("long"))
-    kept = join_by_size(kept, out, ["__id"], "left_anti", out.count())
+    out = ids.where("doc_id <> component_id").select(F.col("doc_id").alias(own)).distinct()
+    kept = docs.withColumn(own, F.col("doc_id").cast("long"))
+    kept = join_by_size(kept, out, [own], "left_anti", out.count())
     if not ids.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = kept.where("__id is not null").dropDuplicates(["__id"]).unionByName(kept.where("__id is null"))
+        kept = kept.where(F.col(own).isNotNull()).dropDuplicates([own]).unionByName(kept.where(F.col(own).isNull()))
     return kept.select(*docs.columns)

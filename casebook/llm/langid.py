@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import small_batches, tidy
+from casebook.llm.common import fresh, small_batches, tidy
 
 #: Letters, and the marks that combine with the letter before them (vowel signs of many scripts).
 MARKS = "".join(c for c in map(chr, range(0x110000)) if unicodedata.category(c) in ("Mn", "Mc"))
@@ -268,4 +268,5 @@ def predict(docs: DataFrame) -> DataFrame:
 
 def select(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The documents in one known language, with their columns; `und` and unclear ones go."""
-    return label(docs, train(docs), docs.columns, prefix="__").where((F.col("__lang_pred") != "und") & (F.col("__score") >= least)).select(*docs.columns)
+    p = fresh(docs.columns)
+    return label(docs, train(docs), docs.columns, prefix=p).where((F.col(f"{p}lang_pred") != "und") & (F.col(f"{p}score") >= least)).select(*docs.columns)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import small_batches, tidy
+from casebook.llm.common import fresh, small_batches, tidy
 
 GRADES = 3
 SAMPLE, LEAST, BITS = 8000, 8, 30
@@ -167,4 +167,5 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None, cut: flo
 
 def select(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier keeps, with their columns."""
-    return score(docs, train(docs, labels), docs.columns, prefix="__").where("__kept").select(*docs.columns)
+    p = fresh(docs.columns)
+    return score(docs, train(docs, labels), docs.columns, prefix=p).where(F.col(f"{p}kept")).select(*docs.columns)

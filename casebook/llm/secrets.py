@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import join_by_size, materialise
+from casebook.llm.common import fresh, join_by_size, materialise
 
 
 @dataclass(frozen=True)
@@ -200,9 +200,9 @@ def scan(docs: DataFrame, rules: list[Rule] = RULES, keep: list[str] | None = No
     keep = keep or ["doc_id"]
     indexed = [i for i, r in enumerate(rules) if trigram_query(r.pattern)]
     found = materialise(candidates(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), rules))
-    rows = docs.select(*keep, F.col("doc_id").cast("long").alias("__id"), F.coalesce("text", F.lit("")).alias("__text"))
+    rows = docs.select(F.struct(*keep).alias("__row"), F.col("doc_id").cast("long").alias("__id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = join_by_size(rows, found.select(F.col("doc_id").alias("__id"), F.col("kinds").alias("__kinds")), ["__id"], "left", found.count())
-    rows = rows.select(F.struct(*keep).alias("__row"), F.col("__text").alias("text"), F.when(F.col("__id").isNull(), -1).otherwise(F.coalesce("__kinds", F.lit(0))).alias("__kinds"))
+    rows = rows.select("__row", "text", F.when(F.col("__id").isNull(), -1).otherwise(F.coalesce("__kinds", F.lit(0))).alias("__kinds"))
     wanted = lambda i: F.col("__kinds").bitwiseAND(1 << i) != 0 if i in indexed else F.lit(True)
     # One column a rule first: they are read several times below.
     rows = rows.select("__row", *(_spans(r, i, wanted(i)).alias(f"s{i}") for i, r in enumerate(rules)))
@@ -226,7 +226,8 @@ def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
 
     Null texts stay null.
     """
-    rows = scan(docs, keep=docs.columns, name="__spans")
+    spans = fresh(docs.columns) + "spans"
+    rows = scan(docs, keep=docs.columns, name=spans)
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
@@ -234,8 +235,8 @@ def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
         out = F.when(fresh, F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, x["start"] - acc["at"]), F.lit(mask))).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), out.alias("out"))
 
-    clean = F.aggregate("__spans", start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    rows = rows.withColumn("text", F.when((F.size("__spans") > 0) & F.col("text").isNotNull(), clean).otherwise(F.col("text"))).drop("__spans")
+    clean = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
+    rows = rows.withColumn("text", F.when((F.size(spans) > 0) & F.col("text").isNotNull(), clean).otherwise(F.col("text"))).drop(spans)
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return rows.select(*docs.columns)
