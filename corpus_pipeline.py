@@ -1,8 +1,8 @@
 """The training-data pipeline: five stages over `documents`, each over all that the one before it kept.
 
 In every stage: very long texts are taken whole; repeated rows have the same verdict (near_duplicates keeps one of those
-of a doc_id); an empty table gives no row; further
-columns, whatever their names, come out as they went in (packing leaves them out).
+of a doc_id); an empty table gives no row; further columns, whatever their names, come out as they went in (packing
+leaves them out).
 """
 
 from __future__ import annotations
