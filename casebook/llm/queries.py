@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from casebook.llm import fertility, jaccard, langid, matroska, ordinal, packing, secrets, tokenfile, urls, viterbi
+from casebook.llm import centroids, fertility, jaccard, langid, matroska, negatives, ordinal, packing, secrets, sharding, tokenfile, urls, viterbi
 from casebook.llm.common import table
 
 
@@ -54,12 +55,24 @@ def op10_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_tokens(tokenfile.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings")).drop("exact")
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(negatives.relabelled(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0)
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_jaccard, op3_media, op4_langid, op5_secrets, op6_fertility, op7_viterbi, op8_ordinal, op9_urls, op10_tokenfile)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_jaccard, op3_media, op4_langid, op5_secrets, op6_fertility, op7_viterbi, op8_ordinal, op9_urls, op10_tokenfile, op11_centroids, op12_negatives, op13_sharding)}
 QUERIES["pipeline"] = pipeline
-ORACLE_SQL: dict[str, str] = {"op9_urls": urls.SQL}
+ORACLE_SQL: dict[str, str] = {"op9_urls": urls.SQL, "op11_centroids": centroids.SQL, "op12_negatives": negatives.SQL, "op13_sharding": sharding.SQL}
