@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casebook.sources.shared import stored
+
 # ---- Filters
 
 
@@ -294,17 +296,67 @@ def find_citing(refs: DataFrame, docs: DataFrame, urn: Column, kind: str | None
     return hits.join(docs, F.col("from_urn") == docs.urn)
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, key: str, other: str, text: str, other_text: str, least: float) -> DataFrame:
-    """All pairs whose word sets' Jaccard similarity is at least `least` (over 0), by an inverted index of the words: pairs
-    that share no word have none. Repeated rows are paired each; null and empty texts with nothing."""
-    words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("[a-z0-9]+"), F.lit(0)))
+#: Rows of a word on the left that one task pairs with those on the right; a word with more is split.
+WORD_ROWS = 20_000
+
+
+def _word_classes(rows: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with the class of their word set, and the classes with their words. Rows without a word are left out."""
+    held = rows.select(F.col(key), F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0)))).alias("words")).where(F.size("words") > 0)
+    held = held.withColumn("cls", F.unhex(F.sha2(F.array_join("words", " "), 256)))
+    return held.select(key, "cls"), held.select("cls", "words").dropDuplicates(["cls"])
+
 
-    def postings(rows: DataFrame, name: str, of: str, side: str) -> DataFrame:
-        sets = rows.select(F.monotonically_increasing_id().alias(f"row_{side}"), F.col(name), words(F.col(of)).alias("words"))
-        return sets.select(f"row_{side}", name, F.size("words").alias(f"n_{side}"), F.explode("words").alias("word"))
+def overlap_needed(n: Column, m: Column, least: float) -> Column:
+    """Words that sets of n and m must share for a similarity of `least`: both / (n + m - both) >= least."""
+    return F.ceil(F.lit(least / (1 + least)) * (n + m) - F.lit(1e-9))
+
+
+def word_prefixes(left: DataFrame, right: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """For each side's classes (cls, words): cls, n, `shared` (the words that the other side has too, rarest first) and from
+    which place on they stand, so that a set's place counts all its words, those of one side alone before all others.
+
+    A set that has enough words in common with another has one of them among its first n - ceil(least n) + 1.
+    """
+    tokens = [x.select("cls", F.size("words").alias("n"), F.explode("words").alias("word")) for x in (left, right)]
+    counts = [x.groupBy("word").agg(F.count(F.lit(1)).alias(f"f{i}")) for i, x in enumerate(tokens)]
+    both = stored(counts[0].join(counts[1], "word"))
+    word = F.struct((F.col("f0") + F.col("f1")).alias("f"), "word", F.ceil(F.col("f0") / WORD_ROWS).cast("int").alias("parts"))
+    listed = [stored(x.join(both, "word").groupBy("cls", "n").agg(F.array_sort(F.collect_list(word)).alias("shared")).withColumn("first", F.col("n") - F.size("shared"))) for x in tokens]
+    return listed[0], listed[1]
 
-    shared = postings(left, key, text, "a").join(postings(right, other, other_text, "b"), "word").groupBy("row_a", "row_b", key, other, "n_a", "n_b").agg(F.count(F.lit(1)).alias("both"))
-    return shared.select(key, other, F.round(F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both")), 6).alias("confidence")).where(F.col("confidence") >= least)
+
+def candidate_classes(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """a, b: classes that share a word of both prefixes, and whose sizes and places there leave room for enough others. A
+    word that is frequent on the left is dealt out to several tasks, each of which gets the right's rows of it."""
+
+    def prefix(rows: DataFrame) -> DataFrame:
+        # a slice of no length would be an error where all of a prefix stands on one side alone
+        keep = F.col("n") - F.ceil(F.col("n") * least - F.lit(1e-9)).cast("int") + 1 - F.col("first")
+        own = rows.where(keep > 0).select("cls", "n", "first", F.posexplode(F.slice("shared", F.lit(1), keep)).alias("i", "w"))
+        return own.select("cls", "n", (F.col("first") + F.col("i")).alias("pos"), "w.word", "w.parts")
+
+    a = prefix(left).select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), "word", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int").alias("part"))
+    b = prefix(right).select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), "word", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= overlap_needed(F.col("na"), F.col("nb"), least)
+    sizes = F.least("na", "nb") >= F.greatest("na", "nb") * least - F.lit(1e-9)
+    return a.join(b, ["word", "part"]).where(sizes & room).select("a", "b").distinct()
+
+
+def similar_pairs(left: DataFrame, right: DataFrame, key: str, other: str, text: str, other_text: str, least: float) -> DataFrame:
+    """All pairs whose word sets' Jaccard similarity, to six places, is at least `least` (over 0): a set-similarity join.
+
+    Equal word sets are compared once. Words are ordered rarest first; only a set's first words are join keys, sizes and
+    places bound the overlap, and what is left is verified. Repeated rows are paired each; null and empty texts with nothing.
+    """
+    least_exact = least - 5e-7  # what rounds up to `least`
+    (rows_a, sets_a), (rows_b, sets_b) = _word_classes(left, key, text), _word_classes(right, other, other_text)
+    listed_a, listed_b = word_prefixes(sets_a, sets_b, least_exact)
+    pairs = candidate_classes(listed_a, listed_b, least_exact)
+    words = lambda x, side: x.select(F.col("cls").alias(side), F.col("n").alias(f"n{side}"), F.transform("shared", lambda w: w["word"]).alias(f"w{side}"))
+    both = F.size(F.array_intersect("wa", "wb"))
+    sure = pairs.join(words(listed_a, "a"), "a").join(words(listed_b, "b"), "b").select("a", "b", F.round(both / (F.col("na") + F.col("nb") - both), 6).alias("confidence")).where(F.col("confidence") >= least)
+    return sure.join(rows_a.withColumnRenamed("cls", "a"), "a").join(rows_b.withColumnRenamed("cls", "b"), "b").select(key, other, "confidence")
 
 
 def intent_chain(docs: DataFrame, refs: DataFrame, least: float = 0.5) -> DataFrame:

@@ -1,13 +1,20 @@
-"""Full-text search: inverted index, MATCH queries, BM25, snippets.
-
-The index is a table of postings (term, id, col, pos, and n: the length of the document), clustered by term once it is
-written, with the corpus's statistics beside it. A query reads the postings of all its terms once and shuffles them by
-id; phrases, counts, and the Boolean answer (an expression over the leaves' counts) are made there, so there is no join
-of posting lists. Statistics cover the whole index, whatever filters a search has.
+"""Full-text search: inverted index, MATCH queries, BM25, the best k, snippets.
+
+The index is three tables of Parquet, and the corpus's statistics beside them. `postings` has each occurrence (term, id,
+col, pos, and n: the length of the document) and serves phrases, NEAR and columns. `frequencies` has a row a term and
+document, ordered by term and falling impact (the part of BM25 that doesn't depend on the query): its pages are the blocks
+of a posting list, and Parquet's page index holds the greatest impact of each, so that a reader skips what is below a cut.
+`levels` counts a term's rows by steps of impact.
+
+A query of single words reads frequencies; others read the postings of all their terms once and shuffle them by id;
+phrases, counts, and the Boolean answer (an expression over the leaves' counts) are made there, so there is no join of
+posting lists. The best k of words joined by AND or OR are found from the top of the lists, by growing waves, until no
+document that wasn't read far enough can reach them. Statistics cover the whole index, whatever filters a search has.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_right
 from dataclasses import dataclass
@@ -18,17 +25,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from casebook.functions.text import plain_terms, stemmed_terms, terms
+from casebook.sources.shared import stored
 
 K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
 OPEN, CLOSE, GAP, SNIPPET = "<<", ">>", " ... ", 24
 
 
+#: Steps of impact, which is below 1; rows of a page, which is what a reader skips or decodes.
+STEPS, PAGE = 64, 512
+TABLES = ("postings", "lengths", "frequencies", "levels")
+
+
 @dataclass
 class Index:
     postings: DataFrame  # id, col, pos, term, n
     lengths: DataFrame  # id, n
     stem: bool
-    statistics: DataFrame | None = None  # one row: docs, mean
+    statistics: DataFrame | None = None  # one row: docs, mean, built (the mean for which impacts were made)
+    frequencies: DataFrame | None = None  # term, id, tf, n, impact
+    levels: DataFrame | None = None  # term, level, rows: of which impact is at least level / STEPS and below the next
 
     def stats(self) -> DataFrame:
         """docs, mean: read where they were written, else summed over the lengths."""
@@ -37,16 +52,34 @@ class Index:
     def written(self, path: str) -> Index:
         """The same index from Parquet, clustered by term so that a query reads few row groups."""
         spark = self.postings.sparkSession
-        self.postings.repartitionByRange("term", "id").sortWithinPartitions("term", "id").write.mode("overwrite").parquet(f"{path}/postings")
         self.lengths.write.mode("overwrite").parquet(f"{path}/lengths")
-        stored = Index(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/lengths"), self.stem)
-        stored.stats().coalesce(1).write.mode("overwrite").parquet(f"{path}/statistics")
+        stats = Index(self.postings, spark.read.parquet(f"{path}/lengths"), self.stem).stats()
+        stats.withColumn("built", F.col("mean")).coalesce(1).write.mode("overwrite").parquet(f"{path}/statistics")
+        write_lists(self.postings, path, spark.read.parquet(f"{path}/statistics").first()["built"])
         return opened(spark, path, self.stem)
 
 
+def impact(tf: Column, n: Column, mean: Column) -> Column:
+    return tf / (tf + K1 * (1 - B + B * n / mean))
+
+
+def write_lists(postings: DataFrame, path: str, built: float | None) -> None:
+    """postings, frequencies and levels of an index; `built` is the mean length for the impacts."""
+    spark = postings.sparkSession
+    # what a lost executor must not change is written before it is read twice
+    postings.repartitionByRange("term", "id").sortWithinPartitions("term", "id").write.mode("overwrite").parquet(f"{path}/postings")
+    tf = spark.read.parquet(f"{path}/postings").groupBy("term", "id", "n").agg(F.count(F.lit(1)).alias("tf"))
+    rows = tf.select("term", "id", "tf", "n", impact(F.col("tf"), F.col("n"), F.lit(built or 1.0)).alias("impact"))
+    order = ["term", F.col("impact").desc(), "id"]
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").option("parquet.page.row.count.limit", PAGE).parquet(f"{path}/frequencies")
+    levels = spark.read.parquet(f"{path}/frequencies").groupBy("term", F.floor(F.col("impact") * STEPS).cast("int").alias("level")).agg(F.count(F.lit(1)).alias("rows"))
+    levels.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/levels")
+
+
 def opened(spark, path: str, stem: bool = False) -> Index:
     """An index that `written` wrote."""
-    return Index(*(spark.read.parquet(f"{path}/{x}") for x in ("postings", "lengths")), stem, spark.read.parquet(f"{path}/statistics"))
+    t = {x: spark.read.parquet(f"{path}/{x}") for x in (*TABLES, "statistics")}
+    return Index(t["postings"], t["lengths"], stem, t["statistics"], t["frequencies"], t["levels"])
 
 
 def build(docs: DataFrame, key: str, columns: list[str], stem: bool = False) -> Index:
@@ -215,6 +248,17 @@ def occurrences(index: Index, found: list[Leaf]) -> DataFrame:
     return rows.groupBy("id", "n", "leaf", "col", "start").agg(F.count(F.lit(1)).alias("votes")).where(F.col("votes") == need).drop("votes")
 
 
+def _is_word(x: Leaf) -> bool:
+    return len(x.words) == 1 and x.col is None
+
+
+def word_counts(index: Index, found: list[Leaf]) -> DataFrame:
+    """id, n, f0, f1, ...: how often each leaf, a word or a beginning of words, is in a document that has any of them."""
+    is_term = [F.col("term").startswith(x.words[0]) if x.prefix else F.col("term") == x.words[0] for x in found]
+    rows = index.frequencies.where(reduce(Column.__or__, is_term))
+    return rows.groupBy("id", "n").agg(*(F.coalesce(F.sum(F.when(c, F.col("tf"))), F.lit(0)).alias(f"f{k}") for k, c in enumerate(is_term)))
+
+
 def near_ids(found: DataFrame, node: Near, first: int) -> DataFrame:
     """Distinct ids with all leaves of a NEAR (places from `first`) in one column, as near as it says.
 
@@ -236,8 +280,11 @@ def bm25(index: Index, query: str) -> DataFrame:
     """id, score of every match; lower is better. Each leaf is a unit with its own frequency; what follows NOT has none."""
     node = parse(query, index.stem)
     found = _all_leaves(node)
-    rows = occurrences(index, found)
-    counts = rows.groupBy("id", "n").agg(*(F.count_if(F.col("leaf") == k).alias(f"f{k}") for k in range(len(found))))
+    if index.frequencies is not None and not _near(node) and all(_is_word(x) for x in found):
+        counts = word_counts(index, found)
+    else:
+        rows = occurrences(index, found)
+        counts = rows.groupBy("id", "n").agg(*(F.count_if(F.col("leaf") == k).alias(f"f{k}") for k in range(len(found))))
     place = {"leaf": 0, "near": 0}
     for k, x in enumerate(_near(node)):
         first = next(i for i in range(len(found)) if tuple(found[i : i + len(x.leaves)]) == x.leaves)
@@ -274,12 +321,89 @@ def bm25(index: Index, query: str) -> DataFrame:
     return held.select("id", (-sum((F.col(f"idf{k}") * F.col(f"f{k}") * (K1 + 1) / (F.col(f"f{k}") + length) for k in scored), F.lit(0.0))).alias("score"))
 
 
-def search(docs: DataFrame, index: Index, query: str, key: str, where: list[Column] | None = None, limit: int = 20) -> DataFrame:
-    """The best documents (score, then key), filtered after scoring; limit is clamped to 1..100."""
-    hits = bm25(index, query).withColumnRenamed("id", key)
+@dataclass
+class Best:
+    hits: DataFrame  # id, score: the k best and whatever else was found on the way
+    read: int  # rows of frequencies that were read
+    listed: int  # rows that the terms have in all
+
+
+def _idf(docs: int, df: int) -> float:
+    value = math.log((docs - df + 0.5) / (df + 0.5))
+    return value if value > 0 else LEAST_IDF
+
+
+def _conjunction(node) -> tuple[list[str], bool] | None:
+    """The words of a query that joins different words by AND alone, or by OR alone, and whether by AND; else None."""
+
+    def kinds(x) -> set[str]:
+        return {x.kind} | kinds(x.left) | kinds(x.right) if isinstance(x, Op) else set()
+
+    leaves = _all_leaves(node)
+    if _near(node) or not all(_is_word(x) and not x.prefix for x in leaves) or len(set(leaves)) < len(leaves) or not kinds(node) in (set(), {"AND"}, {"OR"}):
+        return None
+    return [x.words[0] for x in leaves], kinds(node) == {"AND"}
+
+
+def best(index: Index, query: str, k: int, allowed: DataFrame | None = None, first: int = 8, growth: int = 8) -> Best | None:
+    """The k best of `allowed` ids (all, if None), ties included, for words joined by AND or by OR; None for other queries.
+
+    Lists are read from their greatest impact down to a cut. A document that was met in all lists, or in all but those read
+    to their end, has its score; of any other the cuts bound what is missing. The cuts are lowered until the k-th best
+    score is above all bounds. A wave reads `growth` times the rows of the one before, so all waves together read little
+    more than the last. Only counts of levels (64 a word) and k scores come to the driver.
+    """
+    wanted = _conjunction(parse(query, index.stem))
+    if wanted is None or index.frequencies is None:
+        return None
+    words, both = wanted
+    docs, mean, built = index.stats().select("docs", "mean", "built").first()
+    levels: dict[str, dict[int, int]] = {w: {} for w in words}
+    for r in index.levels.where(F.col("term").isin(words)).groupBy("term", "level").agg(F.sum("rows").alias("rows")).collect():
+        levels[r["term"]][r["level"]] = r["rows"]
+    # rows taken back are counted below all levels: they lower the count of documents, and no list
+    weight = {w: _idf(docs, sum(levels[w].values())) * (K1 + 1) for w in words}
+    lists = {w: {at: n for at, n in levels[w].items() if at >= 0} for w in words}
+    stretch = max(1.0, (mean or 1.0) / (built or 1.0))  # impacts for this mean are at most so many times those stored
+    listed, read, want = sum(sum(x.values()) for x in lists.values()), 0, first * k
+    while True:
+        cut = {}
+        for w, counts in lists.items():
+            n, cut[w] = 0, 0
+            for at in sorted(counts, reverse=True):
+                n, cut[w] = n + counts[at], at
+                if n >= want:
+                    break
+            cut[w] = 0 if n >= sum(counts.values()) else cut[w]
+            read += n
+        rows = index.frequencies.where(reduce(Column.__or__, ((F.col("term") == w) & (F.col("impact") >= at / STEPS) if at else F.col("term") == w for w, at in cut.items())))
+        rows = rows if allowed is None else rows.join(allowed, "id", "left_semi")
+        own = reduce(lambda x, w: F.when(F.col("term") == w, F.lit(weight[w])).otherwise(x), words, F.lit(0.0)) * impact(F.col("tf"), F.col("n"), F.lit(mean))
+        rest = {w: weight[w] * stretch * at / STEPS for w, at in cut.items()}
+        has = [F.array_contains("terms", w) for w in words]
+        missing = sum((F.when(h, 0.0).otherwise(rest[w]) for w, h in zip(words, has, strict=True)), F.lit(0.0))
+        whole = reduce(Column.__and__, (h if both else h | F.lit(not cut[w]) for w, h in zip(words, has, strict=True)))
+        lost = reduce(Column.__or__, (~h & F.lit(both and not cut[w]) for w, h in zip(words, has, strict=True)))
+        met = rows.groupBy("id").agg(F.sum(own).alias("sum"), F.collect_set("term").alias("terms")).where(~lost)
+        met = stored(met.select("id", F.col("sum").alias("score"), whole.alias("whole"), (F.col("sum") + missing).alias("most")))
+        top = [r["score"] for r in met.where("whole").orderBy(F.desc("score")).limit(k).collect()]
+        open_ = [w for w in words if cut[w]]
+        unmet = sum(rest.values()) if open_ and (not both or len(open_) == len(words)) else 0.0
+        bound = max(unmet, met.where("not whole").agg(F.max("most")).first()[0] or 0.0)
+        if not open_ or (len(top) == k and top[-1] > bound + 1e-9):
+            return Best(met.where("whole").select("id", (-F.col("score")).alias("score")), read, listed)
+        want *= growth
+
+
+def search(docs: DataFrame, index: Index, query: str, key: str, where: list[Column] | None = None, limit: int = 20, tie: str | None = None) -> DataFrame:
+    """The best documents (score to nine places, then `tie` or the key), of those that pass all filters; limit is clamped
+    to 1..100."""
+    limit = max(1, min(limit, 100))
     for predicate in where or []:
         docs = docs.where(predicate)
-    return docs.join(hits, key).orderBy("score", key).limit(max(1, min(limit, 100)))
+    found = best(index, query, limit, docs.select(F.col(key).alias("id")) if where else None)
+    hits = found.hits if found else bm25(index, query)
+    return docs.join(hits.withColumnRenamed("id", key), key).orderBy(F.round("score", 9), tie or key).limit(limit)
 
 
 def wanted_terms(query: str, column: str, stem: bool = False) -> list[list[tuple[str, bool]]]:

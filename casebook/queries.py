@@ -13,6 +13,7 @@ from casebook.functions import text as T
 from casebook.functions import urn as U
 from casebook.operators import relational as R
 from casebook.operators import search as fts
+from casebook.operators import segments
 from casebook.operators import temporal
 from casebook.sources import store
 from casebook.sources.shared import shared_dir
@@ -90,13 +91,12 @@ def phrase(a: str, b: str) -> str:
 INDEXES: dict[tuple[str, str, str], str] = {}
 
 
-def index_of(spark, d, key: str = "doc_id", stem: bool = False) -> fts.Index:
+def index_of(spark, d, stem: bool = False) -> fts.Index:
     """The search index of a corpus, written once a session; queries read their terms' row groups of it."""
-    name = (spark.sparkContext.applicationId, d, f"{key} {stem}")
+    name = (spark.sparkContext.applicationId, d, str(stem))
     if name not in INDEXES:
         path = shared_dir(spark)
-        docs = t(spark, d, "documents") if key == "doc_id" else v1(spark, d)
-        fts.build(docs, key, ["text"], stem).written(path)
+        fts.build(t(spark, d, "documents"), "doc_id", ["text"], stem).written(path)
         INDEXES[name] = path
     return fts.opened(spark, INDEXES[name], stem)
 
@@ -142,13 +142,57 @@ def fts_phrase(spark, d):
 
 @query(f"WITH {V1}, hits AS ({bm25_sql([term('the')], 'true')}) SELECT urn, score FROM hits JOIN v1 USING (doc_id) WHERE corpus IN ('act', 'pdpc') AND issued BETWEEN DATE '2016-01-01' AND DATE '2020-12-31' ORDER BY score, urn LIMIT 20")
 def fts_filtered_topk(spark, d):
-    docs = v1(spark, d)
     where = [F.col("corpus").isin("act", "pdpc"), F.col("issued").between("2016-01-01", "2020-12-31")]
-    hits = fts.bm25(index_of(spark, d, "urn"), "the").select(F.col("id").alias("urn"), F.round("score", 9).alias("score"))
-    rows = docs.join(hits, "urn")
-    for w in where:
-        rows = rows.where(w)
-    return rows.select("urn", "score").orderBy("score", "urn").limit(20)
+    page = fts.search(v1(spark, d), index_of(spark, d), "the", "doc_id", where, 20, tie="urn")
+    return page.select("urn", F.round("score", 9).alias("score"))
+
+
+@query(f"{bm25_sql([term('tion'), term('the')], f'doc_id IN ({term('the')}) AND doc_id IN ({term('tion')})')} ORDER BY score, doc_id LIMIT 30")
+def fts_topk_and(spark, d):
+    page = fts.search(t(spark, d, "documents"), index_of(spark, d), "tion AND the", "doc_id", limit=30)
+    return page.select("doc_id", F.round("score", 9).alias("score"))
+
+
+@query(f"{bm25_sql([term('license'), term('des'), term('los')], 'true')} ORDER BY score, doc_id LIMIT 30")
+def fts_topk_or(spark, d):
+    page = fts.search(t(spark, d, "documents"), index_of(spark, d), "license OR des OR los", "doc_id", limit=30)
+    return page.select("doc_id", F.round("score", 9).alias("score"))
+
+
+#: Three batches of upserts: all but each fifth document in an older text, then each second as it is, then each fifth.
+SEGMENTED = """documents AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 OR doc_id % 5 = 0 THEN text ELSE 'license ' || coalesce(text, '') END AS text FROM all_documents)"""
+
+
+def _segmented(spark, d):
+    """The path of an index of three batches."""
+    name = (spark.sparkContext.applicationId, d, "segments")
+    if name not in INDEXES:
+        path, docs, k = shared_dir(spark), t(spark, d, "documents").select("doc_id", "text"), F.col("doc_id")
+        segments.upsert(docs.where(k % 5 != 0).select("doc_id", F.concat(F.lit("license "), F.coalesce("text", F.lit(""))).alias("text")), path, "doc_id", ["text"])
+        segments.upsert(docs.where(k % 2 == 0), path, "doc_id", ["text"])
+        segments.upsert(docs.where(k % 5 == 0), path, "doc_id", ["text"])
+        INDEXES[name] = path
+    return segments.opened(spark, INDEXES[name])
+
+
+def segmented_sql(sql: str) -> str:
+    return sql.replace("WITH toks", f"WITH all_documents AS (SELECT * FROM main.documents), {SEGMENTED}, toks", 1)
+
+
+@query(segmented_sql(bm25_sql([term("license"), term("des")], "true")))
+def fts_segments(spark, d):
+    return fts.bm25(_segmented(spark, d), "license OR des").select(F.col("id").alias("doc_id"), F.round("score", 9).alias("score"))
+
+
+@query(segmented_sql(bm25_sql([phrase("mit", "license")], "true")))
+def fts_segments_phrase(spark, d):
+    return fts.bm25(_segmented(spark, d), '"mit license"').select(F.col("id").alias("doc_id"), F.round("score", 9).alias("score"))
+
+
+@query(f"{segmented_sql(bm25_sql([term('license')], 'true'))} ORDER BY score, doc_id LIMIT 20")
+def fts_segments_topk(spark, d):
+    page = fts.search(t(spark, d, "documents").select("doc_id"), _segmented(spark, d), "license", "doc_id", limit=20)
+    return page.select("doc_id", F.round("score", 9).alias("score"))
 
 
 @query()

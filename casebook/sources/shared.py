@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -18,3 +18,11 @@ def shared_dir(spark: SparkSession) -> str:
         base = tempfile.mkdtemp(prefix="casebook-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base}/{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, path: str | None = None) -> DataFrame:
+    """The rows written as Parquet in the shared folder and read again: what is used more than once is made once, and a lost
+    executor loses none of it."""
+    path = path or shared_dir(df.sparkSession)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
