@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of one Arrow batch, whichever is reached first; one very long text is a batch of its own size.
@@ -29,6 +29,30 @@ def fresh(names: list[str]) -> str:
     return prefix
 
 
+def quoted(names: list[str]) -> list[Column]:
+    """Columns by their names as they are, dots and backticks included."""
+    return [F.col("`" + x.replace("`", "``") + "`") for x in names]
+
+
+class Memo(dict):
+    """What was made of words before, bounded by bytes: where a script has no blanks, a word may be a whole text."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.bytes = most, 0
+
+    def keep(self, key, value, size: int):
+        """size: bytes of the value; the key's and some 200 of the entry are added."""
+        self[key] = value
+        self.bytes += size + 4 * len(key) + 200
+        return value
+
+    def make_room(self) -> None:
+        if self.bytes > self.most:
+            self.clear()
+            self.bytes = 0
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch holds."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))

@@ -2,7 +2,8 @@
 
 Documents link when 100 * |A and B| >= least * |A or B| over their distinct word shingles.
 
-1. Texts with equal sets are one class; only classes are compared.
+1. Texts with equal sets are one class, which has a number of its own; only classes are compared, and classes of one doc_id
+   begin as one component.
 2. Columns of the product: a link needs so large an overlap that both sets' first n - ceil(least n / 100) + 1 shingles,
    in one order for all documents, share a column. The order puts frequent shingles last, so common passages rarely
    are such columns. Columns with one class are dropped, and columns are split
@@ -17,8 +18,10 @@ Documents link when 100 * |A and B| >= least * |A or B| over their distinct word
    So no link between components is lost.
 
 Null and empty texts have the empty set and link with nothing. A null doc_id can't be named as a component: such rows
-get a null component and are compared with nothing. Repeated rows are members of one class. An empty table gives no
-row. Other columns are ignored.
+get a null component and are compared with nothing. Repeated rows are members of one class. Rows of one doc_id with
+different texts are one document of several texts: what links with any of them is in its component. Very long texts are
+taken whole. Ties can't be: a set links or doesn't, and a component has the least doc_id. An empty table gives no row.
+Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,30 +35,29 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import discard, fresh, join_by_size, materialise, small_batches, tidy
+from casebook.llm.common import Memo, discard, fresh, join_by_size, materialise, quoted, small_batches, tidy
 from casebook.llm.graph import components as connected
 
 WORDS, LEAST = 4, 85
 #: The order's list of frequent shingles: at most so many from each task and in all. Any list gives the same links.
 HOT_TASK, HOT, HOT_LEAST = 4096, 20_000, 16
 ROUNDS, BLOCKS, SIZES, MOST_SIZE, TILE = 6, 4, 256, (1 << 16) - 1, 256
-MEMO = 50_000
+#: Bytes of remembered words.
+MEMO = 16 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Hashes(dict):
+class _Hashes(Memo):
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= MEMO:
-            self.clear()
-        out = self[word] = xxhash.xxh3_64_digest(word)
-        return out
+        self.make_room()
+        return self.keep(word, xxhash.xxh3_64_digest(word), 8)
 
 
 class Shingler:
     """Distinct shingles of texts, as sorted 64-bit hashes."""
 
     def __init__(self, words: int = WORDS):
-        self.words, self.memo = words, _Hashes()
+        self.words, self.memo = words, _Hashes(MEMO)
 
     def of(self, text: str | None) -> np.ndarray:
         found = (text or "").encode().lower().split()
@@ -180,14 +182,15 @@ def multiply(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
     tile, not once a pair), then its pairs.
     """
     tiled = materialise(tiles(pairs))
-    nodes = tiled.select("a", "part", F.explode(F.array("a", "b")).alias("node")).distinct().join(classes.select("node", "key"), "node")
-    wanted = materialise(nodes.select("a", "part", F.col("node").alias("doc_id"), "key"))
+    nodes = tiled.select("a", "part", F.explode(F.array("a", "b")).alias("node")).distinct().join(classes.select("node", "key", F.col("low").alias("doc_id")), "node")
+    wanted = materialise(nodes.select("a", "part", "doc_id", "node", "key"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = Shingler(words)
         for batch in batches:
             raw = {x: s.of(x).tobytes() for x in set(batch.column(4).to_pylist())}
             made = [raw[x] for x in batch.column(4).to_pylist()]
+            # of a doc_id's texts the one of this class
             same = [hashlib.blake2b(x, digest_size=16).digest() == k for x, k in zip(made, batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(made, pa.binary())], names=["a", "part", "node", "shingles"]).filter(pa.array(same, pa.bool_()))
 
@@ -211,7 +214,7 @@ def multiply(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["ca", "cb"])
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in linked()], pa.int64()) for i in (0, 1)], names=["ca", "cb"])
 
-    texts = join_by_size(docs, wanted, ["doc_id"], "inner", wanted.count()).select("a", "part", "doc_id", "key", "text")
+    texts = join_by_size(docs, wanted, ["doc_id"], "inner", wanted.count()).select("a", "part", "node", "key", "text")
     made = texts.mapInArrow(tidy(sets), "a long, part int, node long, shingles binary")
     none = F.lit(None).cast("long")
     rows = made.select("*", none.alias("ca"), none.alias("cb")).unionByName(tiled.select("a", "part", F.col("b").alias("node"), F.lit(None).cast("binary").alias("shingles"), "ca", "cb"))
@@ -246,9 +249,11 @@ def join(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     base = materialise(prefixes(rows, words, least, frequent(rows, words)))
-    classes = materialise(base.where("n > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("blocks").alias("blocks")))
+    named = base.where("n > 0 and doc_id is not null")
+    sets = named.groupBy("key").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("blocks").alias("blocks"))
+    classes = materialise(sets.withColumn("node", F.monotonically_increasing_id()))
     # A doc_id with many equal rows would bring each of them to its tiles.
-    repeated = not base.where("n > 0 and doc_id is not null").groupBy("doc_id", "key").count().where("count > 1").isEmpty()
+    repeated = not named.groupBy("doc_id", "key").count().where("count > 1").isEmpty()
     once = rows.dropDuplicates(["doc_id", "text"]) if repeated else rows
     incidence = classes.select("node", "n", F.posexplode("prefix").alias("pos", "sh"))
     several = incidence.groupBy("sh").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("sh")
@@ -279,6 +284,12 @@ def join(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
         discard(columns)
         return out
 
+    several = named.groupBy("doc_id").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi").select("doc_id")
+    if not several.isEmpty():
+        texts = named.join(several, "doc_id", "left_semi").select("doc_id", "key").distinct().join(classes.select("key", "node"), "key")
+        labels = connected(texts.join(texts.groupBy("doc_id").agg(F.min("node").alias("a")), "doc_id").select("a", F.col("node").alias("b")))
+        columns = still_open(columns)
+
     most = 0
     for k in range(ROUNDS):
         pivot = columns.groupBy("sh", "band").agg(F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("by"), "node", "n", "pos", "comp")).alias("p"))
@@ -299,9 +310,14 @@ def join(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
     if not links.isEmpty():
         labels = merge(links, labels)
     discard(columns)
-    out = base.join(classes.select("key", "node"), "key", "left")
-    out = out.join(labels, "node", "left") if labels is not None else out.withColumn("comp", F.lit(None).cast("long"))
-    comp = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "node", "doc_id"))
+    ends = classes.select("key", "node", "low")
+    if labels is not None:
+        moved = labels.join(classes.select("node", "low"), "node").groupBy("comp").agg(F.min("low").alias("least"))
+        own = classes.select(F.col("node").alias("comp"), "low")
+        lows = moved.join(own, "comp").select("comp", F.least("least", "low").alias("least"))  # of components of several classes
+        ends = ends.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")).join(lows, "comp", "left").select("key", F.coalesce("least", "low").alias("low"))
+    out = base.join(ends.select("key", "low"), "key", "left")
+    comp = F.when(F.col("doc_id").isNotNull(), F.coalesce("low", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"))
 
 
@@ -314,4 +330,4 @@ def select(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame
     kept = join_by_size(kept, out, [own], "left_anti", out.count())
     if not ids.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
         kept = kept.where(F.col(own).isNotNull()).dropDuplicates([own]).unionByName(kept.where(F.col(own).isNull()))
-    return kept.select(*docs.columns)
+    return kept.select(*quoted(docs.columns))

@@ -145,3 +145,21 @@ def test_giant_sets_are_never_discarded(spark):
     pairs = spark.createDataFrame([(a, b, a, b) for a, b in ((1, 2), (1, 3), (3, 4), (3, 3))], "a long, b long, ca long, cb long")
     for least in (80, 85):
         assert {(r.a, r.b) for r in jaccard.bounded(pairs, classes, least).collect()} == {(1, 2), (1, 3), (3, 3)}
+
+
+def test_documents_of_several_texts(spark):
+    """Rows of one doc_id are one document: what links with any of its texts is reached."""
+    rng = random.Random(8)
+    a, b, c = (" ".join(f"{x}{rng.randrange(9999)}" for _ in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (7, c), (9, c + " z"), (9, "other words than these are here"), (9, c + " z"), (4, ""), (5, None), (6, "alone")]
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == sorted((k, {2: 1, 3: 1, 9: 7}.get(k, k)) for k, _ in rows)
+    kept = jaccard.select(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 5, 6, 7]
+
+
+def test_words_without_blanks_are_not_remembered_for_ever():
+    s = jaccard.Shingler()
+    for i in range(3000):
+        s.of(f"{i}" + "汉" * 10_000)
+    assert s.memo.bytes <= jaccard.MEMO + 100_000
