@@ -25,10 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import resident, small_batches, tidy
+from casebook.llm.common import Memo, resident, small_batches, tidy
 
 BLANK = "▁"
-MEMO = 300_000
+#: Bytes of remembered cuts.
+MEMO = 80 << 20
 OUT = "doc_id long, n_ids long, n_byte_ids long, ids_crc32 long, decoded_sha256 string, round_trip boolean"
 
 
@@ -146,7 +147,7 @@ class Codec:
     """Whole texts to ids and back, with the memo of cuts."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.v, self.encoder, self.memo = vocabulary, StreamingEncoder(vocabulary), {}
+        self.v, self.encoder, self.memo = vocabulary, StreamingEncoder(vocabulary), Memo(MEMO)
         inner = any(" " in p.lstrip(" ") for p in vocabulary.ids)
         lines = any("\n" in p for p in vocabulary.ids)
         self.cut = (lambda x: [x]) if inner else re.compile(" +[^ ]*|[^ ]+" if lines else " +[^ \n]*|\n|[^ \n]+").findall
@@ -159,13 +160,12 @@ class Codec:
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, "<u4")
-        if len(self.memo) > MEMO:
-            self.memo.clear()
+        self.memo.make_room()
         parts, memo = self.cut(" " + text), self.memo
         for p in set(parts):
             if p not in memo:
                 ids = self.encoder.feed(p) + self.encoder.finish()
-                memo[p] = np.array(ids, "<u4").tobytes()
+                memo.keep(p, np.array(ids, "<u4").tobytes(), 4 * len(ids))
         return np.frombuffer(b"".join(map(memo.__getitem__, parts)), "<u4")
 
     def decode(self, ids) -> str:
