@@ -23,12 +23,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import fresh, small_batches, tidy
+from casebook.llm.common import Memo, fresh, quoted, small_batches, tidy
 
 GRADES = 3
 SAMPLE, LEAST, BITS = 8000, 8, 30
 RIDGE, ROUNDS, CUT = 3e-2, 100, 0.6
-MEMO = 300_000
+#: Bytes of remembered words.
+MEMO = 80 << 20
 TOKEN = re.compile(r"^([\W_]*)(.*?)([\W_]*)$", re.S)
 OUT = "doc_id long, expected_grade double, tail_prob double, grade int, kept boolean"
 
@@ -41,7 +42,7 @@ class Features:
     """Features of texts as sorted arrays of hashes; words are remembered."""
 
     def __init__(self):
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo(MEMO)
 
     def word(self, token: str) -> bytes:
         _, core, tail = TOKEN.match(token).groups()
@@ -51,12 +52,11 @@ class Features:
 
     def of(self, text: str | None) -> np.ndarray:
         words = (text or "").split()
-        if len(self.memo) > MEMO:
-            self.memo.clear()
+        self.memo.make_room()
         memo, kinds = self.memo, set(words)
         for w in kinds:
             if w not in memo:
-                memo[w] = self.word(w)
+                memo.keep(w, made := self.word(w), len(made))
         n = max(1, len(words))
         marks = sum(text.count(c) for c in "#*$%&|<>!") if text else 0
         shares = {
@@ -151,8 +151,9 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None, cut: flo
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast((model.keys, model.weights, model.thresholds))  # bounded by SAMPLE documents' features
-    rows = docs.select(*keep) if keep else docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("__text"))
+    rows = docs.select(*quoted(keep)) if keep else docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("__text"))
     n, at = (len(keep), keep.index("text")) if keep else (1, 1)
+    rows = rows.toDF(*(f"c{i}" for i in range(len(rows.columns))))  # mapInArrow takes plain names alone
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, own = Features(), Model(*shared.value)
@@ -161,11 +162,12 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None, cut: flo
             new = [pa.array(p @ np.arange(p.shape[1]) if len(p) else np.zeros(0)), pa.array(p[:, -1] if len(p) else np.zeros(0)), pa.array(p.argmax(1).astype(np.int32) if len(p) else np.zeros(0, np.int32)), pa.array(p[:, -1] >= cut if len(p) else np.zeros(0, bool))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], *new], names=[*batch.schema.names[:n], *(prefix + x for x in ("expected_grade", "tail_prob", "grade", "kept"))])
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:n])
-    return rows.mapInArrow(tidy(run), f"{kept}, {prefix}expected_grade double, {prefix}tail_prob double, {prefix}grade int, {prefix}kept boolean")
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:n])
+    out = rows.mapInArrow(tidy(run), f"{kept}, {prefix}expected_grade double, {prefix}tail_prob double, {prefix}grade int, {prefix}kept boolean")
+    return out.toDF(*(keep or ["doc_id"]), *out.columns[n:])
 
 
 def select(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier keeps, with their columns."""
     p = fresh(docs.columns)
-    return score(docs, train(docs, labels), docs.columns, prefix=p).where(F.col(f"{p}kept")).select(*docs.columns)
+    return score(docs, train(docs, labels), docs.columns, prefix=p).where(F.col(f"{p}kept")).select(*quoted(docs.columns))
