@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import fresh, small_batches, tidy
+from casebook.llm.common import Memo, fresh, quoted, small_batches, tidy
 
 #: Letters, and the marks that combine with the letter before them (vowel signs of many scripts).
 MARKS = "".join(c for c in map(chr, range(0x110000)) if unicodedata.category(c) in ("Mn", "Mc"))
@@ -42,7 +42,8 @@ PER_LANG, BUCKETS = 1000, 1 << 16
 MOST_LANGS = 256
 #: In nats: a change of language costs SWITCH; a word's score is shared out over its dependent n-grams.
 SWITCH, SHARE, NOT_ADMITTED, SEEN = 10.0, 0.25, -30.0, 0.001
-MEMO = 400_000
+#: Bytes of remembered words and their scores.
+MEMO = 128 << 20
 #: Levels of hashes, a halving; texts labelled together; odd multipliers of the hashes.
 LEVELS, TOGETHER = 16, 100
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -94,12 +95,13 @@ class Model:
 
 class Labeller:
     def __init__(self, model: Model):
-        self.m, self.at, self.rows = model, {}, np.zeros((1024, len(model.langs)), np.float64)
+        self.m, self.at, self.rows = model, Memo(MEMO), np.zeros((1024, len(model.langs)), np.float64)
 
     def _learn(self, words: list[str]) -> None:
         """Score new words."""
         first, langs = len(self.at), len(self.m.langs)
-        self.at.update(zip(words, range(first, first + len(words)), strict=True))
+        for i, w in enumerate(words, first):
+            self.at.keep(w, i, 8 * langs)
         while len(self.at) > len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
         bucket, place = grams(words)
@@ -132,8 +134,7 @@ class Labeller:
         for i in range(0, len(texts), TOGETHER):
             some = texts[i : i + TOGETHER]
             words = [words_of(x) for x in some]
-            if len(self.at) > MEMO:
-                self.at.clear()
+            self.at.make_room()
             if self.m.langs and (new := list({w for line in words for w in line if w not in self.at})):
                 self._learn(new)
             for text, hits in zip(some, words, strict=True):
@@ -243,8 +244,9 @@ def label(docs: DataFrame, model: Model, keep: list[str] | None = None, spans: b
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast((model.langs, model.table, model.admitted))  # BUCKETS x MOST_LANGS at most
-    rows = docs.select(*keep) if keep else docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("__text"))
+    rows = docs.select(*quoted(keep)) if keep else docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("__text"))
     n, at = (len(keep), keep.index("text")) if keep else (1, 1)
+    rows = rows.toDF(*(f"c{i}" for i in range(len(rows.columns))))  # mapInArrow takes plain names alone
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,8 +258,9 @@ def label(docs: DataFrame, model: Model, keep: list[str] | None = None, spans: b
                 new.append(pa.array([[{"start": a, "end": b, "lang": k} for a, b, k in x[2]] for x in out], span))
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], *new], names=[*batch.schema.names[:n], *(prefix + x for x in ("lang_pred", "score", "spans")[: len(new)])])
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:n])
-    return rows.mapInArrow(tidy(run), f"{kept}, {prefix}lang_pred string, {prefix}score double" + f", {prefix}spans array<struct<start:int,end:int,lang:string>>" * spans)
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:n])
+    out = rows.mapInArrow(tidy(run), f"{kept}, {prefix}lang_pred string, {prefix}score double" + f", {prefix}spans array<struct<start:int,end:int,lang:string>>" * spans)
+    return out.toDF(*(keep or ["doc_id"]), *out.columns[n:])
 
 
 def predict(docs: DataFrame) -> DataFrame:
@@ -269,4 +272,4 @@ def predict(docs: DataFrame) -> DataFrame:
 def select(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The documents in one known language, with their columns; `und` and unclear ones go."""
     p = fresh(docs.columns)
-    return label(docs, train(docs), docs.columns, prefix=p).where((F.col(f"{p}lang_pred") != "und") & (F.col(f"{p}score") >= least)).select(*docs.columns)
+    return label(docs, train(docs), docs.columns, prefix=p).where((F.col(f"{p}lang_pred") != "und") & (F.col(f"{p}score") >= least)).select(*quoted(docs.columns))

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import fresh, join_by_size, materialise
+from casebook.llm.common import fresh, join_by_size, materialise, quoted
 
 
 @dataclass(frozen=True)
@@ -200,7 +200,7 @@ def scan(docs: DataFrame, rules: list[Rule] = RULES, keep: list[str] | None = No
     keep = keep or ["doc_id"]
     indexed = [i for i, r in enumerate(rules) if trigram_query(r.pattern)]
     found = materialise(candidates(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), rules))
-    rows = docs.select(F.struct(*keep).alias("__row"), F.col("doc_id").cast("long").alias("__id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(F.struct(*quoted(keep)).alias("__row"), F.col("doc_id").cast("long").alias("__id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = join_by_size(rows, found.select(F.col("doc_id").alias("__id"), F.col("kinds").alias("__kinds")), ["__id"], "left", found.count())
     rows = rows.select("__row", "text", F.when(F.col("__id").isNull(), -1).otherwise(F.coalesce("__kinds", F.lit(0))).alias("__kinds"))
     wanted = lambda i: F.col("__kinds").bitwiseAND(1 << i) != 0 if i in indexed else F.lit(True)
@@ -239,4 +239,4 @@ def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     rows = rows.withColumn("text", F.when((F.size(spans) > 0) & F.col("text").isNotNull(), clean).otherwise(F.col("text"))).drop(spans)
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+    return rows.select(*quoted(docs.columns))

@@ -15,7 +15,7 @@ DATA = "/root/testdata/sf0.001"
 LONG = "the quick brown fox jumps over the lazy dog and runs into the wood again. " * 4000
 TEXT = "A short text of some words, with password: hunter2hunter2 in it, twice the same row."
 ROWS = [(None, None, None, None, None), (None, TEXT, "en", "s", 1), (1, None, "en", None, None), (2, "", None, "s", 0), (3, LONG, "en", "s", len(LONG)), (4, TEXT, "en", "s", len(TEXT)), (4, TEXT, "en", "s", len(TEXT)), (5, TEXT.upper(), "de", "s", len(TEXT)), (6, " \n\t ", "en", "s", 4), (7, "12 34 ::", "en", "s", 8)]
-CLASHES = ["kept", "score", "node", "key", "ids", "signature", "part", "seq", "media", "blocks", "low", "start", "end", "n", "n_words", "spans", "kinds", "grade", "comp", "component_id", "lang_pred", "held_out", "__id", "__text", "__spans", "h"]
+CLASHES = ["kept", "score", "node", "key", "ids", "signature", "part", "seq", "media", "blocks", "low", "start", "end", "n", "n_words", "spans", "kinds", "grade", "comp", "component_id", "lang_pred", "held_out", "__id", "__text", "__spans", "h", "a.b", "c`d"]
 
 
 def odd(spark, clashes=True):
