@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from casebook.functions.repair import repaired
+
 # Patterns and word lists of the sources.
 ROLE_HINT = r"(?i)Minister|Speaker|Secretary|Chairman|Leader|Whip|President|Attorney|Ambassador|Mayor"
 OBLIGATIONS = ["Consent", "Purpose Limitation", "Notification", "Access and Correction", "Accuracy", "Protection", "Retention Limitation", "Transfer Limitation", "Accountability"]
@@ -24,15 +26,15 @@ STATUTE_HEAD = r"(?i)\b(?:section|sections|s|ss)\s*(\d+[A-Z]*(?:\([^)]{1,8}\))*)
 STATUTE_IN_ACT = STATUTE_HEAD + r"(?:\s+of\s+the\s+([A-Z][A-Za-z ()'-]{3,80}?\s+Act(?:\s+\d{4})?))?"
 OFFICE_FIRST = r"^(The\s+.+?)\s*\(([^)]+)\)\s*$"
 NAME_FIRST = r"^([^(]+?)(?:\s*\(([^)]+)\))?\s*$"
-STATUTE = STATUTE_HEAD
 
 
 def cleaned(text: str | None) -> str:
-    return " ".join(unicodedata.normalize("NFC", html.unescape(text)).replace("\xa0", " ").split()) if text else ""
+    return " ".join(unicodedata.normalize("NFC", repaired(html.unescape(text))).replace("\xa0", " ").split()) if text else ""
 
 
 def clean(text: Column) -> Column:
-    """Unescape HTML, compose (NFC), blank for no-break space, one blank for white space, trim; null is empty."""
+    """Unescape HTML, repair what was decoded wrongly, compose (NFC), blank for no-break space, one blank for white space,
+    trim; null is empty."""
     return pandas_udf(lambda texts: texts.map(cleaned), "string")(text)
 
 

@@ -483,7 +483,7 @@ def unresolved_refs(spark, d):
 
 @query(rf"SELECT doc_id, unnest(regexp_extract_all(text, '(?i)\b(?:section|sections|s|ss)\s*(\d+[A-Z]*(?:\([^)]{{1,8}}\))*)')) AS raw FROM ({CITED})")
 def statute_ref_extract(spark, d):
-    return R.citations(_cited(spark, d), "doc_id", "text", T.STATUTE).select("doc_id", "raw")
+    return R.citations(_cited(spark, d), "doc_id", "text", T.STATUTE_HEAD).select("doc_id", "raw")
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'zh' WHEN doc_id % 3 = 1 THEN 'ta' ELSE 'ms' END AS lang FROM documents")
@@ -497,6 +497,19 @@ def clean_text(spark, d):
     return t(spark, d, "documents").select("doc_id", T.clean(F.col("text")).alias("text"))
 
 
+def _twice_encoded(text):
+    """What latin-1 makes of a text's UTF-8, twice over."""
+    for _ in range(2):
+        text = F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
+    return text
+
+
+@query(r"""SELECT doc_id, trim(regexp_replace(replace(coalesce(text, ''), chr(160), ' '), '\s+', ' ', 'g') || CASE doc_id % 4 WHEN 0 THEN ' café £5 – ñandú' WHEN 1 THEN ' 中文字 ü' WHEN 2 THEN ' "à la"' ELSE '' END) AS text FROM documents""")
+def text_repair(spark, d):
+    planted = F.get(F.array(_twice_encoded(F.lit(" café £5 – ñandú")), F.decode(F.encode(F.lit(" 中文字 ü"), "UTF-8"), "ISO-8859-1"), F.lit(" “à la” "), F.lit("")), (F.col("doc_id") % 4).cast("int"))
+    return t(spark, d, "documents").select("doc_id", T.clean(F.concat(F.coalesce("text", F.lit("")), planted)).alias("text"))
+
+
 @query("SELECT p_partkey, regexp_replace(regexp_replace(lower(p_name || ' (No. ' || p_size || ')'), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM part")
 def slugify(spark, d):
     return t(spark, d, "part").select("p_partkey", U.slug(F.concat("p_name", F.lit(" (No. "), F.col("p_size").cast("string"), F.lit(")"))).alias("slug"))

@@ -11,8 +11,9 @@ from casebook.operators import relational as R
 from casebook.operators import temporal
 from casebook.plans import debates, decisions, judgments, stages, statutes
 from casebook.queries import CITED, URN_SQL, V1, V2, _cited, query, t, urn_mint, v1, v2
-from casebook.sources import store
+from casebook.sources import datasource, store
 from casebook.sources.shared import shared_dir
+from casebook.streaming import keyed
 
 
 def pick(key, *values):
@@ -253,6 +254,23 @@ def snapshot_round_trip(spark, d):
     return store.in_hash_order(store.read_snapshots(spark, root, "x")).select("sha256", F.col("url").cast("long").alias("first_doc"), "bytes", store.body_text(F.col("body")).alias("text"))
 
 
+@query("SELECT sha256(text) AS sha256, CAST(octet_length(encode(any_value(text))) AS BIGINT) AS bytes, any_value(text) AS text FROM documents WHERE text IS NOT NULL GROUP BY sha256(text)")
+def exchange_round_trip(spark, d):
+    datasource.register(spark)
+    root, bodies = shared_dir(spark), t(spark, d, "documents").where("text is not null").select(F.col("text").cast("binary").alias("body"), F.timestamp_seconds("doc_id").alias("retrieved_at"), F.lit("x").alias("adapter"))
+    bodies.write.format("casebook").option("kind", "exchange").mode("append").save(root.removeprefix("file://"))
+    back = spark.read.format("casebook").option("kind", "exchange").option("adapter", "x").load(root.removeprefix("file://"))
+    return back.select("sha256", "bytes", store.body_text(F.col("body")).alias("text"))
+
+
+@query("SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY 1, 2")
+def stream_units(spark, d):
+    root = shared_dir(spark)
+    units = keyed.read_files(spark, f"{d}/event[s].parquet", t(spark, d, "events").schema).select("user_id", "event_type", "event_id")
+    keyed.written_once(keyed.once_per_key(units, ["user_id", "event_type"], ["event_id"]), f"{root}/units", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/units")
+
+
 @query("SELECT page_id % 3 AS kind, count(*) AS n, count(*) FILTER (page_id % 2 = 0) AS pdfs FROM pages GROUP BY 1")
 def snapshot_kinds(spark, d):
     k = F.col("page_id")
