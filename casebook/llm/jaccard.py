@@ -31,39 +31,59 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import Memo, discard, fresh, join_by_size, materialise, quoted, small_batches, tidy
+from casebook.llm.common import discard, fresh, join_by_size, materialise, quoted, small_batches, tidy
 from casebook.llm.graph import components as connected
 
 WORDS, LEAST = 4, 85
 #: The order's list of frequent shingles: at most so many from each task and in all. Any list gives the same links.
 HOT_TASK, HOT, HOT_LEAST = 4096, 20_000, 16
 ROUNDS, BLOCKS, SIZES, MOST_SIZE, TILE = 6, 4, 256, (1 << 16) - 1, 256
-#: Bytes of remembered words.
-MEMO = 16 << 20
+#: Bytes of text for which powers are kept.
+KEPT = 1 << 17
 MIX = np.uint64(0x9E3779B97F4A7C15)
+#: The polynomial's base, odd, so that it has an inverse modulo 2 ** 64.
+BASE = np.uint64(0xD6E8FEB86659FD93)
+INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
-class _Hashes(Memo):
-    def __missing__(self, word: bytes) -> bytes:
-        self.make_room()
-        return self.keep(word, xxhash.xxh3_64_digest(word), 8)
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, base))])
 
 
 class Shingler:
-    """Distinct shingles of texts, as sorted 64-bit hashes."""
+    """Distinct shingles of texts, as sorted 64-bit hashes.
+
+    A word's hash is a polynomial of its bytes, taken from running sums over the whole text: no word is made, looked up or
+    remembered.
+    """
 
     def __init__(self, words: int = WORDS):
-        self.words, self.memo = words, _Hashes(MEMO)
+        self.words, self.powers, self.inverses = words, _powers(BASE, KEPT), _powers(INVERSE, KEPT)
+
+    def hashes(self, text: str | None) -> np.ndarray:
+        """Of the words, in order."""
+        raw = np.frombuffer((text or "").encode().lower(), np.uint8)
+        n = len(raw)
+        # tables for a longer text are its own, and go with it
+        up, down = (self.powers, self.inverses) if n <= KEPT else (_powers(BASE, n), _powers(INVERSE, n))
+        inside = np.zeros(n + 2, np.int8)
+        inside[1:-1] = ~BLANK[raw]
+        edge = np.diff(inside)
+        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
+        h = (sums[ends] - sums[starts]) * down[starts]
+        h = (h ^ h >> np.uint64(31)) * MIX
+        return h ^ h >> np.uint64(29)
 
     def of(self, text: str | None) -> np.ndarray:
-        found = (text or "").encode().lower().split()
-        if not found:
-            return np.zeros(0, np.uint64)
-        h = np.frombuffer(b"".join(map(self.memo.__getitem__, found)), np.uint64)
+        h = self.hashes(text)
+        if not len(h):
+            return h
         size = min(self.words, len(h))
         n = len(h) - size + 1
         key = h[:n] ^ np.uint64(size)

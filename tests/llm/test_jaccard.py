@@ -158,8 +158,15 @@ def test_documents_of_several_texts(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 5, 6, 7]
 
 
-def test_words_without_blanks_are_not_remembered_for_ever():
+def test_word_hashes():
+    """Equal words have equal hashes wherever they stand, in texts longer than the kept powers too; others differ."""
     s = jaccard.Shingler()
-    for i in range(3000):
-        s.of(f"{i}" + "汉" * 10_000)
-    assert s.memo.bytes <= jaccard.MEMO + 100_000
+    rng = random.Random(6)
+    words = list({"".join(rng.choice("abAB\x00\x01é汉") for _ in range(rng.randrange(1, 7))) for _ in range(3000)})
+    h = s.hashes(" ".join(words)).tolist()
+    assert len(set(h)) == len({w.translate(LOWER) for w in words})
+    long = " \t".join(words * 30)
+    assert len(long.encode()) > jaccard.KEPT and s.hashes(long).tolist() == h * 30 and len(s.powers) == jaccard.KEPT + 1
+    huge = "x" * (jaccard.KEPT + 5)
+    assert len(set(s.hashes(f"a {huge} b {huge}").tolist())) == 3
+    assert len(s.hashes(None)) == len(s.hashes(" \n")) == 0
