@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from casebook.functions import dom
 from casebook.functions import text as T
 from casebook.functions import urn as U
+from casebook.operators import near
 from casebook.operators import relational as R
 from casebook.operators import temporal
 from casebook.plans import debates, decisions, judgments, stages, statutes
@@ -241,6 +242,29 @@ def enrich_edges(spark, d):
     return stages.enrich(docs).select("from_urn", "to_urn", "raw", "confidence", "resolver")
 
 
+ASKED = "substr(name, 1, CAST(doc_id % 7 AS INTEGER)) || CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'x' ELSE substr(name, CAST(doc_id % 7 AS INTEGER) + 1, 1) || '9' END || substr(name, CAST(doc_id % 7 AS INTEGER) + 2)"
+CITES = "SELECT doc_id, '[20' || lpad(CAST(doc_id % 25 AS VARCHAR), 2, '0') || '] SGCA ' || (doc_id % 40) AS name FROM documents"
+
+
+@query(f"""WITH c AS ({CITES}), n AS (SELECT name, min(doc_id) AS urn FROM c GROUP BY 1), r AS (SELECT doc_id, {ASKED} AS asked FROM c),
+p AS (SELECT asked, name, urn, levenshtein(asked, name) AS distance FROM (SELECT DISTINCT asked FROM r), n WHERE levenshtein(asked, name) <= 2 QUALIFY row_number() OVER (PARTITION BY asked ORDER BY distance, name) <= 5)
+SELECT doc_id, name, urn, CAST(distance AS INTEGER) AS distance FROM r JOIN p USING (asked)""")
+def near_citations(spark, d):
+    names = t(spark, d, "documents").select("doc_id", said("[20", F.lpad((F.col("doc_id") % 25).cast("string"), 2, "0"), "] SGCA ", (F.col("doc_id") % 40).cast("string")).alias("name"))
+    cut = (F.col("doc_id") % 7).cast("int")
+    asked = F.concat(F.substring("name", F.lit(1), cut), F.when(F.col("doc_id") % 3 == 0, "").when(F.col("doc_id") % 3 == 1, "x").otherwise(F.concat(F.substring("name", cut + 1, F.lit(1)), F.lit("9"))), F.substring("name", cut + 2, F.length("name")))
+    return near.lookup(names.select("doc_id", asked.alias("asked_for")), "asked_for", near.index(names, "name", "doc_id")).select("doc_id", "name", "urn", "distance")
+
+
+@query(r"SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS text FROM documents WHERE regexp_matches(text, '\S')")
+def pdf_texts(spark, d):
+    docs = t(spark, d, "documents").where(F.col("text").rlike(r"\S"))
+    shown = said("BT /F 9 Tf 10 700 Td <", F.hex(F.encode("text", "UTF-16BE")), "> Tj ET")
+    units = "1 begincodespacerange <0000> <FFFF> endcodespacerange 1 beginbfrange <0000> <07FF> <0000> endbfrange"
+    file = said("%PDF-1.4\n1 0 obj << /Type /Catalog /Pages 2 0 R >> endobj\n2 0 obj << /Type /Pages /Kids [3 0 R] >> endobj\n3 0 obj << /Type /Page /Contents 4 0 R /Resources << /Font << /F 5 0 R >> >> >> endobj\n4 0 obj << /Length ", F.length(shown).cast("string"), " >> stream\n", shown, f"\nendstream endobj\n5 0 obj << /Type /Font /Subtype /Type0 /ToUnicode 6 0 R >> endobj\n6 0 obj << /Length {len(units)} >> stream\n{units}\nendstream endobj\n")
+    return docs.select("doc_id", T.squeeze(decisions.file_text(file.cast("binary"))["text"]).alias("text"))
+
+
 # ---- Stores
 
 
