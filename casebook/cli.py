@@ -14,7 +14,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from casebook import api
-from casebook.operators import search as fts
+from casebook.operators import segments
 from casebook.plans import stages
 from casebook.sources import registry, store
 
@@ -34,7 +34,9 @@ def arguments() -> argparse.ArgumentParser:
         f.add_argument(f"--{flag}", action="store_true", help=text)
     for name in ("normalise", "enrich"):
         sub.add_parser(name).add_argument("source", choices=sorted(registry.REGISTRY))
-    sub.add_parser("index").add_argument("--source", action="append", choices=sorted(registry.REGISTRY))
+    i = sub.add_parser("index")
+    i.add_argument("--source", action="append", choices=sorted(registry.REGISTRY))
+    i.add_argument("--update", action="store_true", help="add what is new or changed; keep the rest")
     s = sub.add_parser("search")
     s.add_argument("query")
     s.add_argument("--corpus", action="append")
@@ -47,7 +49,7 @@ def arguments() -> argparse.ArgumentParser:
 def opened(spark: SparkSession, root: str):
     """Tables and search index of a root."""
     place = f"{root}/index"
-    return store.connect(spark, place), fts.opened(spark, f"{place}/search", stem=True)
+    return store.connect(spark, place), segments.opened(spark, f"{place}/search")
 
 
 def show(out, rows: list[dict], columns: list[str]) -> None:
@@ -73,7 +75,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, out=s
         stages.write_refs(refs, f"{a.root}/refs/{a.source}")
         print(json.dumps({"refs": store.read_refs(spark, f"{a.root}/refs/{a.source}").count()}), file=out)
     elif a.command == "index":
-        print(json.dumps(stages.index(spark, a.root, a.source)), file=out)
+        print(json.dumps(stages.index(spark, a.root, a.source, a.update)), file=out)
     else:
         try:
             tables, index = opened(spark, a.root)

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from casebook.functions import text as T
 from casebook.functions import urn as U
+from casebook.operators import near, segments
 from casebook.operators import relational as R
-from casebook.operators import search as fts
 from casebook.sources import policy, registry, store
+from casebook.sources.shared import stored
 
 #: Snapshots that are held on the driver before they are written.
 HELD_BYTES = 64 << 20
@@ -138,8 +139,13 @@ def write_refs(refs: DataFrame, path: str) -> None:
     store.write_jsonl(refs.withColumnsRenamed({"from_urn": "from", "to_urn": "to"}), path)
 
 
-def index(spark: SparkSession, root: str, names: list[str] | None = None) -> dict[str, object]:
-    """Tables of all documents and edges of the sources, the search index, and the statistics."""
+SEARCHED = ["title", "citation", "text"]
+
+
+def index(spark: SparkSession, root: str, names: list[str] | None = None, update: bool = False) -> dict[str, object]:
+    """Tables of all documents and edges of the sources, the search index, near citations, and the statistics. With
+    `update`, documents that the index has from the same snapshot and revision stay as they are, and so do those that no
+    source has now; the others are added to the tables, and to the search index as a segment."""
     names = names or list(registry.REGISTRY)
     place = f"{root}/index"
     store.init(spark, place)
@@ -151,10 +157,20 @@ def index(spark: SparkSession, root: str, names: list[str] | None = None) -> dic
                 docs = rows if docs is None else docs.unionByName(rows)
             else:
                 refs = rows if refs is None else refs.unionByName(rows)
-    store.insert_documents(docs, f"{place}/documents")
+    if update:
+        at = ["urn", "provenance.snapshot_sha256", "provenance.parser_rev"]
+        had = store.connect(spark, place)["documents"].select(*at).toDF("urn", "sha", "rev")
+        docs = stored(docs.join(had, (docs.urn == had.urn) & docs.provenance.snapshot_sha256.eqNullSafe(had.sha) & docs.provenance.parser_rev.eqNullSafe(had.rev), "left_anti"))
+        store.upsert_documents(docs, f"{place}/documents")
+        docs = docs.join(store.connect(spark, place)["documents"].select(*at).toDF("urn", "sha", "rev").withColumnRenamed("urn", "u"), (F.col("urn") == F.col("u")) & F.col("provenance.snapshot_sha256").eqNullSafe(F.col("sha")) & F.col("provenance.parser_rev").eqNullSafe(F.col("rev")), "left_semi")
+    else:
+        store.insert_documents(docs, f"{place}/documents")
+        store.remove(spark, f"{place}/search")
+        docs = store.connect(spark, place)["documents"]
+    segments.upsert(docs, f"{place}/search", "urn", SEARCHED, [F.desc("provenance.retrieved_at"), F.col("provenance.snapshot_sha256")], stem=True)
     store.insert_refs(refs, f"{place}/refs")
     tables = store.connect(spark, place)
-    fts.build(tables["documents"], "urn", ["title", "citation", "text"], stem=True).written(f"{place}/search")
+    near.index(tables["documents"], "citation").repartitionByRange("part").sortWithinPartitions("part").write.mode("overwrite").parquet(f"{place}/near")
     R.corpus_meta(tables["documents"]).coalesce(1).write.mode("overwrite").parquet(f"{place}/corpus_meta")
     return {"documents": tables["documents"].count(), "refs": tables["refs"].count(), "index": place}
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from casebook.operators.relational import latest
 from casebook.schema import CHECKPOINT, DOCUMENT, REF
+from casebook.sources.shared import stored
 
 MANIFEST = "sha256 string, url string, retrieved_at timestamp, status int, params string, headers map<string,string>, adapter string, bytes long"
 SNAPSHOT = f"{MANIFEST}, body binary"
@@ -18,6 +19,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 # ---- Snapshots
 
 
@@ -142,6 +149,7 @@ TABLES = {
     "documents": DOCUMENT + ", canonical_urn string, level string, year int",
     "refs": "from_urn string, to_urn string, kind string, raw string, confidence double, resolver string",
     "aliases": "alias string, urn string, kind string",
+    "near": "part string, name string, urn string",
     "corpus_meta": "corpus string, document_count long, earliest date, latest date, last_fetch timestamp, coverage_pct double, adapter_version string, parser_rev int, quality string",
 }
 PARTITIONS = {"documents": ["corpus", "year"]}
@@ -176,6 +184,23 @@ def insert_documents(docs: DataFrame, path: str) -> None:
 write_corpus = insert_documents
 
 
+def upsert_documents(docs: DataFrame, path: str) -> None:
+    """Rows replace those of their urn, the last retrieved of a urn's rows wins, and what isn't given stays. Only folders
+    that gain, change or lose a row are written again; one that loses all its rows goes."""
+    spark = docs.sparkSession
+    once = stored(latest(promoted(docs), ["urn"], [F.desc("provenance.retrieved_at"), F.col("provenance.snapshot_sha256")]))
+    old = spark.read.schema(TABLES["documents"]).parquet(path)
+    gone = old.join(once.select("urn"), "urn", "left_semi").select("corpus", "year")
+    touched = stored(gone.unionByName(once.select("corpus", "year")).distinct())
+    here = (F.col("o.corpus") == F.col("t.corpus")) & F.col("o.year").eqNullSafe(F.col("t.year"))
+    kept = old.alias("o").join(touched.alias("t"), here, "left_semi").join(once.select("urn"), "urn", "left_anti")
+    rows = stored(kept.unionByName(once.select(*kept.columns)))
+    rows.hint("rebalance", "corpus", "year").sortWithinPartitions("corpus", "year", "urn").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("corpus", "year").parquet(path)
+    left = rows.select("corpus", "year").distinct().alias("o")
+    for r in touched.alias("t").join(left, here, "left_anti").collect():  # folders, at most one a corpus and year
+        remove(spark, f"{path}/corpus={r['corpus']}/year={'__HIVE_DEFAULT_PARTITION__' if r['year'] is None else r['year']}")
+
+
 def insert_refs(refs: DataFrame, path: str) -> None:
     """Edges, each once."""
     refs.select("from_urn", "to_urn", "kind", "raw", "confidence", "resolver").dropDuplicates().write.mode("overwrite").parquet(path)
