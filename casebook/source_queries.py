@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from casebook.functions import dom
+from casebook.functions import dom, tables
 from casebook.functions import text as T
 from casebook.functions import urn as U
 from casebook.operators import near
@@ -325,6 +325,23 @@ def dom_links(spark, d):
     return rows.select("page_id", F.inline(links))
 
 
+DOM_LINKS = """SELECT page_id, m[2] AS href, replace(m[3], '&amp;', '&') AS text FROM (SELECT page_id, unnest(list_transform(regexp_extract_all(html, '<li><a href="[^"]*">[^<]*</a>'), lambda x: ['', regexp_extract(x, 'href="([^"]*)"', 1), regexp_extract(x, '">([^<]*)<', 1)])) AS m FROM pages)"""
+
+
+@query(f"SELECT href, count(*) AS pages, min(page_id) AS first_page, CAST(sum(length(text)) AS BIGINT) AS characters FROM ({DOM_LINKS}) GROUP BY href")
+def sql_page_links(spark, d):
+    tables.register(spark)
+    t(spark, d, "pages").createOrReplaceTempView("casebook_pages")
+    return spark.sql("SELECT n.href, count(*) AS pages, min(p.page_id) AS first_page, sum(length(n.text)) AS characters FROM casebook_pages p, LATERAL page_nodes(p.html, 'a') n GROUP BY n.href")
+
+
+@query(f"WITH {V1} SELECT corpus, count(*) AS texts, CAST(sum(length(trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g')))) AS BIGINT) AS characters FROM v1 GROUP BY corpus".replace("\\\\", "\\"))
+def sql_clean_lengths(spark, d):
+    tables.register(spark)
+    v1(spark, d).createOrReplaceTempView("casebook_documents")
+    return spark.sql("SELECT corpus, count(*) AS texts, sum(length(clean_text(text))) AS characters FROM casebook_documents GROUP BY corpus")
+
+
 def _lines(spark, d):
     return t(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("part"))
 
