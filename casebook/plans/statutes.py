@@ -99,8 +99,8 @@ def read_page(markup: str | None) -> dict:
 
 
 def page(markup: Column) -> Column:
-    """The parts of a page that documents are made from."""
-    return pandas_udf(lambda pages: pd.DataFrame(list(pages.map(read_page)), columns=[x.split(" ")[0] for x in re.split(r", (?=\w+ )", PAGE)]), PAGE)(markup)
+    """The parts of a page that documents are made from. As nondeterministic, so that a filter on them reads no page again."""
+    return pandas_udf(lambda pages: pd.DataFrame(list(pages.map(read_page)), columns=[x.split(" ")[0] for x in re.split(r", (?=\w+ )", PAGE)]), PAGE).asNondeterministic()(markup)
 
 
 def listing_of(markup: str | None) -> dict:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,3 +26,10 @@ def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     path = path or shared_dir(df.sparkSession)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(rows: DataFrame, *keys: str | Column) -> DataFrame:
+    """The rows dealt out by `keys` to more tasks than there are cores, for passes whose work outweighs their bytes: a file of
+    one row group would else be one task."""
+    spark = rows.sparkSession
+    return rows.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
