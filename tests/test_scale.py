@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from casebook.operators import relational
 
 
 def plan_of(df) -> str:
@@ -53,3 +54,16 @@ def test_markup_is_read_by_several_tasks(spark, tables, name):
     got = entry.queries()[name](spark, d)
     assert got.count() == 30
     assert "RepartitionByExpression" in plan_of(got)
+
+
+def test_chains_of_one_bill_are_dealt_out_and_not_shuffled(spark):
+    """All of 300 provisions and 40 sections meet in one bill."""
+    k = F.col("id").cast("string")
+    row = lambda df, urn, corpus, title, parent, level: df.select(urn.alias("urn"), F.lit(corpus).alias("corpus"), F.lit(title).alias("title"), parent.alias("parent"), F.lit(f'{{"level": "{level}"}}').alias("meta"))
+    docs = row(spark.range(300), F.concat(F.lit("p"), k), "act", "x", F.lit("a"), "provision")
+    docs = docs.union(row(spark.range(1), F.lit("b"), "bill", "Fish Bill", F.lit(None).cast("string"), "bill"))
+    docs = docs.union(row(spark.range(40), F.concat(F.lit("s"), k), "hansard", "Fish Bill", F.lit("day"), "section"))
+    refs = spark.createDataFrame([("a", "b", "enacted_by", 0.5)], "`from` string, `to` string, kind string, confidence double")
+    got = relational.intent_chain(docs, refs)
+    assert got.count() == got.distinct().count() == 12_000
+    assert plan_of(got).splitlines()[1].lstrip(" +-").startswith("Join Inner, ((bill") and "salt" in plan_of(got).splitlines()[1]
