@@ -35,7 +35,7 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     vocabularies = [public_tokenizers.path(x) for x in ("piece_bpe_32k.model", "word_bpe_49k.json", "byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken")]
-    return fertility.measure(docs, vocabularies, fertility.fit(docs, table(spark, sf_dir, "labels"), vocabularies))
+    return fertility.measure_and_judge(docs, table(spark, sf_dir, "labels"), vocabularies)
 
 
 def op7_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
