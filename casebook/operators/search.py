@@ -18,14 +18,14 @@ import math
 import re
 from bisect import bisect_right
 from dataclasses import dataclass
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from casebook.functions.text import plain_terms, stemmed_terms, terms
-from casebook.sources.shared import stored
+from casebook.sources.shared import removed, spread, stored
 
 K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
 OPEN, CLOSE, GAP, SNIPPET = "<<", ">>", " ... ", 24
@@ -44,6 +44,8 @@ class Index:
     statistics: DataFrame | None = None  # one row: docs, mean, built (the mean for which impacts were made)
     frequencies: DataFrame | None = None  # term, id, tf, n, impact
     levels: DataFrame | None = None  # term, level, rows: of which impact is at least level / STEPS and below the next
+    listed: DataFrame | None = None  # id, n, t0, t1, ... (terms of each column): what a new index is made of
+    columns: tuple[str, ...] = ()
 
     def stats(self) -> DataFrame:
         """docs, mean: read where they were written, else summed over the lengths."""
@@ -51,29 +53,41 @@ class Index:
 
     def written(self, path: str) -> Index:
         """The same index from Parquet, clustered by term so that a query reads few row groups."""
+        spark = self.postings.sparkSession
+        if self.listed is not None:  # texts are tokenised once, not for each table and each sample of a range
+            listed = stored(self.listed, f"{path}/listed")
+            _of(listed, self.columns, self.stem)._tables(path)
+            removed(spark, f"{path}/listed")
+        else:
+            self._tables(path)
+        return opened(spark, path, self.stem)
+
+    def _tables(self, path: str) -> None:
         spark = self.postings.sparkSession
         self.lengths.write.mode("overwrite").parquet(f"{path}/lengths")
         stats = Index(self.postings, spark.read.parquet(f"{path}/lengths"), self.stem).stats()
         stats.withColumn("built", F.col("mean")).coalesce(1).write.mode("overwrite").parquet(f"{path}/statistics")
-        write_lists(self.postings, path, spark.read.parquet(f"{path}/statistics").first()["built"])
-        return opened(spark, path, self.stem)
+        write_lists(self, path, spark.read.parquet(f"{path}/statistics").first()["built"])
 
 
 def impact(tf: Column, n: Column, mean: Column) -> Column:
     return tf / (tf + K1 * (1 - B + B * n / mean))
 
 
-def write_lists(postings: DataFrame, path: str, built: float | None) -> None:
+def write_lists(index: Index, path: str, built: float | None) -> None:
     """postings, frequencies and levels of an index; `built` is the mean length for the impacts."""
-    spark = postings.sparkSession
+    spark = index.postings.sparkSession
     # what a lost executor must not change is written before it is read twice
-    postings.repartitionByRange("term", "id").sortWithinPartitions("term", "id").write.mode("overwrite").parquet(f"{path}/postings")
-    tf = spark.read.parquet(f"{path}/postings").groupBy("term", "id", "n").agg(F.count(F.lit(1)).alias("tf"))
+    index.postings.repartitionByRange("term", "id").sortWithinPartitions("term", "id").write.mode("overwrite").parquet(f"{path}/postings")
+    # a new index's documents are dealt out by id, so that their terms are counted where they are, without a shuffle of postings
+    counted = spark.read.parquet(f"{path}/postings") if index.listed is None else _of(spread(index.listed, "id"), index.columns, index.stem).postings
+    tf = stored(counted.groupBy("id", "n", "term").agg(F.count(F.lit(1)).alias("tf")), f"{path}/counted")
     rows = tf.select("term", "id", "tf", "n", impact(F.col("tf"), F.col("n"), F.lit(built or 1.0)).alias("impact"))
     order = ["term", F.col("impact").desc(), "id"]
     rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").option("parquet.page.row.count.limit", PAGE).parquet(f"{path}/frequencies")
     levels = spark.read.parquet(f"{path}/frequencies").groupBy("term", F.floor(F.col("impact") * STEPS).cast("int").alias("level")).agg(F.count(F.lit(1)).alias("rows"))
     levels.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/levels")
+    removed(spark, f"{path}/counted")
 
 
 def opened(spark, path: str, stem: bool = False) -> Index:
@@ -84,10 +98,18 @@ def opened(spark, path: str, stem: bool = False) -> Index:
 
 def build(docs: DataFrame, key: str, columns: list[str], stem: bool = False) -> Index:
     words = stemmed_terms if stem else plain_terms
-    held = docs.select(F.col(key).alias("id"), *(words(F.col(c)).alias(f"t{i}") for i, c in enumerate(columns)))
+    held = spread(docs.select(key, *(c for c in dict.fromkeys(columns) if c != key)), key).select(F.col(key).alias("id"), *(words(F.col(c)).alias(f"t{i}") for i, c in enumerate(columns)))
     held = held.withColumn("n", sum((F.size(f"t{i}") for i in range(len(columns))), F.lit(0)).cast("long"))
-    parts = [held.select("id", F.lit(c).alias("col"), F.posexplode(f"t{i}").alias("pos", "term"), "n") for i, c in enumerate(columns)]
-    return Index(reduce(DataFrame.union, parts), held.select("id", "n"), stem)
+    return _of(held, tuple(columns), stem)
+
+
+def _of(listed: DataFrame, columns: tuple[str, ...], stem: bool) -> Index:
+    def placed(i: int) -> Column:
+        return F.transform(f"t{i}", lambda w, at: F.struct(F.lit(columns[i]).alias("col"), at.alias("pos"), w.alias("term")))
+
+    parts = [placed(i) for i in range(len(columns))]
+    postings = listed.select("id", F.inline(F.concat(*parts)), "n").select("id", "col", "pos", "term", "n")
+    return Index(postings, listed.select("id", "n"), stem, listed=listed, columns=columns)
 
 
 # ---- Queries
@@ -417,6 +439,11 @@ def wanted_terms(query: str, column: str, stem: bool = False) -> list[list[tuple
     return [[(w, x.prefix and i == len(x.words) - 1) for i, w in enumerate(x.words)] for x in of(parse(query, stem)) if x.words and x.col in (None, column)]
 
 
+@lru_cache(100_000)
+def word_terms(word: str, stem: bool) -> list[str]:
+    return terms(word, stem)
+
+
 def snippets_of(text: str | None, phrases: list[list[tuple[str, bool]]], stem: bool, size: int = SNIPPET) -> str:
     """Up to `size` words of a text with its phrases marked; phrases that overlap share their marks.
 
@@ -425,7 +452,7 @@ def snippets_of(text: str | None, phrases: list[list[tuple[str, bool]]], stem: b
     its occurrences stand in the middle.
     """
     text = text or ""
-    found = [(m.start(), m.end(), terms(m[0], stem)) for m in re.finditer(r"[^\W_]+(?:[\u0300-\u036f]+[^\W_]*)*", text)]
+    found = [(m.start(), m.end(), word_terms(m[0], stem)) for m in re.finditer(r"[^\W_]+(?:[\u0300-\u036f]+[^\W_]*)*", text)]
     words = [t[0] if t else "" for _, _, t in found]
     hits = [(i, k) for i in range(len(words)) for k, p in enumerate(phrases) if i + len(p) <= len(words) and all(words[i + j].startswith(w) if prefix else words[i + j] == w for j, (w, prefix) in enumerate(p))]
 

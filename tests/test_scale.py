@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from casebook.llm import fertility
-from casebook.operators import relational
+from casebook.operators import relational, search
 
 
 def plan_of(df) -> str:
@@ -90,3 +90,22 @@ def test_fertility_bands_come_from_all_labelled_rows(spark):
     own = measured.select("doc_id").where("doc_id % 10 = 0").join(docs, "doc_id")
     a = sorted(fertility.measure(own, paths, bands).select("doc_id", "kept").collect())
     assert a == sorted(fertility.judged(fertility.measure(own, paths), paths, bands).select("doc_id", "kept").collect())
+
+
+def test_an_index_tokenises_once_in_several_tasks(spark, tables, tmp_path):
+    docs = spark.range(60).select(F.col("id").alias("doc_id"), F.concat(F.lit("licensed works "), F.col("id").cast("string")).alias("text"))
+    d = tables(documents=docs)
+    held = spark.read.parquet(f"{d}/documents.parquet")
+    index = search.build(held, "doc_id", ["text", "text"], stem=True)
+    assert index.postings.rdd.getNumPartitions() >= 4
+    opened = index.written(str(tmp_path / "index"))
+    assert sorted(p.name for p in (tmp_path / "index").iterdir()) == ["frequencies", "lengths", "levels", "postings", "statistics"]
+    assert opened.postings.count() == opened.lengths.agg(F.sum("n")).first()[0] == 360
+    assert opened.frequencies.agg(F.sum("tf")).first()[0] == 360
+
+
+@pytest.mark.parametrize("name, rows", [("doc_length", 60), ("postings_stats", 62)])
+def test_sums_over_all_terms_write_no_index(spark, tables, monkeypatch, name, rows):
+    monkeypatch.setattr(search.Index, "written", None)
+    d = tables(documents=spark.range(60).select(F.col("id").alias("doc_id"), F.concat(F.lit("licensed works "), F.col("id").cast("string")).alias("text")))
+    assert entry.queries()[name](spark, d).count() == rows
