@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 
 from casebook.llm.common import discard, materialise, small_batches, tidy
 
-CELLS, ROWS, ANCHORS, BUCKETS = 16, 4096, 128, 4096
+#: Each block of anchors is copied to each bucket, so their number is bounded: the copies grow with the anchors alone.
+CELLS, ROWS, ANCHORS, BUCKETS = 16, 4096, 128, 64
 #: Times k likely rows of a window that are scored first, to narrow it.
 TRIED = 4
 ROW_BLOCK = "bucket int, ids binary, named binary, labels binary, rids binary, q binary, codes binary"
@@ -181,9 +182,13 @@ def anchor_blocks(anchors: DataFrame, dims: int, k: int) -> DataFrame:
 
 
 def met(stored: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
-    """Each block of rows beside each block of anchors, by the buckets of the row blocks."""
+    """Each block of rows beside each block of anchors, by the buckets of the row blocks.
+
+    Spark's estimate of the anchors' size leaves out their copies, so it would broadcast them; the hint keeps both sides from
+    the driver.
+    """
     each = anchors.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return stored.join(each, "bucket").drop("bucket")
+    return stored.join(each.hint("merge"), "bucket").drop("bucket")
 
 
 def best_of(rows: DataFrame, key: list[str], score: str, tie: str, k: int, name: str) -> DataFrame:

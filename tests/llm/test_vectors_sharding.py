@@ -105,6 +105,15 @@ def test_negatives_as_brute_force(spark, monkeypatch, dims):
     assert negatives.mine(some.where("vec_id = 100").limit(1), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_copies_of_anchors_are_not_broadcast(spark, capsys):
+    """Their size is anchors times buckets, which Spark's estimate doesn't see, so the driver ran out of memory."""
+    stored = spark.range(4).select(F.col("id").cast("int").alias("bucket"), F.lit(b"r").alias("ids"))
+    met = negatives.met(stored, spark.range(2).select(F.lit(b"a").alias("a_ids")), 4)
+    met.explain()
+    assert "Broadcast" not in capsys.readouterr().out
+    assert met.count() == 8 and negatives.BUCKETS <= 64
+
+
 def test_few_rows_are_scored_exactly():
     """Of the rows looked up, few get an exact score, and all that may enter do."""
     r = np.random.default_rng(1)
