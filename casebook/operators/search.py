@@ -1,7 +1,8 @@
 """Full-text search: inverted index, MATCH queries, BM25, the best k, snippets.
 
-The index is three tables of Parquet, and the corpus's statistics beside them. `postings` has each occurrence (term, id,
-col, pos, and n: the length of the document) and serves phrases, NEAR and columns. `frequencies` has a row a term and
+The index is three tables of Parquet, and the corpus's statistics beside them. `postings` has a row a term, document and
+column (term, id, col, n: the length of the document, and pos: the places of all its occurrences), is read as a row an
+occurrence, and serves phrases, NEAR and columns. `frequencies` has a row a term and
 document, ordered by term and falling impact (the part of BM25 that doesn't depend on the query): its pages are the blocks
 of a posting list, and Parquet's page index holds the greatest impact of each, so that a reader skips what is below a cut.
 `levels` counts a term's rows by steps of impact.
@@ -33,6 +34,8 @@ OPEN, CLOSE, GAP, SNIPPET = "<<", ">>", " ... ", 24
 
 #: Steps of impact, which is below 1; rows of a page, which is what a reader skips or decodes.
 STEPS, PAGE = 64, 512
+#: Rows that a task sorts, and characters that it splits into terms, where a corpus is large.
+RANGE_ROWS, TASK_CHARS = 1_000_000, 8_000_000
 TABLES = ("postings", "lengths", "frequencies", "levels")
 
 
@@ -46,6 +49,7 @@ class Index:
     levels: DataFrame | None = None  # term, level, rows: of which impact is at least level / STEPS and below the next
     listed: DataFrame | None = None  # id, n, t0, t1, ... (terms of each column): what a new index is made of
     columns: tuple[str, ...] = ()
+    grouped: DataFrame | None = None  # the postings with an array of places, as they are stored
 
     def stats(self) -> DataFrame:
         """docs, mean: read where they were written, else summed over the lengths."""
@@ -55,8 +59,10 @@ class Index:
         """The same index from Parquet, clustered by term so that a query reads few row groups."""
         spark = self.postings.sparkSession
         if self.listed is not None:  # texts are tokenised once, not for each table and each sample of a range
-            listed = stored(self.listed, f"{path}/listed")
-            _of(listed, self.columns, self.stem)._tables(path)
+            rows = stored(_grouped(self.listed, self.columns), f"{path}/listed")
+            lengths = rows.where(F.col("term").isNull()).select("id", F.explode("pos").alias("pos"), "n").drop("pos")
+            held = rows.where(F.col("term").isNotNull())
+            Index(occurring(held), lengths, self.stem, columns=self.columns, grouped=held)._tables(path)
             removed(spark, f"{path}/listed")
         else:
             self._tables(path)
@@ -74,41 +80,75 @@ def impact(tf: Column, n: Column, mean: Column) -> Column:
     return tf / (tf + K1 * (1 - B + B * n / mean))
 
 
+def ranged(rows: DataFrame, n: int, *order: str | Column) -> DataFrame:
+    """The rows in order, in ranges whose number grows with theirs, so that a task's sort stays in memory."""
+    parts = -(-n // RANGE_ROWS)
+    few = parts <= int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.repartitionByRange(*order) if few else rows.repartitionByRange(parts, *order)).sortWithinPartitions(*order)
+
+
 def write_lists(index: Index, path: str, built: float | None) -> None:
     """postings, frequencies and levels of an index; `built` is the mean length for the impacts."""
     spark = index.postings.sparkSession
     # what a lost executor must not change is written before it is read twice
-    index.postings.repartitionByRange("term", "id").sortWithinPartitions("term", "id").write.mode("overwrite").parquet(f"{path}/postings")
-    # a new index's documents are dealt out by id, so that their terms are counted where they are, without a shuffle of postings
-    counted = spark.read.parquet(f"{path}/postings") if index.listed is None else _of(spread(index.listed, "id"), index.columns, index.stem).postings
-    tf = stored(counted.groupBy("id", "n", "term").agg(F.count(F.lit(1)).alias("tf")), f"{path}/counted")
-    rows = tf.select("term", "id", "tf", "n", impact(F.col("tf"), F.col("n"), F.lit(built or 1.0)).alias("impact"))
-    order = ["term", F.col("impact").desc(), "id"]
-    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").option("parquet.page.row.count.limit", PAGE).parquet(f"{path}/frequencies")
+    held = index.grouped if index.grouped is not None else stored(index.postings.groupBy("id", "col", "term", "n").agg(F.collect_list("pos").alias("pos")), f"{path}/counted")
+    n, weight = held.count(), impact(F.col("tf"), F.col("n"), F.lit(built or 1.0))
+    lists = lambda rows: rows.write.mode("overwrite").option("compression", "zstd").option("parquet.page.row.count.limit", PAGE)
+    if len(index.columns) == 1:  # a posting is a frequency too: one shuffle, of what neither can be reckoned from, puts both in order
+        tf = F.size("pos").cast("long")
+        order = ["term", impact(tf, F.col("n"), F.lit(built or 1.0)).desc(), "id"]
+        rows = ranged(held.select("term", "id", "n", "pos"), n, *order)
+        lists(rows.select("term", "id", F.lit(index.columns[0]).alias("col"), "n", "pos")).parquet(f"{path}/postings")
+        rows = spark.read.parquet(f"{path}/postings").select("term", "id", tf.alias("tf"), "n")
+        lists(rows.withColumn("impact", weight)).parquet(f"{path}/frequencies")
+    else:
+        ranged(held, n, "term", "id").write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/postings")
+        tf = stored(held.groupBy("id", "n", "term").agg(F.sum(F.size("pos")).alias("tf")), f"{path}/summed")
+        rows = tf.select("term", "id", "tf", "n", weight.alias("impact"))
+        lists(ranged(rows, n, "term", F.col("impact").desc(), "id")).parquet(f"{path}/frequencies")
     levels = spark.read.parquet(f"{path}/frequencies").groupBy("term", F.floor(F.col("impact") * STEPS).cast("int").alias("level")).agg(F.count(F.lit(1)).alias("rows"))
-    levels.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/levels")
-    removed(spark, f"{path}/counted")
+    levels.sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/levels")
+    for x in ("counted", "summed"):
+        removed(spark, f"{path}/{x}")
 
 
 def opened(spark, path: str, stem: bool = False) -> Index:
     """An index that `written` wrote."""
     t = {x: spark.read.parquet(f"{path}/{x}") for x in (*TABLES, "statistics")}
-    return Index(t["postings"], t["lengths"], stem, t["statistics"], t["frequencies"], t["levels"])
+    return Index(occurring(t["postings"]), t["lengths"], stem, t["statistics"], t["frequencies"], t["levels"], grouped=t["postings"])
+
+
+def occurring(grouped: DataFrame) -> DataFrame:
+    """A row an occurrence of stored postings."""
+    return grouped.select("id", "col", F.explode("pos").alias("pos"), "term", "n")
+
+
+def _grouped(listed: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Stored postings of documents that are dealt out by id, so nothing is shuffled; of each document a row without a term
+    too, with an entry for each row of its id and length."""
+    none = F.expr("cast(array(struct(null, -1, null)) as array<struct<col:string,pos:int,term:string>>)")
+    words = listed.select("id", "n", F.inline(F.concat(*_placed(columns), none)))
+    return words.groupBy("id", "n", "col", "term").agg(F.collect_list("pos").alias("pos"))
 
 
 def build(docs: DataFrame, key: str, columns: list[str], stem: bool = False) -> Index:
     words = stemmed_terms if stem else plain_terms
-    held = spread(docs.select(key, *(c for c in dict.fromkeys(columns) if c != key)), key).select(F.col(key).alias("id"), *(words(F.col(c)).alias(f"t{i}") for i, c in enumerate(columns)))
+    texts = docs.select(key, *(c for c in dict.fromkeys(columns) if c != key))
+    size = texts.agg(F.sum(sum((F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) for c in columns), F.lit(0)))).first()[0] or 0
+    held = spread(texts, key, least=size // TASK_CHARS).select(F.col(key).alias("id"), *(words(F.col(c)).alias(f"t{i}") for i, c in enumerate(columns)))
     held = held.withColumn("n", sum((F.size(f"t{i}") for i in range(len(columns))), F.lit(0)).cast("long"))
     return _of(held, tuple(columns), stem)
 
 
-def _of(listed: DataFrame, columns: tuple[str, ...], stem: bool) -> Index:
+def _placed(columns: tuple[str, ...]) -> list[Column]:
     def placed(i: int) -> Column:
         return F.transform(f"t{i}", lambda w, at: F.struct(F.lit(columns[i]).alias("col"), at.alias("pos"), w.alias("term")))
 
-    parts = [placed(i) for i in range(len(columns))]
-    postings = listed.select("id", F.inline(F.concat(*parts)), "n").select("id", "col", "pos", "term", "n")
+    return [placed(i) for i in range(len(columns))]
+
+
+def _of(listed: DataFrame, columns: tuple[str, ...], stem: bool) -> Index:
+    postings = listed.select("id", F.inline(F.concat(*_placed(columns))), "n").select("id", "col", "pos", "term", "n")
     return Index(postings, listed.select("id", "n"), stem, listed=listed, columns=columns)
 
 

@@ -72,7 +72,8 @@ def _index(spark: SparkSession, path: str, segments: list[dict]) -> fts.Index:
         taken = spark.read.parquet(f"{path}/taken").where(F.col("segment").isin([s["segment"] for s in segments]))
         levels = levels.unionByName(taken.select("term", F.lit(-1).alias("level"), (-F.col("rows")).alias("rows")))
     stats = spark.createDataFrame([(docs, mean, built)], "docs long, mean double, built double")
-    return fts.Index(_live(spark, path, segments, "postings"), _live(spark, path, segments, "lengths"), segments[0]["stem"], stats, _live(spark, path, segments, "frequencies"), levels)
+    held = _live(spark, path, segments, "postings")
+    return fts.Index(fts.occurring(held), _live(spark, path, segments, "lengths"), segments[0]["stem"], stats, _live(spark, path, segments, "frequencies"), levels, grouped=held)
 
 
 def opened(spark: SparkSession, path: str) -> fts.Index:
@@ -126,7 +127,7 @@ def merge(spark: SparkSession, path: str) -> int:
     while due := next((same for s in segments if len(same := [x for x in segments if tier(x["live_docs"]) == tier(s["live_docs"])]) >= FAN), None):
         name = f"s{version + 1:09d}"
         live = _index(spark, path, due)
-        fts.Index(live.postings, live.lengths, live.stem).written(f"{path}/{name}")
+        fts.Index(live.postings, live.lengths, live.stem, grouped=live.grouped).written(f"{path}/{name}")
         docs, tokens = (sum(s[c] for s in due) for c in ("live_docs", "live_tokens"))
         version, segments = version + 1, [*(s for s in segments if s not in due), {"segment": name, "docs": docs, "tokens": tokens, "live_docs": docs, "live_tokens": tokens, "stem": live.stem}]
         _publish(spark, path, version, segments)

@@ -24,7 +24,7 @@ def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     """The rows written as Parquet in the shared folder and read again: what is used more than once is made once, and a lost
     executor loses none of it."""
     path = path or shared_dir(df.sparkSession)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -34,8 +34,8 @@ def removed(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def spread(rows: DataFrame, *keys: str | Column) -> DataFrame:
-    """The rows dealt out by `keys` to more tasks than there are cores, for passes whose work outweighs their bytes: a file of
-    one row group would else be one task."""
+def spread(rows: DataFrame, *keys: str | Column, least: int = 0) -> DataFrame:
+    """The rows dealt out by `keys` to more tasks than there are cores (and `least` of them), for passes whose work outweighs
+    their bytes: a file of one row group would else be one task."""
     spark = rows.sparkSession
-    return rows.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
+    return rows.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")), least), *keys)

@@ -104,6 +104,20 @@ def test_an_index_tokenises_once_in_several_tasks(spark, tables, tmp_path):
     assert opened.frequencies.agg(F.sum("tf")).first()[0] == 360
 
 
+def test_postings_are_grouped_and_dealt_out_by_size(spark, tmp_path, monkeypatch):
+    """A row a term and document, not one an occurrence, in tasks whose number grows with the corpus: sorts spilled before."""
+    monkeypatch.setattr(search, "TASK_CHARS", 100)
+    monkeypatch.setattr(search, "RANGE_ROWS", 10)
+    docs = spark.createDataFrame([(i, f"w{i} the cat the") for i in range(300)] + [(300, None)], "id long, text string")
+    new = search.build(docs, "id", ["text"])
+    assert new.listed.rdd.getNumPartitions() >= 30
+    index = new.written(str(tmp_path / "i"))
+    assert spark.read.parquet(str(tmp_path / "i" / "postings")).count() == 900 and len(list((tmp_path / "i" / "postings").glob("part-*"))) > 40
+    assert sorted(r.pos for r in index.postings.where("term = 'the' and id = 7").collect()) == [1, 3]
+    assert index.lengths.where("id = 300 and n = 0").count() == 1 and index.lengths.count() == 301
+    assert index.frequencies.where("term = 'the' and tf = 2").count() == 300
+
+
 @pytest.mark.parametrize("name, rows", [("doc_length", 60), ("postings_stats", 62)])
 def test_sums_over_all_terms_write_no_index(spark, tables, monkeypatch, name, rows):
     monkeypatch.setattr(search.Index, "written", None)
