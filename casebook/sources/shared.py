@@ -39,3 +39,14 @@ def spread(rows: DataFrame, *keys: str | Column, least: int = 0) -> DataFrame:
     their bytes: a file of one row group would else be one task."""
     spark = rows.sparkSession
     return rows.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")), least), *keys)
+
+
+#: Rows that a task sorts or aggregates of a large table.
+TASK_ROWS = 250_000
+
+
+def dealt(rows: DataFrame, size: int, *keys: str | Column) -> DataFrame:
+    """Rows of a table of about `size`, dealt out by `keys` to tasks of some TASK_ROWS each; left as they are where Spark's own
+    number of partitions is enough. So a task's memory doesn't grow with the table."""
+    parts = -(-size // TASK_ROWS)
+    return rows.repartition(parts, *keys) if parts > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows

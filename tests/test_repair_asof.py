@@ -8,6 +8,7 @@ from datetime import date, timedelta
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from casebook.functions import repair
 from casebook.functions.text import cleaned
@@ -69,3 +70,17 @@ def test_sweep_as_a_plain_count(spark, kind):
         assert got[i].matches == len(hits) and got[i].status == ("not_in_force", "ok", "ambiguous_version")[min(2, len(hits))]
         stamp = got[i].version.date() if kind == "timestamp" and got[i].version else got[i].version
         assert stamp == (of(hits[0]) if len(hits) == 1 else None)
+
+
+def test_a_large_sweep_has_more_and_smaller_tasks(spark, monkeypatch):
+    """The number of tasks grows with the requests at every shuffle of theirs; null keys and times stay not in force."""
+    from casebook.sources import shared
+
+    monkeypatch.setattr(shared, "TASK_ROWS", 10)
+    day = "date_add(date'2020-01-01', cast(id % 40 as int))"
+    requests = spark.range(400).selectExpr("id", "nullif(id % 7, 6) as key", f"if(id % 11 = 0, null, {day}) as at")
+    versions = temporal.timeline(spark.range(70).selectExpr("id % 6 as key", "date_add(date'2020-01-05', cast(id as int)) as start"), "key", "start", 400)
+    got = temporal.as_of_status(requests, versions, "key", "at", ["id"], size=400)
+    assert got.rdd.getNumPartitions() == 40
+    want = temporal.as_of(requests, versions, "key", "at").groupBy("id").agg(F.count("start").alias("n"), F.min("start").alias("s"))
+    assert got.count() == 400 and sorted((r.id, r.matches, r.version) for r in got.collect()) == sorted((r.id, r.n, r.s) for r in want.collect())
