@@ -123,3 +123,16 @@ def test_sums_over_all_terms_write_no_index(spark, tables, monkeypatch, name, ro
     monkeypatch.setattr(search.Index, "written", None)
     d = tables(documents=spark.range(60).select(F.col("id").alias("doc_id"), F.concat(F.lit("licensed works "), F.col("id").cast("string")).alias("text")))
     assert entry.queries()[name](spark, d).count() == rows
+
+
+def test_candidates_of_one_slug_are_dealt_out_by_their_number(spark, monkeypatch):
+    """Addresses of one slug meet all its items, so the result, not the items, sets the number of tasks."""
+    from casebook.plans import decisions
+    from casebook.sources import shared
+
+    monkeypatch.setattr(shared, "TASK_ROWS", 50)
+    items = spark.range(40).selectExpr("id", "concat('/a/one-', id, '/') as href", "'One' as title")
+    urls = spark.range(30).selectExpr("concat('https://h/x/one-', id) as url")
+    got = decisions.slug_candidates(items, urls, "id", "href", "title")
+    assert got.rdd.getNumPartitions() >= 24
+    assert sorted(map(tuple, got.collect())) == sorted((k, f"https://h/x/one-{i}") for k in range(40) for i in range(30))
