@@ -13,7 +13,7 @@ from casebook.operators import temporal
 from casebook.plans import debates, decisions, judgments, stages, statutes
 from casebook.queries import CITED, URN_SQL, V1, V2, _cited, query, t, urn_mint, v1, v2
 from casebook.sources import datasource, store
-from casebook.sources.shared import shared_dir, spread
+from casebook.sources.shared import TASK_ROWS, shared_dir, spread
 from casebook.streaming import keyed
 
 
@@ -342,8 +342,8 @@ def sql_clean_lengths(spark, d):
     return spark.sql("SELECT corpus, count(*) AS texts, sum(length(clean_text(text))) AS characters FROM casebook_documents GROUP BY corpus")
 
 
-def _lines(spark, d):
-    return t(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("part"))
+def _lines(items):
+    return items.groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("part"))
 
 
 LINES = "li AS (SELECT l_orderkey, l_linenumber, min(l_partkey) AS part FROM lineitem GROUP BY 1, 2)"
@@ -353,9 +353,11 @@ LINES = "li AS (SELECT l_orderkey, l_linenumber, min(l_partkey) AS part FROM lin
 def anchor_partition(spark, d):
     one = said('<div id="a', text_of("l_linenumber"), '"><b>head', text_of("part"), "</b><script>x</script></div><p>tail &amp; ", text_of("part"), "</p>")
     lines = F.array_sort(F.collect_list(F.struct("l_linenumber", one.alias("x"))))
-    pages = _lines(spark, d).groupBy("l_orderkey").agg(said("<div>before", F.array_join(F.transform(lines, lambda x: x["x"]), ""), "</div>").alias("html"), F.transform(F.array_sort(F.collect_list("l_linenumber")), lambda n: said("a", n.cast("string"))).alias("ids"))
-    found = dom.anchored(pages, "l_orderkey", "html", F.col("ids"))
-    return R.joined(found, ["l_orderkey", "anchor"], "pos", "text", "|").select("l_orderkey", "anchor", "text")
+    items = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    # dealt out by order once: lines, pages and what is in them follow where their order is
+    rows = spread(items, "l_orderkey", least=-(-items.count() // TASK_ROWS))
+    pages = _lines(rows).groupBy("l_orderkey").agg(said("<div>before", F.array_join(F.transform(lines, lambda x: x["x"]), ""), "</div>").alias("html"), F.transform(F.array_sort(F.collect_list("l_linenumber")), lambda n: said("a", n.cast("string"))).alias("ids"))
+    return dom.anchored(pages, "l_orderkey", "html", F.col("ids"), "|").select("l_orderkey", "anchor", "text")
 
 
 # ---- Parsers, over pages made of rows
