@@ -7,7 +7,8 @@ whether the paths of all these places meet in one boundary; if so, the ids up to
 shorter last piece.
 
 Texts are cut where convergence is certain: before a run of blanks (no piece has a blank after another character) and
-around line ends that no piece contains. Cuts are encoded once per worker and memo.
+around line ends that no piece contains. Cuts are encoded once per worker and memo, those of a group of texts in order: a
+cut shorter than the longest piece goes on from where it first differs from the one before it.
 
 Null text counts as empty and has no ids. Blanks, line ends and U+2581 come back exactly. Repeated rows are encoded
 each; other columns are ignored; an empty table gives no row.
@@ -19,6 +20,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,8 @@ from casebook.llm.common import Memo, resident, small_batches, tidy
 BLANK = "▁"
 #: Bytes of remembered cuts.
 MEMO = 80 << 20
+#: Characters of the texts whose new cuts are encoded together.
+AT_ONCE = 1 << 20
 OUT = "doc_id long, n_ids long, n_byte_ids long, ids_crc32 long, decoded_sha256 string, round_trip boolean"
 
 
@@ -142,6 +146,45 @@ class StreamingEncoder:
         self.restart()
         return ids
 
+    def in_order(self, cuts: list[str]) -> Iterator[list[int]]:
+        """Ids of each of several sorted cuts, as by `feed` and `finish`. Places are kept for the characters that a cut has in
+        common with the one before it; longer ones are fed, so what is held stays as small."""
+        root, cost, longest, spelt = self.v.trie, self.v.byte_cost, self.v.longest, self.v.bytes
+        best, back, lives, last = [0.0], [(0, "")], [[(0, root)]], ""
+        for cut in cuts:
+            if len(cut) >= longest:
+                yield self.feed(cut) + self.finish()
+                continue
+            end, most = 0, min(len(cut), len(last))
+            while end < most and cut[end] == last[end]:
+                end += 1
+            del best[end + 1 :], back[end + 1 :], lives[end + 1 :]
+            live, last = lives[end], cut
+            for ch in cut[end:]:
+                score, step = best[end] + (cost if ch < "\x80" else cost * len(ch.encode())), (end, ch)
+                end += 1
+                ahead = [(end, root)]
+                for start, node in live:  # shortest piece first
+                    hit = node.get(ch)
+                    if hit is not None:
+                        follow, i, own = hit
+                        if follow:
+                            ahead.append((start, follow))
+                        if i >= 0 and (total := best[start] + own) > score:
+                            score, step = total, (start, i)
+                best.append(score)
+                back.append(step)
+                lives.append(ahead)
+                live = ahead
+            ids = []
+            while end:
+                end, part = back[end]
+                if part.__class__ is str:
+                    ids += [spelt[b] for b in reversed(part.encode())]
+                else:
+                    ids.append(part)
+            yield ids[::-1]
+
 
 class Codec:
     """Whole texts to ids and back, with the memo of cuts."""
@@ -158,15 +201,21 @@ class Codec:
         return resident(("viterbi", path), lambda: cls(Vocabulary.load(path)))
 
     def encode(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, "<u4")
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text. Texts go in groups of AT_ONCE characters; a longer text is a group of its own."""
+        groups = np.cumsum([len(x or "") for x in texts]) // AT_ONCE
+        bounds = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(texts)]
+        return list(chain.from_iterable(self._encode(texts[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)))
+
+    def _encode(self, texts: list[str | None]) -> list[np.ndarray]:
         self.memo.make_room()
-        parts, memo = self.cut(" " + text), self.memo
-        for p in set(parts):
-            if p not in memo:
-                ids = self.encoder.feed(p) + self.encoder.finish()
-                memo.keep(p, np.array(ids, "<u4").tobytes(), 4 * len(ids))
-        return np.frombuffer(b"".join(map(memo.__getitem__, parts)), "<u4")
+        memo, parts = self.memo, [self.cut(" " + x) if x else [] for x in texts]
+        new = sorted(set(filterfalse(memo.__contains__, chain.from_iterable(parts))))
+        for p, ids in zip(new, self.encoder.in_order(new), strict=True):
+            memo.keep(p, np.array(ids, "<u4").tobytes(), 4 * len(ids))
+        return [np.frombuffer(b"".join(map(memo.__getitem__, x)), "<u4") for x in parts]
 
     def decode(self, ids) -> str:
         return b"".join(map(self.v.text.__getitem__, ids)).decode()[1:]
@@ -181,8 +230,8 @@ def digest(docs: DataFrame, model: str) -> DataFrame:
         is_byte[list(codec.v.byte_of)] = True
         for batch in batches:
             out = []
-            for text in batch.column(1).to_pylist():
-                ids = codec.encode(text)
+            texts = batch.column(1).to_pylist()
+            for text, ids in zip(texts, codec.encode_all(texts), strict=True):
                 back = codec.decode(ids.tolist())
                 out.append((len(ids), int(is_byte[ids].sum()), zlib.crc32(ids.data), hashlib.sha256(back.encode()).hexdigest(), back == (text or "")))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]
@@ -198,7 +247,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(model)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([codec.encode(x).astype(np.int32) for x in batch.column(1).to_pylist()], pa.list_(pa.int32()))], names=["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.astype(np.int32) for x in codec.encode_all(batch.column(1).to_pylist())], pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run, holds=True), "doc_id long, ids array<int>")

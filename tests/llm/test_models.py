@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
+import random
 import zlib
 
 import numpy as np
@@ -65,6 +66,33 @@ def test_best_of_all_segmentations():
         assert sum(score[i] for i in ids) == best
 
 
+def test_cuts_in_order(monkeypatch):
+    """Cuts of several texts share what they begin with; ids are those of each cut alone, whatever the groups and the memo."""
+
+    class Counting(dict):
+        asked = 0
+
+        def get(self, key):
+            Counting.asked += 1
+            return super().get(key)
+
+    v = viterbi.Vocabulary.load(MODEL)
+    rng = random.Random(6)
+    texts = [None, "", *(" ".join("".join(rng.choice("abé\u4e00 \n-") for _ in range(rng.choice([2, 5, 14, 15, 16, 17, 40]))) for _ in range(9)) for _ in range(60))]
+    want = [whole_viterbi(v, x)[0] if x else [] for x in texts]
+    for most, memo in ((1 << 20, 80 << 20), (50, 80 << 20), (50, 1000)):
+        monkeypatch.setattr(viterbi, "AT_ONCE", most)
+        monkeypatch.setattr(viterbi, "MEMO", memo)
+        codec = viterbi.Codec(v)
+        assert [x.tolist() for x in codec.encode_all(texts) + codec.encode_all(texts)] == want + want
+    monkeypatch.setattr(viterbi, "AT_ONCE", 1 << 20)
+    v.trie = Counting(v.trie)
+    words = [f"abcdefgh{i:03d}" for i in range(500)]
+    codec = viterbi.Codec(v)
+    assert [codec.decode(x.tolist()) for x in codec.encode_all(words[:250] + [" ".join(words[250:])])] == [*words[:250], " ".join(words[250:])]
+    assert Counting.asked < 4 * len(words)  # 12 characters each
+
+
 def test_viterbi_query(spark):
     docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(TEXTS)] + [(None, "same", 1)], "doc_id long, text string, n_ids int")
     rows = viterbi.digest(docs, MODEL).collect()
