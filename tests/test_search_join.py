@@ -113,3 +113,28 @@ def test_segments_as_one_index(spark, tmp_path, monkeypatch):
         segments.upsert(twice, path, "id", ["text"])
     segments.upsert(twice, path, "id", ["text"], [F.col("at").desc()])
     assert [r.id for r in fts.bm25(segments.opened(spark, path), "unique").collect()] == [1]
+
+
+@pytest.mark.parametrize("held, hits", [(0, 1), (10_000, 1), (10_000, 3000)])
+def test_similar_pairs_by_either_way(spark, monkeypatch, held, hits):
+    """A right side that tasks hold, a few of the left's rows at once or all, and one that is joined: as brute force."""
+    monkeypatch.setattr(R, "HELD_WORDS", held)
+    monkeypatch.setattr(R, "HITS", hits)
+    rng = random.Random(8)
+    side = lambda n: [(f"k{i}", " ".join(f"W{int(rng.paretovariate(0.7)) % 60}" for _ in range(rng.choice([0, 1, 4, 12])))) for i in range(n)]
+    left, right = [*side(60), ("n", None)], [*side(40), ("n", None), ("e", "..."), ("x", "w1, w2")]
+    left, right = [*left, left[7], left[7]], [*right, right[5]]
+    make = lambda rows, names: spark.createDataFrame(rows, names)
+    for least in (0.05, 0.333333, 1.0):
+        got = R.similar_pairs(make(left, "k string, t string"), make(right, "o string, u string"), "k", "o", "t", "u", least)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(similar(left, right, least), key=str)
+    assert R.similar_pairs(make([], "k string, t string"), make(right, "o string, u string"), "k", "o", "t", "u", 0.5).count() == 0
+    assert R.similar_pairs(make(left, "k string, t string"), make([], "o string, u string"), "k", "o", "t", "u", 0.5).count() == 0
+
+
+def test_few_rows_on_the_right_shuffle_no_words(spark):
+    """The left's texts are dealt out once; neither words nor pairs are shuffled."""
+    from casebook import queries
+
+    plan = queries.parent_intent_pairs(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
