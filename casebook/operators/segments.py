@@ -122,9 +122,10 @@ def tier(docs: int) -> int:
 
 
 def merge(spark: SparkSession, path: str) -> int:
-    """Merge segments as long as a tier of live documents holds FAN of them. Returns the version."""
+    """Merge segments as long as a tier of documents written, live or replaced, holds FAN of them. So replaced rows are let go
+    no later than if they were live. Returns the version."""
     version, segments = manifest(spark, path)
-    while due := next((same for s in segments if len(same := [x for x in segments if tier(x["live_docs"]) == tier(s["live_docs"])]) >= FAN), None):
+    while due := next((same for s in segments if len(same := [x for x in segments if tier(x["docs"]) == tier(s["docs"])]) >= FAN), None):
         name = f"s{version + 1:09d}"
         live = _index(spark, path, due)
         fts.Index(live.postings, live.lengths, live.stem, grouped=live.grouped).written(f"{path}/{name}")
