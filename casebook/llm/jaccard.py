@@ -14,8 +14,11 @@ Documents link when 100 * |A and B| >= least * |A or B| over their distinct word
    about 256 of its partners, whose overlap counts are summed over blocks of columns; a pair goes as soon as the rest
    can't lift its count to the bound. Links merge components, so a group of copies costs about one product each, not one a
    pair.
-4. After ROUNDS, or a round with few new links, all remaining pairs of different components in a column are multiplied.
-   So no link between components is lost.
+4. After PLAIN such rounds a column takes up to PIVOTS pivots, others in each column, so that a class that is far from most
+   of its group meets some that it links with. Before a pair of these rounds becomes a row, its sets' parities bound it: of
+   the two sets' shingles in each of 512 classes of hashes. Each that differs stands for a shingle that one set lacks.
+5. After ROUNDS, or a round with few new links, all remaining pairs of different components in a column are bounded so
+   and multiplied. So no link between components is lost.
 
 Null and empty texts have the empty set and link with nothing. A null doc_id can't be named as a component: such rows
 get a null component and are compared with nothing. Repeated rows are members of one class. Rows of one doc_id with
@@ -41,6 +44,8 @@ WORDS, LEAST = 4, 85
 #: The order's list of frequent shingles: at most so many from each task and in all. Any list gives the same links.
 HOT_TASK, HOT, HOT_LEAST = 4096, 20_000, 16
 ROUNDS, BLOCKS, SIZES, MOST_SIZE, TILE = 6, 4, 256, (1 << 16) - 1, 256
+#: Words of 64 parities, a power of two; rounds with one pivot a column; pivots of a column in later rounds.
+PARITIES, PLAIN, PIVOTS = 8, 2, 16
 #: Bytes of text for which powers are kept.
 KEPT = 1 << 17
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -118,7 +123,7 @@ def frequent(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, words: int, least: int, hot: np.ndarray) -> DataFrame:
-    """doc_id, n, key (digest of the set), prefix (its first shingles in the common order), sizes of its blocks."""
+    """doc_id, n, key (digest of the set), prefix (its first shingles in the common order), sizes of its blocks, parities."""
     order = np.argsort(hot)
     listed, rank = hot[order], order
 
@@ -139,9 +144,9 @@ def prefixes(docs: DataFrame, words: int, least: int, hot: np.ndarray) -> DataFr
                     x = cold  # noqa: PLW2901
                 first.append(x[:p].view(np.int64))
             keys = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(first, pa.list_(pa.int64())), pa.array([block_sizes(x) for x in sets], pa.binary())], names=["doc_id", "n", "key", "prefix", "blocks"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(first, pa.list_(pa.int64())), pa.array([block_sizes(x) for x in sets], pa.binary()), pa.array([parities(x) for x in sets], pa.list_(pa.int64()))], names=["doc_id", "n", "key", "prefix", "blocks", "parity"])
 
-    return docs.mapInArrow(tidy(run), "doc_id long, n long, key binary, prefix array<long>, blocks binary")
+    return docs.mapInArrow(tidy(run), "doc_id long, n long, key binary, prefix array<long>, blocks binary, parity array<long>")
 
 
 def block_sizes(x: np.ndarray) -> bytes:
@@ -150,6 +155,18 @@ def block_sizes(x: np.ndarray) -> bytes:
     return (n if n.max(initial=0) < MOST_SIZE else np.full(SIZES, MOST_SIZE)).astype("<u2").tobytes()
 
 
+def parities(x: np.ndarray) -> np.ndarray:
+    """Whether the hashes are odd in number, a bit for each remainder by 64 * PARITIES (the blocks go by the first bits)."""
+    n = np.bincount((x & np.uint64(64 * PARITIES - 1)).astype(np.int64), minlength=64 * PARITIES)
+    return np.packbits((n & 1).astype(np.uint8)).view(np.int64)
+
+
+def _near_enough(n: Column, parity: Column, m: Column, other: Column, least: int) -> Column:
+    """Bound from parities: each that differs stands for a shingle that one of the sets lacks."""
+    differ = sum((F.bit_count(parity[i].bitwiseXOR(other[i])) for i in range(PARITIES)), F.lit(0))
+    return differ * (100 + least) <= (n + m) * (100 - least)
+
+
 def bounded(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
     """Pairs whose blocks' sizes allow the overlap that they need: it is at most the sum of the lesser sizes."""
 
@@ -270,7 +287,7 @@ def join(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     base = materialise(prefixes(rows, words, least, frequent(rows, words)))
     named = base.where("n > 0 and doc_id is not null")
-    sets = named.groupBy("key").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("blocks").alias("blocks"))
+    sets = named.groupBy("key").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("blocks").alias("blocks"), F.first("parity").alias("parity"))
     classes = materialise(sets.withColumn("node", F.monotonically_increasing_id()))
     # A doc_id with many equal rows would bring each of them to its tiles.
     repeated = not named.groupBy("doc_id", "key").count().where("count > 1").isEmpty()
@@ -310,22 +327,39 @@ def join(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
         labels = connected(texts.join(texts.groupBy("doc_id").agg(F.min("node").alias("a")), "doc_id").select("a", F.col("node").alias("b")))
         columns = still_open(columns)
 
-    most = 0
+    def marked(x: DataFrame) -> DataFrame:
+        """With the classes' parities."""
+        out = materialise(x.join(classes.select("node", "parity"), "node"))
+        discard(x)
+        return out
+
+    def named_other(x: DataFrame) -> DataFrame:
+        names = {"node": "other", "n": "on", "pos": "opos", "comp": "ocomp", "parity": "oparity"}
+        return x.select("sh", "band", *(F.col(c).alias(names[c]) for c in x.columns if c in names))
+
+    def may_link(x: DataFrame) -> DataFrame:
+        x = x.where("comp <> ocomp").where(_may_link(F.col("n"), F.col("pos"), F.col("on"), F.col("opos"), least))
+        return x.where(_near_enough(F.col("n"), F.col("parity"), F.col("on"), F.col("oparity"), least)) if "parity" in x.columns else x
+
+    most, dense = 0, False
     for k in range(ROUNDS):
-        pivot = columns.groupBy("sh", "band").agg(F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("by"), "node", "n", "pos", "comp")).alias("p"))
-        pivot = pivot.select("sh", "band", F.col("p.node").alias("other"), F.col("p.n").alias("on"), F.col("p.pos").alias("opos"), F.col("p.comp").alias("ocomp"))
-        near = columns.join(pivot, ["sh", "band"]).where("comp <> ocomp").where(_may_link(F.col("n"), F.col("pos"), F.col("on"), F.col("opos"), least))
-        links = linked(_pairs(near))
+        by = [F.col("node"), *([F.col("sh")] if dense else []), F.lit(k)]
+        slot = F.pmod(F.xxhash64(*by), F.lit(PIVOTS if dense else 1))
+        pivot = columns.groupBy("sh", "band", slot.alias("slot")).agg(F.min(F.struct(F.xxhash64(*by).alias("by"), *(c for c in columns.columns if c not in ("sh", "band")))).alias("p"))
+        links = linked(_pairs(may_link(columns.join(named_other(pivot.select("sh", "band", "p.*")), ["sh", "band"]))))
         found = links.count()
         most = max(most, found)
-        if not found:
-            break
-        labels = merge(links, labels)
-        columns = still_open(columns)
-        if found * 50 < most:
+        if found:
+            labels = merge(links, labels)
+            columns = still_open(columns)
+        few = found * 50 <= most
+        if dense and few:
             break
-    other = columns.select("sh", "band", F.col("node").alias("other"), F.col("n").alias("on"), F.col("pos").alias("opos"), F.col("comp").alias("ocomp"))
-    rest = columns.join(other, ["sh", "band"]).where("node < other and comp <> ocomp").where(_may_link(F.col("n"), F.col("pos"), F.col("on"), F.col("opos"), least))
+        if not dense and (few or k + 1 >= PLAIN):
+            columns, dense = marked(columns), True
+    if not dense:
+        columns = marked(columns)
+    rest = may_link(columns.join(named_other(columns), ["sh", "band"]).where("node < other"))
     links = linked(_pairs(rest))
     if not links.isEmpty():
         labels = merge(links, labels)

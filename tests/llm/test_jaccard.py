@@ -73,6 +73,33 @@ def test_a_large_group_of_near_copies(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute(docs)
 
 
+def test_far_copies_make_few_pairs(spark, monkeypatch):
+    """Copies with three edits are too far from most of their group, and link with a few that share an edit."""
+    rng = random.Random(4)
+    base, docs = [f"b{i}" for i in range(150)], []
+    for i in range(500):
+        w = list(base)
+        for at in sorted(rng.sample(range(150), rng.choice([1, 2, 3, 3])), reverse=True):
+            del w[at]
+        docs.append((i, " ".join(w)))
+    seen, bounded = [], jaccard.bounded
+    monkeypatch.setattr(jaccard, "bounded", lambda pairs, *rest: (seen.append(pairs.count()), bounded(pairs, *rest))[1])
+    got = jaccard.join(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute(docs)
+    assert sum(seen) < 10 * len(docs) and seen[-1] < len(docs), seen
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(0, 2**32), st.integers(1, 3000), st.integers(0, 3000), st.integers(0, 3000))
+def test_parities_bound_the_difference(seed, both, one, other):
+    """Never more parities differ than shingles do."""
+    x = np.unique(np.random.default_rng(seed).integers(0, 1 << 63, both + one + other).astype(np.uint64))
+    a, b = x[: both + one], np.concatenate([x[:both], x[both + one :]])
+    differ = int(np.bitwise_count((jaccard.parities(a) ^ jaccard.parities(b)).view(np.uint64)).sum())
+    n = len(a) + len(b) - 2 * len(np.intersect1d(a, b))
+    assert len(jaccard.parities(a)) == jaccard.PARITIES and differ <= n and differ % 2 == n % 2
+
+
 def test_chains_need_later_rounds(spark):
     docs = [(i, " ".join(f"c{j}" for j in range(3 * i, 3 * i + 60))) for i in range(40)]
     got = jaccard.join(spark.createDataFrame(docs, "doc_id long, text string"))
