@@ -70,6 +70,39 @@ def test_chains_of_one_bill_are_dealt_out_and_not_shuffled(spark):
     assert plan_of(got).splitlines()[1].lstrip(" +-").startswith("Join Inner, ((bill") and "salt" in plan_of(got).splitlines()[1]
 
 
+def test_a_chain_is_rounded_before_the_product(spark, monkeypatch):
+    """Rounding each row of the product cost more than all else of it; values are those of the product rounded, in any dealing."""
+    from casebook.sources import shared
+
+    monkeypatch.setattr(shared, "TASK_ROWS", 7)
+    k, none = F.col("id").cast("string"), F.lit(None).cast("string")
+    row = lambda df, urn, corpus, title, parent, level: df.select(urn.alias("urn"), F.lit(corpus).alias("corpus"), title.alias("title"), parent.alias("parent"), F.lit(f'{{"level": "{level}"}}').alias("meta"))
+    titles = ("Fish Bill", "Fish Bill two", "Fish Bill two three", "Tax Bill", "Other")
+    docs = row(spark.range(30), F.concat(F.lit("p"), k), "act", F.lit("x"), F.concat(F.lit("a"), (F.col("id") % 3).cast("string")), "provision")
+    docs = docs.union(row(spark.range(2), F.concat(F.lit("b"), k), "bill", F.when(F.col("id") == 0, "Fish Bill").otherwise("Tax Bill"), none, "bill"))
+    docs = docs.union(row(spark.range(25), F.concat(F.lit("s"), k), "hansard", F.array(*map(F.lit, titles))[(F.col("id") % 5).cast("int")], F.lit("day"), "section"))
+    docs = docs.union(row(spark.range(40), F.concat(F.lit("x"), k), "hansard", F.lit("x"), F.concat(F.lit("s"), (F.col("id") % 20).cast("string")), "speech"))
+    refs = spark.createDataFrame([("a0", "b0", "enacted_by", 0.333333), ("a1", "b0", "enacted_by", None), ("a1", "b1", "enacted_by", 0.77), ("a9", "p4", "amends", 0.123457), ("a9", "b0", "enacted_by", 0.5)], "`from` string, `to` string, kind string, confidence double")
+    got = relational.intent_chain(docs, refs)
+    assert "round(" not in plan_of(got).splitlines()[0]
+    words = {f"s{i}": set(titles[i % 5].lower().split()) for i in range(25)}
+    speeches = {f"s{i}": [f"x{j}" for j in range(40) if j % 20 == i] or [None] for i in range(25)}
+    chains = [(f"p{i}", f"a{i % 3}", 1.0) for i in range(30)] + [("p4", "a9", 0.123457)]
+    bills = {("a0", "b0"): 0.333333, ("a1", "b0"): 1.0, ("a1", "b1"): 0.77, ("a9", "b0"): 0.5}
+    want = []
+    for p, a, c1 in chains:
+        for (act, b), c2 in bills.items():
+            for s, w in words.items():
+                own = {"fish" if b == "b0" else "tax", "bill"}
+                c = round(len(own & w) / len(own | w), 6)
+                if act == a and c >= 0.5:
+                    want += [(p, a, b, "day", s, c1 * c2 * c, x) for x in speeches[s]]
+    key = lambda r: tuple(str(v) for i, v in enumerate(r) if i != 5)
+    got, want = sorted(map(tuple, got.collect()), key=key), sorted(want, key=key)
+    assert list(map(key, got)) == list(map(key, want))
+    assert [r[5] for r in got] == [pytest.approx(r[5], abs=5.1e-7) for r in want]
+
+
 def test_fertility_bands_come_from_all_labelled_rows(spark):
     """9,000 training rows, more than the 8,000 that were a sample; quantiles as Spark's, verdicts as the measuring pass's."""
     import public_tokenizers
