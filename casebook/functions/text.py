@@ -7,9 +7,11 @@ import re
 import unicodedata
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf, pandas_udf
 
 from casebook.functions.repair import repaired
 
@@ -148,6 +150,7 @@ def _cvc(w: str) -> bool:
 # The suffix lists of Porter's published algorithm.
 STEP2 = {"ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "izer": "ize", "logi": "log", "bli": "ble", "alli": "al", "entli": "ent", "eli": "e", "ousli": "ous", "ization": "ize", "ation": "ate", "ator": "ate", "alism": "al", "iveness": "ive", "fulness": "ful", "ousness": "ous", "aliti": "al", "iviti": "ive", "biliti": "ble"}
 STEP3 = {"icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ful": "", "ness": ""}
+WORD = re.compile(r"[^\W_]+")
 STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize"]
 
 
@@ -188,16 +191,34 @@ def porter(w: str) -> str:
     return w
 
 
+def words_of(text: str | None) -> list[str]:
+    """Runs of letters and digits of a text, lower case, without diacritics."""
+    text = text or ""
+    if text.isascii():
+        return WORD.findall(text.lower())
+    folded = unicodedata.normalize("NFKD", text)
+    marks = "".join(sorted(c for c in set(folded) if unicodedata.category(c) == "Mn"))
+    return WORD.findall((re.sub(f"[{marks}]+", "", folded) if marks else folded).lower())
+
+
 def terms(text: str | None, stem: bool = True) -> list[str]:
     """Search terms of a text: runs of letters and digits, lower case, without diacritics, stemmed."""
-    text = text or ""
-    folded = text.lower() if text.isascii() else "".join(c for c in unicodedata.normalize("NFKD", text) if unicodedata.category(c) != "Mn").lower()
-    found = re.findall(r"[^\W_]+", folded)
+    found = words_of(text)
     return [porter(w) for w in found] if stem else found
 
 
 def stemmed_terms(text: Column) -> Column:
-    return pandas_udf(lambda texts: texts.map(terms), "array<string>")(text)
+    """`terms` of each text; a batch's distinct words are stemmed once."""
+
+    @arrow_udf("array<string>")
+    def stems(texts: pa.Array) -> pa.Array:
+        found = [words_of(x) for x in texts.to_pylist()]
+        coded = pa.array([w for words in found for w in words], pa.string()).dictionary_encode()
+        stemmed = pa.array([porter(w) for w in coded.dictionary.to_pylist()], pa.string())
+        ends = np.cumsum([0, *map(len, found)])
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), stemmed.take(coded.indices))
+
+    return stems(text)
 
 
 def plain_terms(text: Column) -> Column:

@@ -5,7 +5,8 @@ column (term, id, col, n: the length of the document, and pos: the places of all
 occurrence, and serves phrases, NEAR and columns. `frequencies` has a row a term and
 document, ordered by term and falling impact (the part of BM25 that doesn't depend on the query): its pages are the blocks
 of a posting list, and Parquet's page index holds the greatest impact of each, so that a reader skips what is below a cut.
-`levels` counts a term's rows by steps of impact.
+Of an index of one column it is columns of `postings`, which are in that order then. `levels` counts a term's rows by steps
+of impact.
 
 A query of single words reads frequencies; others read the postings of all their terms once and shuffle them by id;
 phrases, counts, and the Boolean answer (an expression over the leaves' counts) are made there, so there is no join of
@@ -18,9 +19,12 @@ from __future__ import annotations
 import math
 import re
 from bisect import bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache, reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -36,7 +40,9 @@ OPEN, CLOSE, GAP, SNIPPET = "<<", ">>", " ... ", 24
 STEPS, PAGE = 64, 512
 #: Rows that a task sorts, and characters that it splits into terms, where a corpus is large.
 RANGE_ROWS, TASK_CHARS = 1_000_000, 8_000_000
-TABLES = ("postings", "lengths", "frequencies", "levels")
+#: Words that are grouped at once; a document with more is grouped alone.
+WORDS = 1 << 20
+POSTING, FREQUENCY = ("term", "id", "col", "n", "pos"), ("term", "id", "tf", "n", "impact")
 
 
 @dataclass
@@ -94,28 +100,36 @@ def write_lists(index: Index, path: str, built: float | None) -> None:
     held = index.grouped if index.grouped is not None else stored(index.postings.groupBy("id", "col", "term", "n").agg(F.collect_list("pos").alias("pos")), f"{path}/counted")
     n, weight = held.count(), impact(F.col("tf"), F.col("n"), F.lit(built or 1.0))
     lists = lambda rows: rows.write.mode("overwrite").option("compression", "zstd").option("parquet.page.row.count.limit", PAGE)
-    if len(index.columns) == 1:  # a posting is a frequency too: one shuffle, of what neither can be reckoned from, puts both in order
+    if len(index.columns) == 1:  # a posting is a frequency too: one shuffle, of what neither can be reckoned from, and one table
         tf = F.size("pos").cast("long")
-        order = ["term", impact(tf, F.col("n"), F.lit(built or 1.0)).desc(), "id"]
-        rows = ranged(held.select("term", "id", "n", "pos"), n, *order)
-        lists(rows.select("term", "id", F.lit(index.columns[0]).alias("col"), "n", "pos")).parquet(f"{path}/postings")
-        rows = spark.read.parquet(f"{path}/postings").select("term", "id", tf.alias("tf"), "n")
-        lists(rows.withColumn("impact", weight)).parquet(f"{path}/frequencies")
+        own = impact(tf, F.col("n"), F.lit(built or 1.0))
+        rows = ranged(held.select("term", "id", "n", "pos"), n, "term", own.desc(), "id")
+        lists(rows.select("term", "id", F.lit(index.columns[0]).alias("col"), "n", "pos", tf.alias("tf"), own.alias("impact"))).parquet(f"{path}/postings")
     else:
-        ranged(held, n, "term", "id").write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/postings")
+        ranged(held.select(*POSTING), n, "term", "id").write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/postings")
         tf = stored(held.groupBy("id", "n", "term").agg(F.sum(F.size("pos")).alias("tf")), f"{path}/summed")
         rows = tf.select("term", "id", "tf", "n", weight.alias("impact"))
         lists(ranged(rows, n, "term", F.col("impact").desc(), "id")).parquet(f"{path}/frequencies")
-    levels = spark.read.parquet(f"{path}/frequencies").groupBy("term", F.floor(F.col("impact") * STEPS).cast("int").alias("level")).agg(F.count(F.lit(1)).alias("rows"))
+    levels = frequencies(spark, path).groupBy("term", F.floor(F.col("impact") * STEPS).cast("int").alias("level")).agg(F.count(F.lit(1)).alias("rows"))
     levels.sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/levels")
     for x in ("counted", "summed"):
         removed(spark, f"{path}/{x}")
 
 
+def postings(spark, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/postings").select(*POSTING)
+
+
+def frequencies(spark, path: str) -> DataFrame:
+    rows = spark.read.parquet(f"{path}/postings")
+    return (rows if "impact" in rows.columns else spark.read.parquet(f"{path}/frequencies")).select(*FREQUENCY)
+
+
 def opened(spark, path: str, stem: bool = False) -> Index:
     """An index that `written` wrote."""
-    t = {x: spark.read.parquet(f"{path}/{x}") for x in (*TABLES, "statistics")}
-    return Index(occurring(t["postings"]), t["lengths"], stem, t["statistics"], t["frequencies"], t["levels"], grouped=t["postings"])
+    t = {x: spark.read.parquet(f"{path}/{x}") for x in ("lengths", "levels", "statistics")}
+    held = postings(spark, path)
+    return Index(occurring(held), t["lengths"], stem, t["statistics"], frequencies(spark, path), t["levels"], grouped=held)
 
 
 def occurring(grouped: DataFrame) -> DataFrame:
@@ -123,12 +137,57 @@ def occurring(grouped: DataFrame) -> DataFrame:
     return grouped.select("id", "col", F.explode("pos").alias("pos"), "term", "n")
 
 
+def _by_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of rows in order of id, cut anew: rows of an id stay together, and have WORDS words at most otherwise."""
+    rest = None
+    for batch in batches:
+        rows = pa.concat_batches([rest, batch]) if rest is not None else batch
+        if not rows.num_rows:
+            continue
+        code = rows.column(0).dictionary_encode("encode").indices.to_numpy()
+        begin = np.flatnonzero(np.diff(code, prepend=-1))
+        words = np.cumsum(sum(x.value_lengths().to_numpy().astype(np.int64) for x in rows.columns[2:]))
+        group = words[begin] // WORDS
+        cuts = [0, *begin[1:][np.diff(group) > 0].tolist(), int(begin[-1])]
+        yield from (rows.slice(low, high - low) for low, high in zip(cuts[:-1], cuts[1:], strict=True) if low < high)
+        rest = rows.slice(int(begin[-1]))
+    if rest is not None:
+        yield rest
+
+
 def _grouped(listed: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """Stored postings of documents that are dealt out by id, so nothing is shuffled; of each document a row without a term
-    too, with an entry for each row of its id and length."""
-    none = F.expr("cast(array(struct(null, -1, null)) as array<struct<col:string,pos:int,term:string>>)")
-    words = listed.select("id", "n", F.inline(F.concat(*_placed(columns), none)))
-    return words.groupBy("id", "n", "col", "term").agg(F.collect_list("pos").alias("pos"))
+    too, with an entry for each row of its id and length. Words are numbered and sorted as numbers, some documents at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_id(batches):
+            ids, n = rows.column(0), rows.column(1)
+            lengths = n.to_numpy()
+            code = ids.dictionary_encode("encode").indices.to_numpy().astype(np.int64)
+            _, first, doc, same = np.unique(code * (int(lengths.max()) + 1) + lengths, return_index=True, return_inverse=True, return_counts=True)
+            of = lambda d: [ids.take(pa.array(first[d])), n.take(pa.array(first[d]))]  # noqa: B023, E731
+            made = lambda d, col, term, ends, pos: pa.RecordBatch.from_arrays([*of(d), pa.array([col], pa.string()).take(pa.array(np.zeros(len(d), np.int8))), term, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(pos.astype(np.int32)))], names=["id", "n", "col", "term", "pos"])  # noqa: B023, E731
+            yield made(np.arange(len(first)), None, pa.nulls(len(first), pa.string()), np.concatenate([[0], np.cumsum(same)]), np.full(len(ids), -1))
+            for col, lists in zip(columns, rows.columns[2:], strict=True):
+                held, coded = lists.value_lengths().to_numpy().astype(np.int64), lists.flatten().dictionary_encode()
+                total, terms_ = int(held.sum()), len(coded.dictionary)
+                if not total:
+                    continue
+                key = np.repeat(doc, held) * terms_ + coded.indices.to_numpy()
+                bits, at = total.bit_length(), np.arange(total)
+                if (len(first) * terms_).bit_length() + bits < 63:  # a number and its place sort as one number, and faster
+                    order = np.sort((key << bits) | at)
+                    key, order = order >> bits, order & ((1 << bits) - 1)
+                else:
+                    order = np.argsort(key, kind="stable")
+                    key = key[order]
+                begin = np.flatnonzero(np.diff(key, prepend=-1))
+                pos = (at - np.repeat(np.cumsum(held) - held, held))[order]
+                yield made(key[begin] // terms_, col, coded.dictionary.take(pa.array(key[begin] % terms_)), np.append(begin, total), pos)
+
+    kind = listed.schema["id"].dataType.simpleString()
+    words = listed.select("id", "n", *(f"t{i}" for i in range(len(columns)))).sortWithinPartitions("id")
+    return words.mapInArrow(run, f"id {kind}, n long, col string, term string, pos array<int>")
 
 
 def build(docs: DataFrame, key: str, columns: list[str], stem: bool = False) -> Index:

@@ -55,7 +55,8 @@ def _live(spark: SparkSession, path: str, segments: list[dict], table: str) -> D
     """Rows of a table of the segments without those of replaced ids."""
     parts = []
     for s in segments:
-        rows = spark.read.parquet(f"{path}/{s['segment']}/{table}")
+        at = f"{path}/{s['segment']}"
+        rows = read(spark, at) if (read := {"postings": fts.postings, "frequencies": fts.frequencies}.get(table)) else spark.read.parquet(f"{at}/{table}")
         if s["docs"] != s["live_docs"]:
             rows = rows.join(_replaced(spark, path, [s]).select("id"), "id", "left_anti")
         parts.append(rows)
@@ -106,7 +107,7 @@ def upsert(docs: DataFrame, path: str, key: str, columns: list[str], order: list
         gone = spark.read.schema(hit.schema).parquet(target)
         n = gone.agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
         if n["docs"]:
-            lists = spark.read.parquet(f"{path}/{s['segment']}/frequencies").join(gone.select("id"), "id", "left_semi")
+            lists = fts.frequencies(spark, f"{path}/{s['segment']}").join(gone.select("id"), "id", "left_semi")
             lists.groupBy("term").agg(F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{path}/taken/segment={s['segment']}/by={name}")
         old.append(s | {"live_docs": s["live_docs"] - n["docs"], "live_tokens": s["live_tokens"] - n["tokens"]})
     new = {"segment": name, "docs": facts["docs"], "tokens": facts["tokens"], "live_docs": facts["docs"], "live_tokens": facts["tokens"], "stem": stem}

@@ -151,6 +151,52 @@ def test_postings_are_grouped_and_dealt_out_by_size(spark, tmp_path, monkeypatch
     assert index.frequencies.where("term = 'the' and tf = 2").count() == 300
 
 
+def test_an_index_of_one_column_keeps_one_list(spark, tmp_path):
+    """Frequencies are columns of the postings, not a second table; places are grouped without a row an occurrence."""
+    docs = spark.createDataFrame([(i, f"w{i} the cat the") for i in range(50)] + [(50, None)], "id long, text string")
+    new = search.build(docs, "id", ["text"])
+    assert "Generate" not in plan_of(search._grouped(new.listed, new.columns)) and "Aggregate" not in plan_of(search._grouped(new.listed, new.columns))
+    index = new.written(str(tmp_path / "i"))
+    assert sorted(p.name for p in (tmp_path / "i").iterdir()) == ["lengths", "levels", "postings", "statistics"]
+    assert sorted(map(tuple, index.frequencies.where("id = 7").select("term", "tf", "n").collect())) == [("cat", 1, 4), ("the", 2, 4), ("w7", 1, 4)]
+    assert index.levels.where("term = 'the'").agg(F.sum("rows")).first()[0] == 50
+
+
+@pytest.mark.parametrize("batch", [1, 3, 10_000])
+def test_rows_of_an_id_are_grouped_over_batches(spark, batch):
+    """Repeated and null ids, texts without words, and two columns, whatever batches the rows come in."""
+    rows = [(1, "a b a", "x"), (1, "b a c", "x"), (1, "a", None), (None, "a a", "a"), (None, "b a", "b"), (2, None, None), (2, "", "..."), (3, "z", "z y")]
+    new = search.build(spark.createDataFrame(rows, "id long, text string, head string"), "id", ["text", "head"])
+    held = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = search._grouped(new.listed, new.columns).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held)
+    want: dict = {}
+    for id_, *texts in rows:
+        words = [(x or "").replace(".", "").split() for x in texts]
+        n = sum(map(len, words))
+        want.setdefault((id_, n, None, None), []).append(-1)
+        for col, own in zip(("text", "head"), words, strict=True):
+            for i, w in enumerate(own):
+                want.setdefault((id_, n, col, w), []).append(i)
+    assert {(r["id"], r["n"], r["col"], r["term"]): sorted(r["pos"]) for r in got} == {k: sorted(v) for k, v in want.items()}
+    assert len(got) == len(want)
+
+
+def test_batches_are_cut_where_ids_change(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(search, "WORDS", 4)
+    ids = [1, 1, 1, 2, 3, 3, 4, 5]
+    rows = pa.RecordBatch.from_pydict({"id": ids, "n": [2] * 8, "t0": [["a", "b"]] * 8})
+    for size in (1, 3, 8):
+        got = [b.column(0).to_pylist() for b in search._by_id(iter([rows.slice(i, size) for i in range(0, 8, size)]))]
+        assert sum(got, []) == ids and len(got) > 2
+        assert all(set(a).isdisjoint(b) for i, a in enumerate(got) for b in got[i + 1 :])
+
+
 @pytest.mark.parametrize("name, rows", [("doc_length", 60), ("postings_stats", 62)])
 def test_sums_over_all_terms_write_no_index(spark, tables, monkeypatch, name, rows):
     monkeypatch.setattr(search.Index, "written", None)
