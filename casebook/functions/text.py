@@ -31,6 +31,8 @@ NAME_FIRST = r"^([^(]+?)(?:\s*\(([^)]+)\))?\s*$"
 
 
 def cleaned(text: str | None) -> str:
+    if text and text.isascii() and "&" not in text:  # without control characters there is nothing to repair or to compose
+        return " ".join((text if text.isprintable() else repaired(text)).split())
     return " ".join(unicodedata.normalize("NFC", repaired(html.unescape(text))).replace("\xa0", " ").split()) if text else ""
 
 
