@@ -412,8 +412,8 @@ def judgment_documents(spark, d):
     item = F.struct(said("[2020] SGHC ", k).alias("citation"), F.to_date("o_orderdate").cast("string").alias("issued"))
     params = F.to_json(F.struct(F.lit("judgment").alias("kind"), item.alias("item")))
     docs = judgments.documents(judgments.pages(_snapshots(t(spark, d, "orders"), "o_orderkey", body, params)))
-    get = lambda p: F.get_json_object("meta", f"$.{p}")
-    return docs.select("urn", "parent", "citation", get("level").alias("level"), "text", "issued", F.concat_ws("|", get("parties[0]"), get("parties[1]")).alias("parties"), get("counsel[0].side").alias("side"))
+    docs = docs.withColumn("m", F.from_json("meta", "level string, parties array<string>, counsel array<struct<side:string>>"))  # once for a row
+    return docs.select("urn", "parent", "citation", "m.level", "text", "issued", F.concat_ws("|", F.get("m.parties", F.lit(0)), F.get("m.parties", F.lit(1))).alias("parties"), F.get("m.counsel", F.lit(0))["side"].alias("side"))
 
 
 @query("""SELECT 'urn:sg:pdpc:x-breach-' || o_orderkey AS urn, 'Re Org ' || o_orderkey AS title, CAST(o_orderdate AS DATE) AS issued, 'A financial penalty of $' || o_custkey || ' was imposed on Org ' || o_orderkey || chr(10) || chr(10) || 'Read & learn' AS text,

@@ -215,3 +215,19 @@ def test_candidates_of_one_slug_are_dealt_out_by_their_number(spark, monkeypatch
     got = decisions.slug_candidates(items, urls, "id", "href", "title")
     assert got.rdd.getNumPartitions() >= 24
     assert sorted(map(tuple, got.collect())) == sorted((k, f"https://h/x/one-{i}") for k in range(40) for i in range(30))
+
+
+def test_a_judgment_page_is_walked_few_times(spark, tables, monkeypatch):
+    """Its classes are found in one walk, and its fields made once, not again for each of its paragraphs."""
+    from casebook.functions.dom import Element
+    from casebook.plans import judgments
+
+    walks = []
+    below = Element.below
+    monkeypatch.setattr(Element, "below", lambda self: (walks.append(self.tag), below(self))[1])
+    page = '<div id="divJudgement"><p class="HN-NeutralCit">[2020] SGHC 1</p><p class="HN-CaseName x HN-CaseName">A <b>v</b> B</p><p class="HN-Coram">X\nY</p><div class="Judg-1">1 First</div><p>more</p><div class="Judg-1">2 Second</div></div>'
+    got = judgments.read_page(page)
+    assert [got["titles"], got["coram"], got["lawyers"], got["text"]] == [["A v B"], ["X", "Y"], [], "[2020] SGHC 1\nA v B\nX\nY\n1 First\nmore\n2 Second"]
+    assert got["numbered"] == [{"label": "1", "text": "1 First\nmore"}, {"label": "2", "text": "2 Second"}]
+    assert len(walks) <= 3
+    assert plan_of(entry.queries()["judgment_documents"](spark, tables(orders=orders(spark)))).count("regexp_extract_all") == 1
