@@ -130,60 +130,77 @@ def is_question(number: Column, kind: Column) -> Column:
 # ---- Search terms
 
 
-def _measure(stem: str) -> int:
-    form = re.sub("V+", "V", re.sub("C+", "C", "".join(_kind(stem, i) for i in range(len(stem)))))
-    return form.count("VC")
+_KINDS = bytes.maketrans(b"abcdefghijklmnopqrstuvwxyz", b"VCCCVCCCVCCCCCVCCCCCVCCCyC")
+
 
+def _kinds(w: str) -> bytes:
+    """C for each consonant of a word of a to z, V for each vowel; y is a vowel after a consonant."""
+    kinds = w.encode().translate(_KINDS)
+    at = kinds.find(b"y")
+    while at >= 0:
+        kinds = kinds[:at] + (b"V" if at and kinds[at - 1 : at] == b"C" else b"C") + kinds[at + 1 :]
+        at = kinds.find(b"y", at)
+    return kinds
 
-def _kind(w: str, i: int) -> str:
-    if w[i] in "aeiou" or w[i] == "y" and i and _kind(w, i - 1) == "C":
-        return "V"
-    return "C"
+
+def _measure(stem: str) -> int:
+    return _kinds(stem).count(b"VC")
 
 
 def _vowel(stem: str) -> bool:
-    return any(_kind(stem, i) == "V" for i in range(len(stem)))
+    return b"V" in _kinds(stem)
 
 
 def _cvc(w: str) -> bool:
-    return len(w) > 2 and [_kind(w, i) for i in range(len(w) - 3, len(w))] == ["C", "V", "C"] and w[-1] not in "wxy"
+    return len(w) > 2 and w[-1] not in "wxy" and _kinds(w).endswith(b"CVC")
+
+
+def _ending(w: str, of: dict[str, str] | frozenset[str], most: int) -> str | None:
+    """The longest of some endings that a word has."""
+    for n in range(most, 1, -1):
+        if (end := w[-n:]) in of:
+            return end
+    return None
 
 
 # The suffix lists of Porter's published algorithm.
 STEP2 = {"ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "izer": "ize", "logi": "log", "bli": "ble", "alli": "al", "entli": "ent", "eli": "e", "ousli": "ous", "ization": "ize", "ation": "ate", "ator": "ate", "alism": "al", "iveness": "ive", "fulness": "ful", "ousness": "ous", "aliti": "al", "iviti": "ive", "biliti": "ble"}
 STEP3 = {"icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ful": "", "ness": ""}
 WORD = re.compile(r"[^\W_]+")
-STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize"]
+PLAIN_WORD = re.compile("[a-z]+").fullmatch
+#: What isn't a letter or digit of plain text is a blank.
+BLANKED = str.maketrans({chr(c): " " for c in range(128) if not chr(c).isalnum()})
+STEP4 = frozenset(["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize"])
 
 
 @lru_cache(100_000)
 def porter(w: str) -> str:
     """Porter's stem of a lower-case word; short or other words stay."""
-    if len(w) < 3 or not re.fullmatch("[a-z]+", w):
+    if len(w) < 3 or not PLAIN_WORD(w):
         return w
-    for end, to in (("sses", "ss"), ("ies", "i"), ("ss", "ss"), ("s", "")):
-        if w.endswith(end):
-            w = w[: len(w) - len(end)] + to
-            break
+    if w.endswith(("sses", "ies")):
+        w = w[:-2]
+    elif w[-1] == "s" and w[-2] != "s":
+        w = w[:-1]
     if w.endswith("eed"):
         w = w[:-1] if _measure(w[:-3]) else w
     else:
-        cut = next((w[: -len(e)] for e in ("ed", "ing") if w.endswith(e) and _vowel(w[: -len(e)])), None)
-        if cut is not None:
+        cut = w[:-2] if w.endswith("ed") else w[:-3] if w.endswith("ing") else ""
+        if cut and _vowel(cut):
             w = cut
             if w.endswith(("at", "bl", "iz")):
                 w += "e"
-            elif len(w) > 1 and w[-1] == w[-2] and _kind(w, len(w) - 1) == "C" and w[-1] not in "lsz":
+            elif len(w) > 1 and w[-1] == w[-2] and w[-1] not in "lsz" and _kinds(w).endswith(b"C"):
                 w = w[:-1]
             elif _measure(w) == 1 and _cvc(w):
                 w += "e"
     if w.endswith("y") and _vowel(w[:-1]):
         w = w[:-1] + "i"
-    for step, least in ((STEP2, 0), (STEP3, 0)):
-        end = max((e for e in step if w.endswith(e)), key=len, default=None)
-        if end and _measure(w[: -len(end)]) > least:
+    for step in (STEP2, STEP3):
+        end = _ending(w, step, 7)
+        if end and _measure(w[: -len(end)]) > 0:
             w = w[: -len(end)] + step[end]
-    end = max((e for e in STEP4 if w.endswith(e)), key=len, default=None)
+    end = _ending(w, STEP4, 5)
     if end and _measure(w[: -len(end)]) > 1 and (end != "ion" or w[: -len(end)].endswith(("s", "t"))):
         w = w[: -len(end)]
     if w.endswith("e") and (_measure(w[:-1]) > 1 or _measure(w[:-1]) == 1 and not _cvc(w[:-1])):
@@ -196,11 +213,12 @@ def porter(w: str) -> str:
 def words_of(text: str | None) -> list[str]:
     """Runs of letters and digits of a text, lower case, without diacritics."""
     text = text or ""
-    if text.isascii():
-        return WORD.findall(text.lower())
-    folded = unicodedata.normalize("NFKD", text)
-    marks = "".join(sorted(c for c in set(folded) if unicodedata.category(c) == "Mn"))
-    return WORD.findall((re.sub(f"[{marks}]+", "", folded) if marks else folded).lower())
+    if not text.isascii():
+        text = unicodedata.normalize("NFKD", text)
+        if marks := "".join(sorted(c for c in set(text) if unicodedata.category(c) == "Mn")):
+            text = re.sub(f"[{marks}]+", "", text)
+    text = text.lower()
+    return text.translate(BLANKED).split() if text.isascii() else WORD.findall(text)
 
 
 def terms(text: str | None, stem: bool = True) -> list[str]:

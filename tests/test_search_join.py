@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -138,3 +139,19 @@ def test_few_rows_on_the_right_shuffle_no_words(spark):
 
     plan = queries.parent_intent_pairs(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_stems_are_made_once_for_each_distinct_word(spark, monkeypatch):
+    """A batch's words are stemmed as a vocabulary, in one column of arrays; texts are cut and folded as before."""
+    from casebook.functions import text as T
+
+    texts = ["Licensed works, licensing WORKS!", None, "", "ﬁne ½x² İstanbul Straße éa_b x\x85y Ⅻ ①", "áb̧ c", "ponies caresses cats sky skies"]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1).select("i", T.stemmed_terms(F.col("t")).alias("s"))
+    assert [r["s"] for r in sorted(got.collect())] == [T.terms(x) for x in texts]
+    assert T.terms(texts[0]) == ["licens", "work", "licens", "work"] and T.terms(texts[5]) == ["poni", "caress", "cat", "sky", "ski"]
+    assert T.terms(texts[3], False) == ["fine", "1", "2x2", "istanbul", "straße", "ea", "b", "x", "y", "xii", "1"]
+    # a character's category is asked for once, not for each place that has it
+    asked = []
+    counted = type("Counted", (), {"normalize": staticmethod(unicodedata.normalize), "category": staticmethod(lambda c: (asked.append(c), unicodedata.category(c))[1])})
+    monkeypatch.setattr(T, "unicodedata", counted)
+    assert T.terms("é" * 1000, False) == ["e" * 1000] and sorted(asked) == ["e", "\u0301"]
